@@ -17,6 +17,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
 ROUNDS = 8
@@ -237,7 +238,7 @@ def pseudonymise_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     named n_<kind>, which these replace. Repeated rows get equal texts.
     """
     out = [c for c in docs.columns if c not in {f"n_{k}" for k in KINDS}]
-    schema = docs.select(*out).schema
+    schema = StructType(list(docs.select(*out).schema.fields))
     for k in KINDS:
         schema = schema.add(f"n_{k}", "long")
     at = out.index(text_col)

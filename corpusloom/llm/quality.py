@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom.llm.wordhash import U64, byte_table, fmix, hash_words, slices, text_buffers
 
@@ -162,7 +163,8 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tails.sum(1)), pa.array(tails[:, -1])], [*out, "expected_grade", "tail_probability"])
 
     rows = docs.select(*(F.col(c).cast("string").alias(c) if c == text_col else F.col(c) for c in out))
-    return rows.mapInArrow(run, rows.schema.add("expected_grade", "double").add("tail_probability", "double"))
+    schema = StructType(list(rows.schema.fields)).add("expected_grade", "double").add("tail_probability", "double")
+    return rows.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, least_tail: float = 0.25) -> DataFrame:
