@@ -5,8 +5,9 @@ size and identity, so that equal sets are one class from there on, and two count
 fixed size: of words and of n-grams. They order the n-grams from rare to common: first those that
 no sketch shows to be frequent, by the product of their words' frequencies. A set of n of which an
 overlap of o = ceil(t n) is needed has a prefix of n - o + l n-grams in this order; two sets of
-similarity t share l of them at least. l is 1 where the estimated number of candidates is low and
-grows with it, and a candidate needs as many shared n-grams as the smaller l of the two.
+similarity t share l of them at least. l grows with the estimated number of candidates: with the
+prefix itself and with how frequent its n-grams are, and a candidate needs as many shared n-grams
+as the smaller l of the two.
 
 N-grams with up to ``LIGHT`` sets give candidate pairs. Those with more, as large groups of near
 copies have, only tie their sets together. Candidates and ties form blocks of sets that may be
@@ -29,7 +30,7 @@ from corpusloom.llm.wordhash import U64, SlotCounts, fmix, summed_blocks, words_
 
 LIGHT = 32
 WORD_SLOTS, GRAM_SLOTS = 1 << 18, 1 << 20
-MOST_MATCHES = 4
+MOST_MATCHES = 32
 #: Of a part of a block: sets and n-grams at most, from each side.
 PART_SETS, PART_GRAMS = 1024, 1_500_000
 
@@ -40,6 +41,12 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-n * percent // 100)
 
 
+def matches_by_size(n: int, percent: int) -> int:
+    """l of a set of n by its size alone: longer prefixes meet more sets by chance. Grows with n."""
+    least = needed(n, percent)
+    return int(min(least, MOST_MATCHES, 1 + (n > 4) + (n - least + 1) // 16))
+
+
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of a text's word n-grams in order; of fewer words, of the whole sequence."""
     n = len(hashes)
@@ -109,13 +116,14 @@ def _rarity(totals: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _prefixes(k: int, percent: int, shared):
-    """Second pass: (gram, sid, n, l) for the prefix of every set; equal sets of a task once."""
+    """Second pass: (gram, sid, n, l, low) for the prefix of every set; equal sets of a task once.
+    low: no set similar to this one asks for fewer shared n-grams."""
 
     def run(batches):
         rank = shared.value
         seen: set[int] = set()
         for batch in batches:
-            tokens, owners, sizes, matches, widths = [], [], [], [], []
+            tokens, owners, sizes, matches, lows, widths = [], [], [], [], [], []
             for _, words, distinct, place in _sets_of(batch.column(1), k):
                 n = len(distinct)
                 if not n or (sid := set_id(distinct)) in seen:
@@ -131,16 +139,17 @@ def _prefixes(k: int, percent: int, shared):
                 order = np.argsort((octave << U64(16)) + np.minimum(chance[place], U64(65535)), kind="stable")
                 least = needed(n, percent)
                 cost = (np.left_shift(1, octave[order[: n - least + 1]].astype(np.int64)) - 1).sum()
-                ell = int(min(MOST_MATCHES, least, 2 + (cost > 64) + (cost > 4096)) if n > 4 else 1)
+                ell = min(least, matches_by_size(n, percent) + int(cost > 64) + int(cost > 4096))
                 prefix = distinct[order[: n - least + ell]]
                 tokens.append(prefix)
                 owners.append(sid)
                 sizes.append(n)
                 matches.append(ell)
+                lows.append(min(ell, matches_by_size(needed(n, percent), percent)))
                 widths.append(len(prefix))
             if tokens:
                 each = lambda x, kind: pa.array(np.repeat(np.array(x, kind), widths))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), each(owners, np.int64), each(sizes, np.int32), each(matches, np.int8)], ["gram", "sid", "n", "ell"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), each(owners, np.int64), each(sizes, np.int32), each(matches, np.int8), each(lows, np.int8)], ["gram", "sid", "n", "ell", "low"])
 
     return run
 
@@ -169,21 +178,23 @@ def _candidates(percent: int):
     """Pairs from grams with few sets, ties to the first set from those with more."""
 
     def emit(a, b, ell, kind):
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(ell.astype(np.int8)), pa.array(np.full(len(a), kind, np.int8))], ["a", "b", "ell", "kind"])
+        if not kind:
+            a, b = np.minimum(a, b), np.maximum(a, b)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(ell.astype(np.int8)), pa.array(np.full(len(a), kind, np.int8))], ["a", "b", "ell", "kind"])
 
     def run(batches):
         for table in _runs(batches, 1):
-            gram, sid, n, ell = (table.column(c).to_numpy() for c in range(4))
+            gram, sid, n, ell, low = (table.column(c).to_numpy() for c in range(5))
             fresh = np.ones(len(gram), bool)
             fresh[1:] = (gram[1:] != gram[:-1]) | (sid[1:] != sid[:-1])
-            gram, sid, n, ell = gram[fresh], sid[fresh], n[fresh], ell[fresh]
+            gram, sid, n, ell, low = gram[fresh], sid[fresh], n[fresh], ell[fresh], low[fresh]
             starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
             lengths = np.diff(np.append(starts, len(gram)))
             heavy = lengths > LIGHT
             if heavy.any():
                 at = np.repeat(starts[heavy], lengths[heavy])
                 inner = np.arange(len(at)) - np.repeat(np.cumsum(lengths[heavy]) - lengths[heavy], lengths[heavy])
-                yield emit(sid[at], sid[at + inner], ell[at + inner], 1)
+                yield emit(sid[at], sid[at + inner], low[at + inner], 1)
             for length in np.unique(lengths[(lengths > 1) & ~heavy]):
                 x, y = np.triu_indices(length, 1)
                 mine = starts[lengths == length]
@@ -289,8 +300,8 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
 
     Two rows link when their sets of distinct word ``n``-grams (ASCII lower case, ASCII white
     space between words) have a Jaccard similarity of ``percent`` hundredths or more;
-    component_id is the smallest id that links reach. n_links counts the other rows a row is
-    linked with. A text of fewer words is one gram; a null, empty or blank text has no gram,
+    component_id is the smallest id that links reach. n_links counts the other sets that a row's
+    set is linked with and the other rows that have the same set. A text of fewer words is one gram; a null, empty or blank text has no gram,
     links with nothing and is its own component. Repeated rows count as rows of their own with
     one id. A null id keeps its row and has no say in component_id. Other columns are ignored.
 
@@ -305,13 +316,14 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     rows = first.where("block is null").select("doc_id", "sid", "n")
     classes = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"))
 
-    index = docs.select("doc_id", "text").mapInArrow(_prefixes(n, percent, rank), "gram long, sid long, n int, ell byte")
+    index = docs.select("doc_id", "text").mapInArrow(_prefixes(n, percent, rank), "gram long, sid long, n int, ell byte, low byte")
     found = written(
         index.repartition("gram").sortWithinPartitions("gram", "sid").mapInArrow(_candidates(percent), "a long, b long, ell byte, kind byte")
         .groupBy("a", "b", "kind").agg(F.count("*").alias("shared"), F.max("ell").alias("ell")), "candidates"
     )
     ties = found.where("kind = 1")
-    heavy = ties.select(F.col("b").alias("sid"), "shared").unionByName(ties.select(F.col("a").alias("sid"), "shared")).groupBy("sid").agg(F.sum("shared").alias("heavy"))
+    heavy = written(ties.groupBy(F.col("b").alias("sid")).agg(F.sum("shared").alias("heavy"), F.min("ell").alias("low")), "heavy")
+    ties = ties.join(heavy.where("heavy >= low").select(F.col("sid").alias("b")), "b", "left_semi")
     pairs = found.where("kind = 0")
     few = (
         pairs.where("shared < ell").join(heavy.select(F.col("sid").alias("a"), F.col("heavy").alias("ha")), "a")
