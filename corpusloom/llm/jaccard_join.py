@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.storage import written
-from corpusloom.llm.wordhash import U64, SlotCounts, fmix, summed_blocks, words_of
+from corpusloom.llm.wordhash import U64, IdBitmap, SlotCounts, fmix, summed_blocks, words_of
 
 LIGHT = 32
 WORD_SLOTS, GRAM_SLOTS = 1 << 18, 1 << 20
@@ -207,11 +207,14 @@ def _candidates(percent: int):
     return run
 
 
-def _members(k: int):
-    """The sets themselves, as packed 64-bit values."""
+def _members(k: int, wanted):
+    """The sets themselves, as packed 64-bit values, of the ids that the bitmap holds."""
 
     def run(batches):
+        bitmap = wanted.value
         for batch in batches:
+            ids = batch.column(0)
+            batch = batch.filter(pa.array(bitmap.holds(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)))
             for i, j in ((i, min(i + 512, batch.num_rows)) for i in range(0, batch.num_rows, 512)):
                 part = batch.slice(i, j - i)
                 rows = [(set_id(x), x) for _, _, x, _ in _sets_of(part.column(1), k)]
@@ -333,8 +336,8 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     blocks = written(connected_components(tied).join(classes, F.col("node") == F.col("sid")).select("sid", F.col("root").alias("blk"), "rep", "n"), "blocks")
 
     parts = blocks.groupBy("blk").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n") / PART_GRAMS)).cast("int").alias("parts"))
-    texts = docs.join(blocks.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    sets = texts.mapInArrow(_members(n), "sid long, packed binary")
+    wanted = spark.sparkContext.broadcast(IdBitmap.of(blocks, "rep"))
+    sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
     placed = blocks.select("sid", "blk").join(parts, "blk").withColumn("p", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     with_sets = placed.join(sets, "sid").dropDuplicates(["sid"])
     units = with_sets.select("blk", "p", "sid", "packed", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(

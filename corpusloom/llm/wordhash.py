@@ -145,3 +145,52 @@ def summed_blocks(df, sizes: dict[str, int]) -> dict[str, np.ndarray]:
         part = np.frombuffer(bytes(counts), np.int64)
         totals[name][int(at) : int(at) + len(part)] = part
     return totals
+
+
+class IdBitmap:
+    """A set of 64-bit ids with false positives and no false negatives, of a fixed size."""
+
+    BITS, BLOCK = 1 << 26, 1 << 17
+
+    def __init__(self, packed: np.ndarray):
+        self.packed = packed
+
+    @classmethod
+    def places(cls, ids: np.ndarray) -> np.ndarray:
+        return (fmix(ids.astype(np.int64).view(U64)) & U64(cls.BITS - 1)).astype(np.int64)
+
+    def holds(self, ids: np.ndarray) -> np.ndarray:
+        at = self.places(ids)
+        return (self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+    @classmethod
+    def of(cls, df, column: str) -> IdBitmap:
+        """Of all ids of a column. Partitions send the blocks of bits that they set, which are
+        or-ed by key before they come to the driver: 8 MB together at most."""
+
+        def pack(held: dict[int, np.ndarray]):
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["block", "bits"])
+
+        def mark(batches):
+            held: dict[int, np.ndarray] = {}
+            for batch in batches:
+                at = np.sort(cls.places(batch.column(0).drop_null().to_numpy()))
+                for block in np.unique(at // cls.BLOCK).tolist():
+                    mine = at[np.searchsorted(at, block * cls.BLOCK) : np.searchsorted(at, (block + 1) * cls.BLOCK)] - block * cls.BLOCK
+                    bits = held.setdefault(block, np.zeros(cls.BLOCK // 8, np.uint8))
+                    np.bitwise_or.at(bits, mine >> 3, (1 << (mine & 7)).astype(np.uint8))
+            yield pack(held)
+
+        def merge(batches):
+            held: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, bits in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    part = np.frombuffer(bits.as_buffer(), np.uint8)
+                    held[block] = held[block] | part if block in held else part
+            yield pack(held)
+
+        packed = np.zeros(cls.BITS // 8, np.uint8)
+        schema = "block int, bits binary"
+        for block, bits in df.select(column).mapInArrow(mark, schema).repartition("block").mapInArrow(merge, schema).collect():
+            packed[block * cls.BLOCK // 8 : (block + 1) * cls.BLOCK // 8] = np.frombuffer(bytes(bits), np.uint8)
+        return cls(packed)
