@@ -131,7 +131,7 @@ def strip_transcript_suffix(c: Column | str) -> Column:
 
 
 def split_names(c: Column | str) -> Column:
-    return F.filter(F.transform(F.split(_col(c), r",| and "), F.btrim), lambda x: F.length(x) > 0)
+    return F.filter(F.transform(F.split(_col(c), r",| and "), lambda x: F.btrim(x)), lambda x: F.length(x) > 0)
 
 
 @F.pandas_udf(StringType())

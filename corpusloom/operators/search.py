@@ -104,11 +104,11 @@ def bm25_phrase(chunks: DataFrame, phrase: list[str]) -> DataFrame:
     """Chunks that hold the phrase with ``bm25``, higher is better. The statistics are one row over
     all chunks, sent to the tasks as such."""
     counted = chunks.withColumn("f", phrase_frequency(F.col("tokens"), phrase))
-    stats = counted.agg(F.count("*").alias("N"), F.avg("dl").alias("avgdl"), F.count_if(F.col("f") > 0).alias("n"))
-    raw = F.log((F.col("N") - F.col("n") + 0.5) / (F.col("n") + 0.5))
+    stats = counted.agg(F.count("*").alias("_docs"), F.avg("dl").alias("_avgdl"), F.count_if(F.col("f") > 0).alias("_hits"))
+    raw = F.log((F.col("_docs") - F.col("_hits") + 0.5) / (F.col("_hits") + 0.5))
     idf = F.when(raw <= 0, F.lit(1e-6)).otherwise(raw)
-    score = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return counted.where("f > 0").crossJoin(F.broadcast(stats)).withColumn("bm25", score).drop("N", "avgdl", "n", "f")
+    score = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("dl") / F.col("_avgdl")))
+    return counted.where("f > 0").crossJoin(F.broadcast(stats)).withColumn("bm25", score).drop("_docs", "_avgdl", "_hits", "f")
 
 
 def fts_lane(chunks: DataFrame, phrase: list[str], matching: DataFrame | None, cap: int = FTS_CAP) -> DataFrame:

@@ -66,7 +66,7 @@ class Store:
         "chunks": _optional(CHUNK).add("content_key", "string").add("content_hash", "string").add("created_at", "long"),
         "governance": _optional(GOVERNANCE),
         "embeddings": _optional(EMBEDDING),
-        "version": StructType().add("schema_version", "int"),
+        "version": StructType().add("schema_version", "integer"),
     }
 
     def __init__(self, spark: SparkSession, root: str):
