@@ -96,8 +96,13 @@ def phrase_frequency(tokens: Column, phrase: list[str]) -> Column:
     if len(phrase) == 1:
         return F.size(F.filter(tokens, lambda t: t == phrase[0]))
     wanted, k = F.array(*map(F.lit, phrase)), len(phrase)
-    starts = F.sequence(F.lit(1), F.size(tokens) - k + 1)
-    return F.when((F.size(tokens) >= k) & F.array_contains(tokens, phrase[0]), F.size(F.filter(starts, lambda i: F.slice(tokens, i, k) == wanted))).otherwise(0)
+
+    def count(held: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(held) - k + 1)
+        return F.when((F.size(held) >= k) & F.array_contains(held, phrase[0]), F.size(F.filter(starts, lambda i: (F.get(held, i - 1) == phrase[0]) & (F.slice(held, i, k) == wanted)))).otherwise(0)
+
+    # the tokens are bound to a variable of the lambda, so that they are made once a row
+    return F.element_at(F.transform(F.array(tokens), count), 1)
 
 
 def bm25_phrase(chunks: DataFrame, phrase: list[str]) -> DataFrame:
