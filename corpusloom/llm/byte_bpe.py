@@ -7,13 +7,35 @@ import re
 from array import array
 from functools import lru_cache
 
-#: Fixed rule of the public byte-level vocabularies: how a text is cut into pre-tokens. In this
-#: form it holds for texts without ``_UNUSUAL`` characters, in which letters are word characters
-#: other than digits and underscores.
-PRETOKEN = r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-#: Characters other than those whose classes are the same for all versions of Unicode and above.
-_UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏΑ-ΡΣ-ωА-я‐-‧€一-龥]")
-CACHE_ENTRIES = 300_000
+#: Characters other than those whose classes are the same for all versions of Unicode and rules.
+_USUAL = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏΑ-ΡΣ-ωА-я‐-‧€一-龥"
+_UNUSUAL = re.compile(f"[^{_USUAL}]")
+
+
+def _letters() -> str:
+    """The usual letters as ranges of a character class, so that the matcher has a bitmap."""
+    usual = re.compile(f"[{_USUAL}]")
+    codes = [c for c in range(0x10000) if chr(c).isalpha() and usual.match(chr(c))]
+    ranges, start = [], codes[0]
+    for code, following in zip(codes, [*codes[1:], -1], strict=True):
+        if following != code + 1:
+            ranges.append(f"{chr(start)}-{chr(code)}")
+            start = following
+    return "".join(ranges)
+
+
+#: Fixed rule of the public byte-level vocabularies: how a text is cut into pre-tokens; here for
+#: texts of usual characters, and with the most frequent alternative first.
+PRETOKEN = r" ?[LETTERS]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s0-9LETTERS]+|\s+(?!\S)|\s+".replace("LETTERS", _letters())
+CACHE_ENTRIES = 600_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes stand for
+    themselves, the others for the letters from 256 on. Byte 0 separates pre-tokens here."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others) if b}
 
 
 class ByteBpe:
@@ -26,19 +48,23 @@ class ByteBpe:
         self.held: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.model = self.library.model
+        self.model._resize_cache(0)
         self.pattern = re.compile(PRETOKEN)
         self.cut = self.pattern.findall
+        self.written = _byte_letters()
 
     def learn(self, tokens: list[str]) -> None:
-        """Encodes the pre-tokens that are not held yet, in one call."""
+        """Encodes the pre-tokens that are not held yet, by the library's model."""
         new = list(set(tokens).difference(self.held))
+        if not new:
+            return
         if len(self.held) + len(new) > CACHE_ENTRIES:
             self.held.clear()
             new = list(set(tokens))
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for token, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.held[token] = array("I", found.ids).tobytes()
+        tokenize, held = self.model.tokenize, self.held
+        for token, letters in zip(new, "\0".join(new).encode().decode("latin-1").translate(self.written).split("\0"), strict=True):
+            held[token] = array("I", [t.id for t in tokenize(letters)]).tobytes()
 
     def pretokens(self, text: str) -> list[str] | None:
         """None if the text has characters on which the rule's forms may differ."""
@@ -51,8 +77,12 @@ class ByteBpe:
         tokens = self.pretokens(text)
         if tokens is None:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        self.learn(tokens)
-        return b"".join(map(self.held.__getitem__, tokens))
+        parts = list(map(self.held.get, tokens))
+        if missing := [k for k, p in enumerate(parts) if p is None]:
+            self.learn([tokens[k] for k in missing])
+            for k in missing:
+                parts[k] = self.held[tokens[k]]
+        return b"".join(parts)
 
 
 @lru_cache(maxsize=2)

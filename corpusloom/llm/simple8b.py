@@ -14,7 +14,7 @@ import numpy as np
 #: Fixed values of the code: selector by place, (values in a word, bits of each).
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
-BLOCK = 4096
+BLOCK = 1 << 14
 MAGIC = b"CLS8"
 
 _COUNT = np.zeros(16, np.int64)
