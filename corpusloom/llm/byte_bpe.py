@@ -6,6 +6,7 @@ import os
 import re
 from array import array
 from functools import lru_cache
+from operator import attrgetter
 
 #: Characters other than those whose classes are the same for all versions of Unicode and rules.
 _USUAL = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏΑ-ΡΣ-ωА-я‐-‧€一-龥"
@@ -62,9 +63,9 @@ class ByteBpe:
         if len(self.held) + len(new) > CACHE_ENTRIES:
             self.held.clear()
             new = list(set(tokens))
-        tokenize, held = self.model.tokenize, self.held
+        tokenize, token_id, held = self.model.tokenize, attrgetter("id"), self.held
         for token, letters in zip(new, "\0".join(new).encode().decode("latin-1").translate(self.written).split("\0"), strict=True):
-            held[token] = array("I", [t.id for t in tokenize(letters)]).tobytes()
+            held[token] = array("I", map(token_id, tokenize(letters))).tobytes()
 
     def pretokens(self, text: str) -> list[str] | None:
         """None if the text has characters on which the rule's forms may differ."""

@@ -30,14 +30,16 @@ def encode_words(values: np.ndarray) -> np.ndarray:
         return np.empty(0, np.uint64)
     padded = np.concatenate([values, np.full(60, 2**64 - 1, np.uint64)])
     best = np.full(n, ESCAPE, np.uint8)
-    most, width = padded, 1
+    most, width = padded if values.max() >= 1 << 32 else np.minimum(padded, 2**32 - 1).astype(np.uint32), 1
     for selector in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[selector]
         while width < count:
             step = min(width, count - width)
             most = np.maximum(most[: len(most) - step], most[step:])
             width += step
-        fits = most[:n] < np.uint64(1 << bits)
+        fits = most[:n] < most.dtype.type(min(1 << bits, np.iinfo(most.dtype).max))
+        if not fits.any():  # nor do more values in fewer bits
+            break
         best[: len(fits)][fits] = selector
     jump, at, i = _COUNT[best].astype(np.uint8).tobytes(), [], 0
     while i < n:

@@ -61,18 +61,26 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(_encode(tokenizer, end_id), FORMAT).write.parquet(path)
 
 
-def _decode(batches):
+def _decoded(batches, kind: pa.DataType, name: str, of):
+    """Rows of all documents of the blocks, with ``of`` of each document's packed ids."""
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), kind)
     for batch in batches:
         out: list[tuple] = []
         for row in batch.to_pylist():
-            values = simple8b.decode(row["payload"]).astype("<u4")
-            at = 0
+            values, at = memoryview(simple8b.decode(row["payload"]).astype("<u4")).cast("B"), 0
             for doc_id, length in zip(row["doc_ids"], row["lengths"], strict=True):
-                out.append((doc_id, row["shard"], row["start"] + at, length, values[at : at + length].tobytes()))
+                out.append((doc_id, row["shard"], row["start"] + at, length, of(values[4 * at : 4 * (at + length)])))
                 at += length
         columns = list(zip(*out, strict=True)) or [[]] * 5
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "shard", "local_start", "n_tokens", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "shard", "local_start", "n_tokens", name])
+
+
+def _decode(batches):
+    return _decoded(batches, pa.binary(), "ids", bytes)
+
+
+def _digest(batches):
+    return _decoded(batches, pa.int64(), "ids_crc32", zlib.crc32)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -88,12 +96,6 @@ def shard_starts(spark: SparkSession, path: str) -> DataFrame:
     return totals.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first"))
 
 
-def _digest(batches):
-    for batch in _decode(batches):
-        crc = pa.array([zlib.crc32(x.as_buffer()) for x in batch.column(4)], pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], crc], ["doc_id", "shard", "local_start", "n_tokens", "ids_crc32"])
-
-
 def token_file_digest(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None) -> DataFrame:
     """Writes token files and reads them back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
