@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 SLOTS = 1 << 20
 #: Of each random subset, the binary logarithm of the share of terms left out of it.
-DENSITIES = (2, 3, 4, 5, 6, 6, 7, 7, 7, 7, 8, 8, 8, 9, 9, 10)
+DENSITIES = (2, 3, 4, 4, 5, 5, 6, 6, 6, 7, 7, 7, 7, 8, 8, 8, 8, 9, 9, 9, 10, 10)
 MIN_IDF = 2.0
 MIN_DOCS = 2
 GRID = 64
