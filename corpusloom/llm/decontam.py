@@ -7,7 +7,7 @@
    folded into the space, and the items with a cosine of ``LEAST_COSINE`` are candidates.
 4. A candidate counts if the longest common subsequence of item and passage is long enough: at once
    from ``VERBATIM`` of the item's words; from ``PARAPHRASE`` on, if the item's answer is there too:
-   its answer column, or else most of its rarest words.
+   all words of its answer column, or else half of its distinct words of weight.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ SLOTS = 1 << 17
 BLOCK = 16
 RANK, EXTRA, TURNS = 128, 16, 2
 LEAST_COSINE = 0.3
+MOST_IDF = 3.0
 VERBATIM, PARAPHRASE = 0.8, 0.55
-ANSWER_WORDS = 5
 #: Items compared with passages at once.
 ITEM_BATCH = 1024
 
@@ -49,8 +49,9 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
 
 
 def idf_weights(df: np.ndarray, n: int) -> np.ndarray:
-    """ln(N / df) less one, 0 at least: words in over a third of the documents don't count."""
-    return np.maximum(0, np.log((n + 1) / (df + 1)) - 1).astype(np.float32)
+    """ln(1 + N / df), ``MOST_IDF`` at most: a passage that a third of all documents share still
+    weighs enough beside the rare words around it to be a candidate."""
+    return np.minimum(MOST_IDF, np.log1p((n + 1) / (df + 1))).astype(np.float32)
 
 
 def _tfidf(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +130,8 @@ class Items:
             held, weights = _tfidf(hashes, idf)
             held, weights = held[weights > 0], weights[weights > 0]
             vectors.append(weights @ basis[np.searchsorted(slots, held)] if len(held) else np.zeros(basis.shape[1], np.float32))
-            rare = np.argsort(-idf[(hashes & U64(SLOTS - 1)).astype(np.int64)], kind="stable")
-            key = hash_words(*text_buffers(pa.array([answer], pa.large_string())), byte_table("alnum"))[0] if answer else hashes[rare[:ANSWER_WORDS]]
+            weight = idf[(hashes & U64(SLOTS - 1)).astype(np.int64)]
+            key = hash_words(*text_buffers(pa.array([answer], pa.large_string())), byte_table("alnum"))[0] if answer else hashes[weight >= weight.max() / 2]
             self.ids.append(item_id)
             self.words.append(hashes)
             self.answers.append((set(key.tolist()), 1.0 if answer else 0.5))

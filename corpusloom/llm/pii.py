@@ -12,6 +12,7 @@ import datetime
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -145,6 +146,15 @@ def _iban(text: str, cipher: Feistel, back: bool) -> str | None:
     return "".join(c if c == " " else next(it) for c in text)
 
 
+@lru_cache(maxsize=32)
+def _calendar(year_digits: int, month_digits: int, day_digits: int, late: bool) -> list[int]:
+    """The days that a layout can write: one digit holds 1-9 only; ``late``: days after the 12th,
+    as in dates whose month comes first for certain."""
+    first, last = (1900, 2099) if year_digits == 4 else (1950, 2049)
+    days = (datetime.date.fromordinal(k) for k in range(datetime.date(first, 1, 1).toordinal(), datetime.date(last, 12, 31).toordinal() + 1))
+    return [d.toordinal() for d in days if d.month < 10**month_digits and d.day < 10**day_digits and (d.day > 12 or not late)]
+
+
 def _date(text: str, cipher: Feistel, back: bool) -> str | None:
     a, sep, b, _, c = re.split(r"([-/.])", text)
     year_first = len(a) == 4
@@ -152,18 +162,15 @@ def _date(text: str, cipher: Feistel, back: bool) -> str | None:
     swapped = not year_first and sep == "/" and int(m) > 12 >= int(d)
     if swapped:
         m, d = d, m
-    full = int(y) if len(y) == 4 else 1950 + (int(y) - 50) % 100
-    low, high = (datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)) if len(y) == 4 else (datetime.date(1950, 1, 1), datetime.date(2049, 12, 31))
     try:
-        day = datetime.date(full, int(m), int(d))
+        day = datetime.date(int(y) if len(y) == 4 else 1950 + (int(y) - 50) % 100, int(m), int(d)).toordinal()
     except ValueError:
         return None
-    if not low <= day <= high:
+    days = _calendar(len(y), len(m), len(d), swapped)
+    if (at := bisect_left(days, day)) == len(days) or days[at] != day:
         return None
-    base = low.toordinal()
-    moved = datetime.date.fromordinal(base + cipher.move(day.toordinal() - base, high.toordinal() - base + 1, f"date{len(y)}", back))
-    write = lambda v, like: f"{v:02d}" if len(like) == 2 else str(v)
-    year, month, dom = f"{moved.year:04d}" if len(y) == 4 else f"{moved.year % 100:02d}", write(moved.month, m), write(moved.day, d)
+    moved = datetime.date.fromordinal(days[cipher.move(at, len(days), f"date{len(y)}{len(m)}{len(d)}{swapped}", back)])
+    year, month, dom = f"{moved.year:04d}"[-len(y) :], f"{moved.month:0{len(m)}d}", f"{moved.day:0{len(d)}d}"
     if year_first:
         return sep.join((year, month, dom))
     return sep.join((month, dom, year) if swapped else (dom, month, year))
