@@ -86,7 +86,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRAD
     for cut in range(n_grades - 1):
         below, share = np.bincount(flat, holder <= cut, minlength=SLOTS), (grades <= cut).mean()
         telling |= np.abs(below - seen * share) > LEAST_Z * np.sqrt(seen * share * (1 - share) + 1e-12)
-    used = np.flatnonzero(telling & (seen >= min(MIN_TEXTS, max(1, len(rows) // 4))))
+    used = np.flatnonzero(telling & (seen >= min(MIN_TEXTS, max(2, len(rows) // 40))))
     place = np.full(SLOTS, len(used))
     place[used] = np.arange(len(used))
     flat = place[flat]

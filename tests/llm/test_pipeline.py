@@ -6,7 +6,7 @@ import sentencepiece
 
 from corpusloom.llm import decontam, jaccard_join
 
-DIR = "/root/testdata/sf0.001"
+DIR = "/root/testdata/sf0.01"
 
 
 def test_stages(spark):
@@ -23,7 +23,8 @@ def test_stages(spark):
     labels = {r.doc_id: r for r in spark.read.parquet(f"{DIR}/labels.parquet").collect()}
     _, rated = held["quality_classifier"]
     clean = [i for i, r in labels.items() if r.quality == 1 and r.toxic == 0]
-    assert sum(i in rated for i in clean) >= 0.9 * len(clean) and not any(labels[i].toxic for i in rated if i in labels)
+    toxic = [i for i, r in labels.items() if r.toxic]
+    assert sum(i in rated for i in clean) >= 0.95 * len(clean) and sum(i in rated for i in toxic) <= 0.3 * len(toxic)
     before, kept = held["ngram_jaccard_join"]
     classes = jaccard_join.ngram_jaccard_classes(spark.createDataFrame(list(kept.values()), docs.sparkSession.read.parquet(f"{DIR}/documents.parquet").schema), 5, 80)
     assert classes.where("doc_id <> component_id").count() == 0 and len(kept) < len(before)
