@@ -1,6 +1,6 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of hashed words over all documents give TF-IDF weights.
+1. Counts of hashed words over all documents give TF-IDF weights.
 2. A randomised SVD of the benchmark's TF-IDF passages, its products summed over partitions, gives
    a latent space; words outside it count in a passage's norm only.
 3. Every document is cut into passages of two blocks of ``BLOCK`` words that overlap by one, each is
@@ -29,29 +29,29 @@ VERBATIM, PARAPHRASE = 0.8, 0.55
 ITEM_BATCH = 1024
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
-    """In how many documents the words of each slot occur, and the number of documents."""
+def occurrences(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """How often the words of each slot occur in all documents, and the number of documents."""
 
     def run(batches):
-        counts, n = SlotCounts({"df": SLOTS}), 0
+        counts, n = SlotCounts({"words": SLOTS}), 0
         for batch in batches:
             n += batch.num_rows
-            for i, j, hashes, _, first, _ in words_of(batch.column(0), "alnum"):
-                owner = np.repeat(np.arange(j - i, dtype=np.int64), np.diff(first))
-                keys = np.unique((owner << 17) | (hashes & U64(SLOTS - 1)).astype(np.int64))
-                counts.add("df", keys.astype(U64))
+            for _, _, hashes, _, _, _ in words_of(batch.column(0), "alnum"):
+                counts.add("words", hashes)
         rows = [*counts.blocks(), ("n/0", np.array([n], np.int64).tobytes())]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["block", "counts"])
 
     blocks = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, "block string, counts binary")
-    totals = summed_blocks(blocks, {"df": SLOTS, "n": 1})
-    return totals["df"], int(totals["n"][0])
+    totals = summed_blocks(blocks, {"words": SLOTS, "n": 1})
+    return totals["words"], int(totals["n"][0])
 
 
-def idf_weights(df: np.ndarray, n: int) -> np.ndarray:
-    """ln(1 + N / df), ``MOST_IDF`` at most: a passage that a third of all documents share still
-    weighs enough beside the rare words around it to be a candidate."""
-    return np.minimum(MOST_IDF, np.log1p((n + 1) / (df + 1))).astype(np.float32)
+def idf_weights(times: np.ndarray, n: int) -> np.ndarray:
+    """ln(1 + N / occurrences), ``MOST_IDF`` at most and 0 for words that occur more than once a
+    document. Occurrences tell function words from a passage that a third of all documents share:
+    its words still weigh enough beside the rare ones around it to make a candidate."""
+    weights = np.minimum(MOST_IDF, np.log1p((n + 1) / (times + 1)))
+    return np.where(times > max(n, 8), 0, weights).astype(np.float32)
 
 
 def _tfidf(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,8 +203,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"), answer.alias("answer"))
-    df, n = document_frequencies(docs)
-    idf = idf_weights(df, n)
+    times, n = occurrences(docs)
+    idf = idf_weights(times, n)
     slots, basis = latent_space(items, idf)
     shared = spark.sparkContext.broadcast(Items([tuple(r) for r in items.orderBy("item_id", "text").toLocalIterator()], idf, slots, basis))
 
