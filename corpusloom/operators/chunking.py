@@ -126,13 +126,19 @@ def plain_chunks(text: Column, target: int = DEFAULT_TARGET_TOKENS, overlap: int
     """Chunk texts of a text without headings and labels, without Python: the text itself up to the
     target, else windows of words, and the tail that seeds the next chunk as one of its own."""
     stripped = F.regexp_replace(text, r"^\s+|\s+$", "")
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    n, stride = F.size(words), target - overlap
-    windows = F.when(n <= target, 1).otherwise(F.ceil((n - target) / F.lit(stride)).cast("int") + 1)
-    cut = F.transform(F.sequence(F.lit(0), windows - 1), lambda k: F.array_join(F.slice(words, k * stride + 1, target), " "))
-    left = n - (windows - 1) * stride
-    tail = F.array_join(F.slice(words, n - overlap + 1, overlap), " ") if overlap else F.lit("")
-    cut = F.when(F.lit(overlap > 0) & (left > overlap), F.concat(cut, F.array(tail))).otherwise(cut)
+    stride = target - overlap
+
+    def windows(words: Column) -> Column:
+        n = F.size(words)
+        count = F.when(n <= target, 1).otherwise(F.ceil((n - target) / F.lit(stride)).cast("int") + 1)
+        cut = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.array_join(F.slice(words, k * stride + 1, target), " "))
+        if not overlap:
+            return cut
+        tail = F.array_join(F.slice(words, n - overlap + 1, overlap), " ")
+        return F.when(n - (count - 1) * stride > overlap, F.concat(cut, F.array(tail))).otherwise(cut)
+
+    # the words are bound to a variable of the lambda, so that they are made once a row
+    cut = F.element_at(F.transform(F.array(F.filter(F.split(text, r"\s+"), lambda w: w != "")), windows), 1)
     return F.when(stripped == "", F.array().cast("array<string>")).when(count_tokens(stripped) <= target, F.array(stripped)).otherwise(cut)
 
 
