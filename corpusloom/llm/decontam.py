@@ -4,14 +4,20 @@
 2. A randomised SVD of the benchmark's TF-IDF passages, its products summed over partitions, gives
    a latent space; words outside it count in a passage's norm only.
 3. Every document is cut into passages of two blocks of ``BLOCK`` words that overlap by one, each is
-   folded into the space, and the items with a cosine of ``LEAST_COSINE`` are candidates.
-4. A candidate counts if the longest common subsequence of item and passage is long enough: at once
+   folded into the space, and the items with a cosine of ``LEAST_COSINE`` are candidates, less for
+   items of which the space keeps a part only.
+4. Beside it an exact lookup makes candidates: ``VERBATIM`` of an item's words in order within its
+   length and a quarter (and ``BLOCK`` words at least) hold a known number of its rarest words, and
+   all places with so many of them are taken.
+5. A candidate counts if the longest common subsequence of item and passage is long enough: at once
    from ``VERBATIM`` of the item's words; from ``PARAPHRASE`` on, if the item's answer is there too:
    all words of its answer column, or else half of its distinct words of weight.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +27,8 @@ from corpusloom.llm.wordhash import U64, SlotCounts, byte_table, fmix, hash_word
 
 SLOTS = 1 << 17
 BLOCK = 16
-RANK, EXTRA, TURNS = 128, 16, 2
+#: The rank follows the items: as many dimensions as keep ``ENERGY`` of their vectors.
+MOST_RANK, ENERGY, EXTRA, TURNS = 512, 0.95, 16, 2
 LEAST_COSINE = 0.3
 MOST_IDF = 3.0
 VERBATIM, PARAPHRASE = 0.8, 0.55
@@ -61,12 +68,12 @@ def _tfidf(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return slots, weights / norm if norm else weights
 
 
-def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, basis): right singular vectors of the items' TF-IDF matrix by subspace iteration on
+def latent_space(items: DataFrame, idf: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, basis): right singular vectors of the TF-IDF matrix of ``count`` items by subspace iteration on
     a random start. Each turn sums A^T (A Q) over partitions; the vocabulary's slots bound what
     comes to the driver."""
     spark = items.sparkSession
-    width = rank + EXTRA
+    width = min(count, MOST_RANK) + EXTRA
     shared_idf = spark.sparkContext.broadcast(idf)
 
     def start(slots: np.ndarray) -> np.ndarray:
@@ -106,7 +113,7 @@ def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[n
 
     slots, matrix = product(None)
     if not len(slots):
-        return slots, np.empty((0, rank), np.float32)
+        return slots, np.empty((0, 1), np.float32)
     for turn in range(TURNS):
         q = np.linalg.qr(matrix)[0]
         if q.shape[1] < width:
@@ -114,19 +121,28 @@ def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[n
         _, matrix = product(spark.sparkContext.broadcast((slots, q)))
     u, values, _ = np.linalg.svd(q.T @ matrix)
     keep = values > 1e-9 * max(values.max(), 1e-30)
+    rank = min(int(np.searchsorted(np.cumsum(values), ENERGY * count)) + 1, MOST_RANK)
     return slots, (q @ u[:, : len(values)][:, keep])[:, :rank].astype(np.float32)
 
 
+def read_items(rows) -> list[tuple[int, np.ndarray, str | None]]:
+    """(id, word hashes, answer) of the items that have words."""
+    held = []
+    for item_id, text, answer in rows:
+        hashes = hash_words(*text_buffers(pa.array([text or ""], pa.large_string())), byte_table("alnum"))[0]
+        if len(hashes):
+            held.append((item_id, hashes, answer))
+    return held
+
+
 class Items:
-    """The benchmark's items: latent vectors, word hashes, answers."""
+    """The benchmark's items: latent vectors, word hashes, answers, rarest words."""
 
-    def __init__(self, rows: list[tuple[int, str, str | None]], idf: np.ndarray, slots: np.ndarray, basis: np.ndarray):
+    def __init__(self, rows: list[tuple[int, np.ndarray, str | None]], idf: np.ndarray, times: np.ndarray, slots: np.ndarray, basis: np.ndarray):
         self.ids, self.words, self.answers, vectors = [], [], [], []
-        for item_id, text, answer in rows:
-            data, offsets = text_buffers(pa.array([text or ""], pa.large_string()))
-            hashes = hash_words(data, offsets, byte_table("alnum"))[0]
-            if not len(hashes):
-                continue
+        rare: list[np.ndarray] = []
+        needed, reach = [], []
+        for item_id, hashes, answer in rows:
             held, weights = _tfidf(hashes, idf)
             held, weights = held[weights > 0], weights[weights > 0]
             vectors.append(weights @ basis[np.searchsorted(slots, held)] if len(held) else np.zeros(basis.shape[1], np.float32))
@@ -135,9 +151,24 @@ class Items:
             self.ids.append(item_id)
             self.words.append(hashes)
             self.answers.append((set(key.tolist()), 1.0 if answer else 0.5))
-        self.vectors = np.array(vectors, np.float32).reshape(len(self.ids), basis.shape[1])
+            # At most ``spare`` words are missing, so of spare + k words k are there at least.
+            spare, k = len(hashes) - math.ceil(VERBATIM * len(hashes) - 1e-9), max(1, len(hashes) // 6)
+            rarest = np.argsort(times[(hashes & U64(SLOTS - 1)).astype(np.int64)], kind="stable")[: spare + k]
+            rare.append(np.unique(hashes[rarest]))
+            needed.append(k)
+            reach.append(len(hashes) + max(BLOCK, len(hashes) // 4))
+        self.needed, self.reach = np.array(needed, np.int64), np.array(reach, np.int64)
+        words = np.concatenate([*rare, np.empty(0, U64)])
+        order = np.argsort(words, kind="stable")
+        self.rare_items = np.repeat(np.arange(len(rare)), [len(x) for x in rare])[order]
+        self.rare_words, self.rare_first, self.rare_count = np.unique(words[order], return_index=True, return_counts=True)
+        self.rare_slots = np.zeros(SLOTS, bool)
+        self.rare_slots[(words & U64(SLOTS - 1)).astype(np.int64)] = True
+        self.vectors = np.array(vectors, np.float32).reshape(len(vectors), basis.shape[1])
         norms = np.linalg.norm(self.vectors, axis=1, keepdims=True)
         self.vectors = np.divide(self.vectors, norms, out=np.zeros_like(self.vectors), where=norms > 0)
+        #: An exact copy has the cosine ``norms`` with its item: what the space keeps of it.
+        self.least = np.where(norms > 0, LEAST_COSINE * np.minimum(norms, 1), np.inf)[:, 0].astype(np.float32)
         self.place = np.full(SLOTS, -1, np.int32)
         self.place[slots] = np.arange(len(slots))
         self.idf, self.basis = idf, basis
@@ -185,11 +216,48 @@ def _passage_hits(items: Items, hashes: np.ndarray, first: np.ndarray):
     for k in range(0, len(items.ids), ITEM_BATCH):
         cosines = total[live] @ items.vectors[k : k + ITEM_BATCH].T
         cosines /= norm[live, None]
-        for p, item in zip(*np.nonzero(cosines >= LEAST_COSINE), strict=True):
+        for p, item in zip(*np.nonzero(cosines >= items.least[k : k + ITEM_BATCH]), strict=True):
             b = live[p]
             yield int(owner[b]), k + int(item), float(cosines[p, item]), int(begins[b])
 
 
+def _rare_hits(items: Items, hashes: np.ndarray, first: np.ndarray):
+    """(text, item, first word) of all blocks near which enough of an item's rarest words stand."""
+    at = np.flatnonzero(items.rare_slots[(hashes & U64(SLOTS - 1)).astype(np.int64)])
+    if not len(at):
+        return
+    row = np.minimum(np.searchsorted(items.rare_words, hashes[at]), len(items.rare_words) - 1)
+    same = items.rare_words[row] == hashes[at]
+    at, row = at[same], row[same]
+    times = items.rare_count[row]
+    item = items.rare_items[np.repeat(items.rare_first[row] - (np.cumsum(times) - times), times) + np.arange(times.sum())]
+    at = np.repeat(at, times)
+    order = np.argsort(item, kind="stable")
+    item, at = item[order], at[order]
+    text = np.searchsorted(first, at, side="right") - 1
+    last = np.arange(len(at)) + items.needed[item] - 1
+    inside = last < len(at)
+    last = np.minimum(last, len(at) - 1)
+    inside &= (item[last] == item) & (text[last] == text) & (at[last] - at < items.reach[item])
+    text, item, at = text[inside], item[inside], at[inside]
+    begin = first[text] + (at - first[text]) // BLOCK * BLOCK
+    for t, i, b in np.unique(np.stack([text, item, begin], axis=1), axis=0).tolist():
+        yield t, i, b
+
+
+def _hits(items: Items, hashes: np.ndarray, first: np.ndarray):
+    """(text, item, cosine, first word, first word and end of the passage to compare): by latent
+    vectors, then by rare words, with the cosine 0 where the space did not find the place."""
+    cosines: dict[tuple[int, int], float] = {}
+    for text, item, cosine, begin in _passage_hits(items, hashes, first):
+        size = len(items.words[item])
+        cosines[text, item] = max(cosine, cosines.get((text, item), 0.0))
+        yield text, item, cosine, begin, max(int(first[text]), begin - size), min(int(first[text + 1]), begin + 2 * BLOCK + size)
+    for text, item, begin in _rare_hits(items, hashes, first):
+        reach = int(items.reach[item])
+        yield text, item, cosines.get((text, item), 0.0), begin, max(int(first[text]), begin - reach), min(int(first[text + 1]), begin + BLOCK + reach)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None) -> DataFrame:
     """One row for each document and item that it holds, verbatim or in paraphrase: doc_id,
     item_id, cosine, lcs (share of the item's words in common order), kind, first_word.
@@ -205,8 +273,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"), answer.alias("answer"))
     times, n = occurrences(docs)
     idf = idf_weights(times, n)
-    slots, basis = latent_space(items, idf)
-    shared = spark.sparkContext.broadcast(Items([tuple(r) for r in items.orderBy("item_id", "text").toLocalIterator()], idf, slots, basis))
+    rows = read_items(items.orderBy("item_id", "text").toLocalIterator())
+    slots, basis = latent_space(items, idf, len(rows))
+    shared = spark.sparkContext.broadcast(Items(rows, idf, times, slots, basis))
 
     def run(batches):
         held = shared.value
@@ -215,10 +284,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             data, offsets = text_buffers(batch.column(1))
             for i, j in slices(offsets, 1 << 19):
                 hashes, _, first = hash_words(data, offsets[i : j + 1], byte_table("alnum"))
-                for text, item, cosine, begin in _passage_hits(held, hashes, first):
+                for text, item, cosine, begin, lo, hi in _hits(held, hashes, first):
                     words = held.words[item]
-                    lo = max(int(first[text]), begin - len(words))
-                    hi = min(int(first[text + 1]), begin + 2 * BLOCK + len(words))
                     passage = hashes[lo:hi]
                     share = common_subsequence(words, passage) / len(words)
                     if share < PARAPHRASE:
