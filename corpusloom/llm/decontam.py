@@ -30,7 +30,7 @@ BLOCK = 16
 #: The rank follows the items: as many dimensions as keep ``ENERGY`` of their vectors.
 MOST_RANK, ENERGY, EXTRA, TURNS = 512, 0.95, 16, 2
 LEAST_COSINE = 0.3
-MOST_IDF = 3.0
+LEAST_IDF, MOST_IDF = 0.05, 3.0
 VERBATIM, PARAPHRASE = 0.8, 0.55
 #: Items compared with passages at once.
 ITEM_BATCH = 1024
@@ -54,11 +54,10 @@ def occurrences(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, in
 
 
 def idf_weights(times: np.ndarray, n: int) -> np.ndarray:
-    """ln(1 + N / occurrences), ``MOST_IDF`` at most and 0 for words that occur more than once a
-    document. Occurrences tell function words from a passage that a third of all documents share:
-    its words still weigh enough beside the rare ones around it to make a candidate."""
-    weights = np.minimum(MOST_IDF, np.log1p((n + 1) / (times + 1)))
-    return np.where(times > max(n, 8), 0, weights).astype(np.float32)
+    """ln(1 + N / occurrences), ``MOST_IDF`` at most and ``LEAST_IDF`` at least, so that an item
+    of frequent words has a vector too. Occurrences tell function words from a passage that a third
+    of all documents share."""
+    return np.clip(np.log1p((n + 1) / (times + 1)), LEAST_IDF, MOST_IDF).astype(np.float32)
 
 
 def _tfidf(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -25,3 +25,19 @@ def test_two_thousand_items(spark):
     missed = [k for k, _ in items if (k, k) not in got]
     assert not missed, len(missed)
     assert len({d for d, _ in got if d >= 5000}) <= 5  # chance matches by the paraphrase rule
+
+
+def test_item_several_times_in_a_third_of_the_documents(spark):
+    rng = random.Random(4)
+    item = " ".join(f"common{k}" for k in range(20))
+    docs = [(k, " ".join(f"rare{k}x{j} {item if k % 3 == 0 and j % 20 == 0 else ''}" for j in range(60))) for k in range(90)]
+    assert found(spark, docs, [(1, item), (2, prose(rng, 30))]) == {(k, 1) for k in range(0, 90, 3)}
+
+
+def test_items_of_words_more_frequent_than_documents(spark):
+    rng = random.Random(6)
+    item = " ".join(f"often{k}" for k in range(40))
+    swapped = " ".join(w if k % 3 else "z" for k, w in enumerate(item.split()))
+    words = item.split()
+    docs = [(k, " ".join(rng.choice(words) for _ in range(300))) for k in range(60)] + [(100, f"{prose(rng, 80)} {swapped} {prose(rng, 80)}")]
+    assert (100, 1) in found(spark, docs, [(1, item), (2, prose(rng, 30))])
