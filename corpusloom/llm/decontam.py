@@ -27,12 +27,13 @@ from corpusloom.llm.wordhash import U64, SlotCounts, byte_table, fmix, hash_word
 
 SLOTS = 1 << 17
 BLOCK = 16
+PART = 4 * BLOCK
 #: The rank follows the items: as many dimensions as keep ``ENERGY`` of their vectors.
 MOST_RANK, ENERGY, EXTRA, TURNS = 512, 0.95, 16, 2
 LEAST_COSINE = 0.3
 LEAST_IDF, MOST_IDF = 0.05, 3.0
 VERBATIM, PARAPHRASE = 0.8, 0.55
-#: Items compared with passages at once.
+#: Parts of items compared with passages at once.
 ITEM_BATCH = 1024
 
 
@@ -67,8 +68,14 @@ def _tfidf(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return slots, weights / norm if norm else weights
 
 
+def parts(hashes: np.ndarray) -> list[np.ndarray]:
+    """An item's words in parts of ``PART`` words that overlap by half, so that a long item is
+    retrieved by passages of a size with those of the documents."""
+    return [hashes[k : k + PART] for k in range(0, max(len(hashes) - PART // 2, 1), PART // 2)]
+
+
 def latent_space(items: DataFrame, idf: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, basis): right singular vectors of the TF-IDF matrix of ``count`` items by subspace iteration on
+    """(slots, basis): right singular vectors of the TF-IDF matrix of the items' ``count`` parts by subspace iteration on
     a random start. Each turn sums A^T (A Q) over partitions; the vocabulary's slots bound what
     comes to the driver."""
     spark = items.sparkSession
@@ -86,12 +93,12 @@ def latent_space(items: DataFrame, idf: np.ndarray, count: int) -> tuple[np.ndar
             for batch in batches:
                 for i, j, hashes, _, first, _ in words_of(batch.column(0), "alnum"):
                     for k in range(j - i):
-                        slots, weights = _tfidf(hashes[first[k] : first[k + 1]], shared_idf.value)
-                        slots, weights = slots[weights > 0], weights[weights > 0]
-                        rows = start(slots) if table is None else table[1][np.searchsorted(table[0], slots)]
-                        y = weights @ rows
-                        for s, w in zip(slots.tolist(), weights, strict=True):
-                            held[s] = held[s] + w * y if s in held else w * y
+                        for part in parts(hashes[first[k] : first[k + 1]]):
+                            slots, weights = _tfidf(part, shared_idf.value)
+                            rows = start(slots) if table is None else table[1][np.searchsorted(table[0], slots)]
+                            y = weights @ rows
+                            for s, w in zip(slots.tolist(), weights, strict=True):
+                                held[s] = held[s] + w * y if s in held else w * y
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["slot", "row"])
 
         def add(batches):
@@ -141,10 +148,12 @@ class Items:
         self.ids, self.words, self.answers, vectors = [], [], [], []
         rare: list[np.ndarray] = []
         needed, reach = [], []
+        of: list[int] = []
         for item_id, hashes, answer in rows:
-            held, weights = _tfidf(hashes, idf)
-            held, weights = held[weights > 0], weights[weights > 0]
-            vectors.append(weights @ basis[np.searchsorted(slots, held)] if len(held) else np.zeros(basis.shape[1], np.float32))
+            for part in parts(hashes):
+                held, weights = _tfidf(part, idf)
+                vectors.append(weights @ basis[np.searchsorted(slots, held)])
+                of.append(len(self.ids))
             weight = idf[(hashes & U64(SLOTS - 1)).astype(np.int64)]
             key = hash_words(*text_buffers(pa.array([answer], pa.large_string())), byte_table("alnum"))[0] if answer else hashes[weight >= weight.max() / 2]
             self.ids.append(item_id)
@@ -156,6 +165,8 @@ class Items:
             rare.append(np.unique(hashes[rarest]))
             needed.append(k)
             reach.append(len(hashes) + max(BLOCK, len(hashes) // 4))
+        #: The item of each vector.
+        self.of = np.array(of, np.int64)
         self.needed, self.reach = np.array(needed, np.int64), np.array(reach, np.int64)
         words = np.concatenate([*rare, np.empty(0, U64)])
         order = np.argsort(words, kind="stable")
@@ -212,12 +223,12 @@ def _passage_hits(items: Items, hashes: np.ndarray, first: np.ndarray):
     total = sums + sums[nxt] * pair[:, None]
     norm = np.sqrt(norms + norms[nxt] * pair)
     live = np.flatnonzero((norm > 0) & total.any(axis=1))
-    for k in range(0, len(items.ids), ITEM_BATCH):
+    for k in range(0, len(items.of), ITEM_BATCH):
         cosines = total[live] @ items.vectors[k : k + ITEM_BATCH].T
         cosines /= norm[live, None]
         for p, item in zip(*np.nonzero(cosines >= items.least[k : k + ITEM_BATCH]), strict=True):
             b = live[p]
-            yield int(owner[b]), k + int(item), float(cosines[p, item]), int(begins[b])
+            yield int(owner[b]), int(items.of[k + item]), float(cosines[p, item]), int(begins[b])
 
 
 def _rare_hits(items: Items, hashes: np.ndarray, first: np.ndarray):
@@ -273,7 +284,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     times, n = occurrences(docs)
     idf = idf_weights(times, n)
     rows = read_items(items.orderBy("item_id", "text").toLocalIterator())
-    slots, basis = latent_space(items, idf, len(rows))
+    slots, basis = latent_space(items, idf, sum(len(parts(hashes)) for _, hashes, _ in rows))
     shared = spark.sparkContext.broadcast(Items(rows, idf, times, slots, basis))
 
     def run(batches):
@@ -286,6 +297,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 for text, item, cosine, begin, lo, hi in _hits(held, hashes, first):
                     words = held.words[item]
                     passage = hashes[lo:hi]
+                    if np.isin(passage, words).sum() < PARAPHRASE * len(words):
+                        continue
                     share = common_subsequence(words, passage) / len(words)
                     if share < PARAPHRASE:
                         continue

@@ -34,6 +34,14 @@ def test_item_several_times_in_a_third_of_the_documents(spark):
     assert found(spark, docs, [(1, item), (2, prose(rng, 30))]) == {(k, 1) for k in range(0, 90, 3)}
 
 
+def test_items_of_a_thousand_words(spark):
+    rng = random.Random(5)
+    items = [(k, prose(rng, 1000)) for k in range(30)]
+    docs = [(k, f"{prose(rng, 200)} {t} {prose(rng, 200)}") for k, t in items] + [(100 + k, prose(rng, 1400)) for k in range(60)]
+    got = found(spark, docs, items)
+    assert got == {(k, k) for k in range(30)}, len([k for k in range(30) if (k, k) not in got])
+
+
 def test_items_of_words_more_frequent_than_documents(spark):
     rng = random.Random(6)
     item = " ".join(f"often{k}" for k in range(40))
@@ -41,3 +49,10 @@ def test_items_of_words_more_frequent_than_documents(spark):
     words = item.split()
     docs = [(k, " ".join(rng.choice(words) for _ in range(300))) for k in range(60)] + [(100, f"{prose(rng, 80)} {swapped} {prose(rng, 80)}")]
     assert (100, 1) in found(spark, docs, [(1, item), (2, prose(rng, 30))])
+
+
+def test_paraphrased_items_of_a_thousand_words(spark):
+    rng = random.Random(7)
+    items = [(k, prose(rng, 1000)) for k in range(10)]
+    docs = [(k, f"{prose(rng, 200)} {' '.join(w if j % 4 else f'z{j}' for j, w in enumerate(t.split()))} {prose(rng, 200)}") for k, t in items]
+    assert found(spark, docs, items) == {(k, k) for k in range(10)}
