@@ -48,7 +48,10 @@ class ByteBpe:
 
         self.held: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        #: Finds the added tokens, which the library takes out of a text before all else.
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.added_chars = max(map(len, added), default=0)
         self.model = self.library.model
         self.model._resize_cache(0)
         self.pattern = re.compile(PRETOKEN)
@@ -68,8 +71,8 @@ class ByteBpe:
             held[token] = array("I", map(token_id, tokenize(letters))).tobytes()
 
     def pretokens(self, text: str) -> list[str] | None:
-        """None if the text has characters on which the rule's forms may differ."""
-        return None if _UNUSUAL.search(text) else self.cut(text)
+        """None if the text has characters on which the rule's forms may differ, or an added token."""
+        return None if _UNUSUAL.search(text) or self.added.search(text) else self.cut(text)
 
     def encode_packed(self, text: str) -> bytes:
         """The text's ids as little-endian 32-bit integers."""

@@ -90,7 +90,8 @@ class TokenTree:
         start, end = max(0, min(start, len(self.text))), max(0, min(end, len(self.text)))
         end = max(start, end)
         text = self.text[:start] + new + self.text[end:]
-        if self.whole or self.bpe.pretokens(new) is None:
+        near = text[max(0, start - self.bpe.added_chars) : start + len(new) + self.bpe.added_chars]
+        if self.whole or self.bpe.pretokens(new) is None or self.bpe.added.search(near):
             self.text = text
             self._build(*self._cut(text, 0, None))
             return self.total
