@@ -79,9 +79,16 @@ def _fill(layout: str, digits: str) -> str:
 
 def _card(text: str, cipher: Feistel, back: bool) -> str | None:
     digits = re.sub(r"\D", "", text)
-    if not (13 <= len(digits) <= 19 and digits[0] in "3456" and len(set(digits)) > 1):
+    two = len(digits) == 16 and 2221 <= int(digits[:4]) <= 2720
+    if not (13 <= len(digits) <= 19 and (digits[0] in "3456" or two) and len(set(digits)) > 1):
         return None
     rest = luhn(digits)
+    if two:
+        if rest:
+            return None
+        series, *tail = _places([int(digits[:4]) - 2221, *map(int, digits[4:-1])], [500] + [10] * 11, cipher, "card2", back)
+        body = f"{series + 2221}" + "".join(map(str, tail))
+        return _fill(text, body + next(str(d) for d in range(10) if luhn(body + str(d)) == 0))
     if rest and not (len(digits) == 16 and digits[0] in "45"):
         return None
     body = digits[0] + "".join(map(str, _places([int(c) for c in digits[1:-1]], [10] * (len(digits) - 2), cipher, f"card{digits[0]}{rest}", back)))
@@ -196,11 +203,11 @@ def _email(text: str, cipher: Feistel, back: bool) -> str | None:
 _FINDERS = {
     "email": re.compile(r"(?a)(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w-])"),
     "iban": re.compile(r"(?a)(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
-    "card": re.compile(r"(?a)(?<![\w.+-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])|(?<![\w.+-])3\d{3}[ -]?\d{6}[ -]?\d{5}(?![\w-])"),
+    "card": re.compile(r"(?a)(?<![\w.+-])[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])|(?<![\w.+-])3\d{3}[ -]?\d{6}[ -]?\d{5}(?![\w-])"),
     "ssn": re.compile(r"(?a)(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])"),
     "phone": re.compile(r"(?a)(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])|(?<![\w(+])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])"),
     "ip": re.compile(r"(?a)(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w-]|\.\d)"),
-    "date": re.compile(r"(?a)(?<![\w./-])(?:\d{4}-\d\d?-\d\d?|\d\d?/\d\d?/(?:\d{4}|\d\d)|\d\d?\.\d\d?\.(?:\d{4}|\d\d))(?![\w/-]|\.\d)"),
+    "date": re.compile(r"(?a)(?<![\w./-])(?:\d{4}-\d\d?-\d\d?|\d{4}/\d\d?/\d\d?|\d\d?-\d\d?-\d{4}|\d\d?/\d\d?/(?:\d{4}|\d\d)|\d\d?\.\d\d?\.(?:\d{4}|\d\d))(?:(?=T\d\d:?\d\d)|(?![\w/-]|\.\d))"),
 }
 _MOVERS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
 _DIGIT = re.compile("[0-9]")
