@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+import pytest
+
 from corpusloom.llm import decontam
+from corpusloom.llm.wordhash import byte_table, hash_words, text_buffers
 
 
 def found(spark, docs, items):
@@ -13,6 +17,10 @@ def found(spark, docs, items):
     return {(r.doc_id, r.item_id) for r in got}
 
 
+def hashed(text):
+    return hash_words(*text_buffers(pa.array([text], pa.large_string())), byte_table("alnum"))[0]
+
+
 def prose(rng, n, size=6000):
     return " ".join(f"w{int(size ** rng.random())}" for _ in range(n))
 
@@ -56,3 +64,47 @@ def test_paraphrased_items_of_a_thousand_words(spark):
     items = [(k, prose(rng, 1000)) for k in range(10)]
     docs = [(k, f"{prose(rng, 200)} {' '.join(w if j % 4 else f'z{j}' for j, w in enumerate(t.split()))} {prose(rng, 200)}") for k, t in items]
     assert found(spark, docs, items) == {(k, k) for k in range(10)}
+
+
+@pytest.mark.parametrize("many, size", [(100, 40), (1000, 40), (3000, 30), (60, 500)])
+def test_paraphrases_against_brute_force(spark, many, size):
+    """Three words in ten replaced and words put in: of the items that the definition of a
+    paraphrase takes in, nine in ten are found."""
+    rng = random.Random(many)
+    items = [(k, prose(rng, size)) for k in range(many)]
+    docs, wanted = [], set()
+    for k, text in items[:: max(1, many // 150)]:
+        words = [w if rng.random() > 0.3 else f"w{int(6000 ** rng.random())}" for w in text.split() for _ in range(1 + (rng.random() < 0.03))]
+        docs.append((k, f"{prose(rng, 80)} {' '.join(words)} {prose(rng, 80)}"))
+        held = hashed(text)
+        masks = decontam.places(held)
+        if decontam.common_subsequence(size, [masks.get(h, 0) for h in hashed(" ".join(words)).tolist()]) >= decontam.PARAPHRASE * size:
+            wanted.add((k, k))
+    docs += [(10_000 + k, prose(rng, 200)) for k in range(400)]
+    got = found(spark, docs, items)
+    assert len(got & wanted) >= 0.9 * len(wanted), (len(got & wanted), len(wanted))
+
+
+@pytest.mark.parametrize("many, size", [(1200, 30), (60, 500)])
+def test_verbatim_by_latent_vectors_alone(spark, many, size):
+    rng = random.Random(many)
+    items = [(k, prose(rng, size)) for k in range(many)]
+    docs = [(k, f"{prose(rng, 70)} {t} {prose(rng, 70)}") for k, t in items[::4]] + [(10_000 + k, prose(rng, 200)) for k in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    latent = decontam.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).where("cosine > 0").collect()
+    wanted = {(k, k) for k, _ in items[::4]}
+    got = {(r.doc_id, r.item_id) for r in latent} & wanted
+    assert len(got) >= 0.99 * len(wanted), (len(got), len(wanted))
+
+
+def test_groups_of_items_and_short_ones(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(k, prose(rng, 40)) for k in range(20)]
+    docs = [(k, f"{prose(rng, 60)} {t} {prose(rng, 60)}") for k, t in items] + [(100, "yes"), (101, "well yes then"), (102, "yes, indeed"), (103, None), (104, "")]
+    short = [(50, "Yes!"), (51, "yes indeed"), (52, None), (53, " .. ")]
+    wanted = {(k, k) for k in range(20)} | {(100, 50), (102, 51)}
+    assert found(spark, docs, items + short) == wanted
+    assert len(list(decontam.item_groups([(k, t, None) for k, t in items], 130))) == 7
+    whole = decontam.item_groups
+    monkeypatch.setattr(decontam, "item_groups", lambda rows: whole(rows, 300))
+    assert found(spark, docs, items + short) == wanted
