@@ -9,10 +9,12 @@ similarity t share l of them at least. l grows with the estimated number of cand
 prefix itself and with how frequent its n-grams are, and a candidate needs as many shared n-grams
 as the smaller l of the two.
 
-N-grams with up to ``LIGHT`` sets give candidate pairs. Those with more, as large groups of near
-copies have, only tie their sets together. Candidates and ties form blocks of sets that may be
-similar; a block is compared inside Python tasks in parts of bounded size, each of which returns a
-spanning forest of the links it finds, so a group of m near copies gives m - 1 rows and not m * m.
+N-grams with up to ``LIGHT`` sets give candidate pairs; those that share enough n-grams are verified
+one by one, each set beside its partners. N-grams with more sets, as large groups of near copies
+have, only tie their sets together, since their pairs are too many to write down. Ties form blocks
+of sets that may be similar; a block is compared inside Python tasks in parts of bounded size, each
+of which returns a spanning forest of the links it finds, so a group of m near copies gives m - 1
+rows and not m * m.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.components import connected_components
+from corpusloom.llm.components import connected_components, join_hot
 from corpusloom.llm.storage import written
 from corpusloom.llm.wordhash import U64, IdBitmap, SlotCounts, fmix, summed_blocks, words_of
 
@@ -208,13 +210,14 @@ def _candidates(percent: int):
 
 
 def _members(k: int, wanted):
-    """The sets themselves, as packed 64-bit values, of the ids that the bitmap holds."""
+    """The sets themselves, as packed 64-bit values, of the ids that the bitmap holds and of rows
+    without an id."""
 
     def run(batches):
         bitmap = wanted.value
         for batch in batches:
             ids = batch.column(0)
-            batch = batch.filter(pa.array(bitmap.holds(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)))
+            batch = batch.filter(pa.array(bitmap.holds(ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)))
             for i, j in ((i, min(i + 512, batch.num_rows)) for i in range(0, batch.num_rows, 512)):
                 part = batch.slice(i, j - i)
                 rows = [(set_id(x), x) for _, _, x, _ in _sets_of(part.column(1), k)]
@@ -244,9 +247,9 @@ def similar(left: int | np.ndarray, right: np.ndarray, common: np.ndarray, perce
     return 100 * common >= percent * (left + right - common)
 
 
-def links_within(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
-    """A spanning forest of the similar pairs, with all links counted per set: (x, root, links of
-    x). ``sides``: pairs of two sets of one side are skipped where both sides are present, since
+def links_within(sets: list[np.ndarray], sides: np.ndarray, copies: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
+    """A spanning forest of the similar pairs, with the linked rows counted per set: (x, root, rows
+    linked with x). ``sides``: pairs of two sets of one side are skipped where both sides are present, since
     another part of the block has them."""
     m = len(sets)
     sizes = np.array([len(x) for x in sets])
@@ -272,8 +275,8 @@ def links_within(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> lis
         if across:
             found &= sides == 1
         hits = np.flatnonzero(found)
-        degree[x] += len(hits)
-        degree[hits] += 1
+        degree[x] += copies[hits].sum()
+        degree[hits] += copies[x]
         for y in hits:
             forest.union(x, int(y))
     return [(x, forest.find(x), int(degree[x])) for x in range(m) if degree[x]]
@@ -286,10 +289,10 @@ def _compare(percent: int):
             breaks = np.ones(table.num_rows, bool)
             breaks[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
             starts = [*np.flatnonzero(breaks), table.num_rows]
-            sid, side, packed = table.column("sid").to_numpy(), table.column("side").to_numpy(), table.column("packed").to_pylist()
+            sid, side, copies, packed = table.column("sid").to_numpy(), table.column("side").to_numpy(), table.column("copies").to_numpy(), table.column("packed").to_pylist()
             a, b, d = [], [], []
             for s, e in zip(starts, starts[1:], strict=False):
-                for x, root, links in links_within([np.frombuffer(x, U64) for x in packed[s:e]], side[s:e], percent) if e - s > 1 else ():
+                for x, root, links in links_within([np.frombuffer(x, U64) for x in packed[s:e]], side[s:e], copies[s:e], percent) if e - s > 1 else ():
                     a.append(sid[s + x])
                     b.append(sid[s + root])
                     d.append(links)
@@ -298,15 +301,41 @@ def _compare(percent: int):
     return run
 
 
+def _verify(percent: int):
+    """Links among the candidate pairs: the row of a set (side 0) stands before those of its
+    partners. Each link comes from either end, with the rows at the other one."""
+
+    def run(batches):
+        unit, mine, own = None, None, 0
+        for batch in batches:
+            a, b, links = [], [], []
+            columns = (batch.column(c).to_pylist() for c in range(4))
+            for key, sid, side, copies, packed in zip(*columns, batch.column(4), strict=True):
+                held = np.frombuffer(packed.as_buffer(), U64)
+                if not side:
+                    unit, mine, own = key, held, copies
+                elif key == unit:
+                    small, large = (mine, held) if len(mine) < len(held) else (held, mine)
+                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    if similar(len(mine), len(held), int((large[at] == small).sum()), percent):
+                        a += (key, sid)
+                        b += (sid, key)
+                        links += (copies, own)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], ["a", "b", "links"])
+
+    return run
+
+
 def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, n_links, component_id.
 
     Two rows link when their sets of distinct word ``n``-grams (ASCII lower case, ASCII white
     space between words) have a Jaccard similarity of ``percent`` hundredths or more;
-    component_id is the smallest id that links reach. n_links counts the other sets that a row's
-    set is linked with and the other rows that have the same set. A text of fewer words is one gram; a null, empty or blank text has no gram,
+    component_id is the smallest id that links reach. n_links counts the other rows that a row is
+    linked with. A text of fewer words is one gram; a null, empty or blank text has no gram,
     links with nothing and is its own component. Repeated rows count as rows of their own with
-    one id. A null id keeps its row and has no say in component_id. Other columns are ignored.
+    one id. A row without an id links like any other but lends no id: its component_id is the
+    smallest id that its links reach, null if none. Other columns are ignored.
 
     Sets are told apart by a 64-bit identity: among 10**9 distinct texts, a false match of two is
     expected with a chance of 3 %.
@@ -332,28 +361,38 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
         pairs.where("shared < ell").join(heavy.select(F.col("sid").alias("a"), F.col("heavy").alias("ha")), "a")
         .join(heavy.select(F.col("sid").alias("b"), F.col("heavy").alias("hb")), "b").where("shared + least(ha, hb) >= ell")
     )
-    tied = pairs.where("shared >= ell").select("a", "b").unionByName(few.select("a", "b")).unionByName(ties.select("a", "b"))
-    blocks = written(connected_components(tied).join(classes, F.col("node") == F.col("sid")).select("sid", F.col("root").alias("blk"), "rep", "n"), "blocks")
+    blocks = written(connected_components(ties).join(classes, F.col("node") == F.col("sid")).select("sid", F.col("root").alias("blk"), "n"), "blocks")
+    block_of = blocks.select("sid", "blk")
+    pairs = pairs.where("shared >= ell").select("a", "b").unionByName(few.select("a", "b"))
+    pairs = pairs.join(block_of.toDF("a", "ba"), "a", "left").join(block_of.toDF("b", "bb"), "b", "left")
+    pairs = written(pairs.where("ba is null or bb is null or ba <> bb").select("a", "b"), "pairs")
+    sides = pairs.select("a", F.col("b").alias("sid"), F.lit(1).cast("byte").alias("side")).unionByName(
+        pairs.select("a", F.col("a").alias("sid"), F.lit(0).cast("byte").alias("side")).distinct()
+    )
 
-    parts = blocks.groupBy("blk").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n") / PART_GRAMS)).cast("int").alias("parts"))
-    wanted = spark.sparkContext.broadcast(IdBitmap.of(blocks, "rep"))
+    needed_sets = sides.select("sid").unionByName(blocks.select("sid")).distinct().join(classes, "sid").select("sid", "rep", "copies")
+    needed_sets = written(needed_sets, "needed")
+    wanted = spark.sparkContext.broadcast(IdBitmap.of(needed_sets, "rep"))
     sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
-    placed = blocks.select("sid", "blk").join(parts, "blk").withColumn("p", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    with_sets = placed.join(sets, "sid").dropDuplicates(["sid"])
-    units = with_sets.select("blk", "p", "sid", "packed", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(
-        "blk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "sid", F.when(F.col("p") > F.col("q"), 1).otherwise(0).cast("byte").alias("side"), "packed"
-    )
-    links = written(
-        units.repartition("blk", "i", "j").sortWithinPartitions("blk", "i", "j", "sid").mapInArrow(_compare(percent), "a long, b long, links long"), "links"
+    sets = written(sets.join(needed_sets.select("sid", "copies"), "sid").dropDuplicates(["sid"]), "sets")
+    beside = sides.join(sets, "sid").repartition("a").sortWithinPartitions("a", "side", "sid").select("a", "sid", "side", "copies", "packed")
+    links = beside.mapInArrow(_verify(percent), "a long, b long, links long")
+
+    parts = blocks.groupBy("blk").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n") / PART_GRAMS)).cast("int").alias("parts"), F.count("*").alias("rows"))
+    placed = join_hot(block_of, parts, "blk", "rows", blocks.count()).withColumn("p", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+    units = placed.join(sets, "sid").select("blk", "p", "sid", "copies", "packed", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(
+        "blk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "sid", F.when(F.col("p") > F.col("q"), 1).otherwise(0).cast("byte").alias("side"), "copies", "packed"
     )
+    within = units.repartition("blk", "i", "j").sortWithinPartitions("blk", "i", "j", "sid").mapInArrow(_compare(percent), "a long, b long, links long")
+    links = written(links.unionByName(within), "links")
     classed = connected_components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("sid")).agg(F.sum("links").alias("partners"))
-    labels = (
-        classes.join(classed.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    )
-    least = labels.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labels = labels.join(least, "root").join(degree, "sid", "left").select("sid", "component_id", "copies", F.coalesce("partners", F.lit(0)).alias("partners"))
-    out = rows.join(labels, "sid", "left")
+    labels = classes.join(classed.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    labels = written(labels.join(degree, "sid", "left").select("sid", "root", "rep", "copies", F.coalesce("partners", F.lit(0)).alias("partners")), "labels")
+    least = labels.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("rows"))
+    counts = labels.agg(F.count("*"), F.sum("copies")).first()
+    labels = join_hot(labels, least, "root", "rows", counts[0]).select("sid", "component_id", "copies", F.col("copies").alias("rows"), "partners")
+    out = join_hot(rows, labels, "sid", "rows", counts[1] or 0, "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce(F.col("partners") + F.col("copies") - 1, F.lit(0)).alias("n_links"),

@@ -86,6 +86,66 @@ def test_jaccard_large_group_and_parts(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in jaccard_join.ngram_jaccard_classes(df, 4, 85).collect()} == root
 
 
+def classes_by_all_pairs(rows, k, percent):
+    """(number of shingles, links, component) of each row by comparing all pairs."""
+    sets = [gram_set(t, k) for _, t in rows]
+    up, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, j in combinations(range(len(rows)), 2):
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+            up[find(i)] = find(j)
+            links[i] += 1
+            links[j] += 1
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)] = min(least.get(find(i), doc), doc)
+    return [(doc, len(sets[i]), links[i], least.get(find(i))) for i, (doc, _) in enumerate(rows)]
+
+
+def many_kinds(rng):
+    """Pairs, chains, groups above and below ``LIGHT`` with rows without an id between them, and one
+    line that all texts share."""
+    line = " ".join(f"shared{k}" for k in range(12))
+    prose = lambda n: [rng.choice(WORDS) + str(rng.randrange(30)) for _ in range(n)]
+    texts = []
+    for size in (1, 2, 2, 3, 5, 40, 70):
+        base = prose(90)
+        for k in range(size):
+            words = list(base)
+            for at in rng.sample(range(90), k % 4):
+                words[at] = f"new{size}x{rng.randrange(9)}"
+            texts.append(f"{line} {' '.join(words)}")
+    chain = prose(100)
+    for k in range(6):
+        texts.append(f"{line} {' '.join(chain[2 * k : 2 * k + 85])}")
+    texts += [f"{line} {' '.join(prose(40))}" for _ in range(30)]
+    rows = [(None if k % 3 == 1 else k, t) for k, t in enumerate(texts)]
+    return rows + [(None, texts[0]), (3, texts[3]), (None, None), (900, "")]
+
+
+@pytest.mark.parametrize("k, percent", [(4, 85), (5, 80)])
+def test_jaccard_links_with_null_ids_and_a_shared_line(spark, k, percent):
+    rows = many_kinds(random.Random(k))
+    got = jaccard_join.ngram_jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), k, percent).collect()
+    order = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted((tuple(r[c] for c in ("doc_id", "n_shingles", "n_links", "component_id")) for r in got), key=order) == sorted(classes_by_all_pairs(rows, k, percent), key=order)
+
+
+def test_joins_on_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(components, "HOT_KEYS", 4)
+    left = spark.createDataFrame([(0 if k % 2 else k, k) for k in range(100)] + [(None, 7)], "key long, x long")
+    right = left.where("key is not null and key <> 98").groupBy("key").agg(F.count("*").alias("rows"), F.max("x").alias("y"))
+    for how in ("inner", "left"):
+        got = components.join_hot(left, right, "key", "rows", 101, how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right.drop("rows"), "key", how).select("key", "x", "y").collect()))
+
+
 def test_jaccard_empty(none):
     assert jaccard_join.ngram_jaccard_classes(none).collect() == []
 
