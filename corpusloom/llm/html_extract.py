@@ -4,7 +4,8 @@ Paragraphs pass points for their length and commas to their ancestors, less with
 discounted by the share of their text that is links. The best container, raised to the article or
 main element around it, gives the text together with those siblings that score near it or are
 plain paragraphs. Menus, page headers, footers, sidebars, notices, adverts, forms and comments are
-cut off beforehand by element, role or the words of class and id.
+cut off beforehand by element, role or class and id; a class or id counts if all its words speak
+for it, so that ``comments-area`` goes and ``social-history`` stays.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 #: Elements by role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
-DROPPED = frozenset("nav footer aside form button select option datalist dialog menu object audio video canvas map figure head".split()) | RAW
+DROPPED = frozenset("nav footer aside button select option datalist dialog menu object audio video canvas map head".split()) | RAW
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
@@ -29,8 +30,14 @@ ENDS_P = BLOCKS - frozenset("body dd dt html head li tbody td tfoot th thead tr
 CLOSES = {"li": ("li", {"ul", "ol", "menu", "dir"}), "dt": ("dd dt", {"dl"}), "dd": ("dd dt", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"}), "tbody": ("tbody thead tr td th", {"table"}), "thead": ("tbody thead tr td th", {"table"})}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar form alert".split())
 UNLIKELY = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies disqus footer foot gdpr header hidden masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related reply replies respond share sharing shoutbox sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription tags toc toolbar tooltip widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer foot gdpr header hidden masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related reply replies respond share sharing shoutbox sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription toc toolbar tooltip widget widgets".split()
 )
+#: Words that say nothing of themselves beside the ones above.
+NEUTRAL = frozenset(
+    "area article articles bar block blog body bottom box btn button buttons center class col column container content desktop div entry fixed form global group holder icon icons id inline inner item items js label layout left link links list main message mobile module my new news outer page panel panels policy post posts primary reader readers region right row secondary section side site slot sticky stories story text top unit user view wrap wrapper zone".split()
+)
+#: Elements that may stand in a page's head.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 TAG_POINTS = {"article": 15, "main": 12, "section": 4, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "li": -3, "address": -3, "th": -5}
 GOOD = frozenset("article body content entry main page post text blog story hentry prose".split())
 
@@ -41,7 +48,7 @@ _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 
 class _Node:
-    __slots__ = ("tag", "up", "dropped", "words", "points", "chars", "linked", "depth", "items", "in_article")
+    __slots__ = ("tag", "up", "dropped", "words", "points", "chars", "linked", "depth", "items", "in_article", "form", "holds_article")
 
     def __init__(self, tag: str, up: _Node | None, words: list[str], dropped: bool):
         self.tag, self.up, self.words = tag, up, words
@@ -49,6 +56,24 @@ class _Node:
         self.depth = up.depth + 1 if up else 0
         self.in_article = tag == "article" or up is not None and up.in_article
         self.points = self.chars = self.linked = self.items = 0
+        self.form = self if tag == "form" else up.form if up else None
+        self.holds_article = False
+        if tag in ("article", "main", "h1"):
+            form = self.form
+            while form is not None and not form.holds_article:
+                form.holds_article = True
+                form = form.up.form if form.up else None
+
+
+def _names_unlikely(value: str) -> bool:
+    """Whether a class or id names something to cut off: one of its words does so, and none speaks
+    for something else."""
+    for name in value.split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        found = UNLIKELY.intersection(words)
+        if found and all(w in UNLIKELY or w in NEUTRAL or w.isdigit() for w in words) and not ("header" in found and len(found) == 1 and GOOD.intersection(words) - {"page", "main", "body"}):
+            return True
+    return False
 
 
 def _unlikely(tag: str, attributes: str, in_article: bool) -> tuple[list[str], bool]:
@@ -56,6 +81,7 @@ def _unlikely(tag: str, attributes: str, in_article: bool) -> tuple[list[str], b
     if tag in DROPPED or tag == "header" and not in_article:
         return [], True
     words: list[str] = []
+    unlikely = False
     if attributes and "=" in attributes or "hidden" in attributes:
         for m in _NAMES.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -66,7 +92,10 @@ def _unlikely(tag: str, attributes: str, in_article: bool) -> tuple[list[str], b
                 return words, True
             elif name in ("class", "id"):
                 words += [w.lower() for w in _WORD.findall(value)]
-    return words, tag not in ("html", "body", "main") and not (tag == "article" and not {"comment", "comments", "reply"} & set(words)) and bool(UNLIKELY.intersection(words))
+                unlikely = unlikely or _names_unlikely(value)
+    if tag in ("html", "body", "main") or tag in HEADINGS or tag == "article" and not {"comment", "comments", "reply"} & set(words):
+        return words, False
+    return words, unlikely
 
 
 class _Page:
@@ -100,8 +129,27 @@ class _Page:
                         pos = end.end() if end else n
                     self._close(tag)
         self._flush()
+        self._drop_forms()
+
+    def _drop_forms(self) -> None:
+        """Forms to fill in go; one around the article, or around most of the page, stays."""
+        chars: dict[int, int] = {}
+        for node, text, _ in self.blocks:
+            form = node.form
+            while form is not None:
+                chars[id(form)] = chars.get(id(form), 0) + len(text)
+                form = form.up.form
+        most = sum(len(text) for _, text, _ in self.blocks) / 2
+
+        def stays(form: _Node | None) -> bool:
+            return form is None or (form.holds_article or chars[id(form)] > most and chars[id(form)] >= 100) and stays(form.up.form)
+
+        if chars:
+            self.blocks = [block for block in self.blocks if stays(block[0].form)]
 
     def _write(self, text: str) -> None:
+        if self.at.tag == "head" and text.strip():
+            self._leave(self.at)
         if not self.at.dropped:
             self._text.append(text)
             if self._in_link:
@@ -121,6 +169,8 @@ class _Page:
         self.at = node.up or self.root
 
     def _open(self, tag: str, attributes: str) -> None:
+        if self.at.tag == "head" and tag not in IN_HEAD:
+            self._leave(self.at)
         if tag in ("html", "body") and self.at.depth > (tag == "body"):
             return
         if tag == "br":
@@ -214,7 +264,15 @@ def extract(page: str | None) -> str:
             if up.tag == "article":
                 break
         up = up.up
+    if best.tag in ("td", "th", "tr", "tbody", "thead"):
+        table = best
+        while table.up is not None and table.tag != "table":
+            table = table.up
+        if best.chars < table.chars / 2 and table.linked < table.chars / 4:
+            best = table
     tops = [best]
+    if best.tag == "article" and best.up is not None:
+        tops += [n for n in scored if n.tag == "article" and n.up is best.up and n is not best and final(n) >= final(best) / 5]
     if best.tag not in ("article", "main", "body", "html") and best.up is not None:
         least = max(10, final(best) / 5)
         for node, text, linked in tree.blocks:
@@ -229,7 +287,7 @@ def extract(page: str | None) -> str:
 
     def menu(node: _Node) -> bool:
         while node.depth > best.depth:
-            if node.tag in ("ul", "ol") and node.items > 1 and node.linked > 0.8 * node.chars:
+            if node.tag in ("ul", "ol") and not node.in_article and node.items > 1 and node.linked > 0.8 * node.chars:
                 return True
             if node.tag == "header" and node.in_article:
                 return True
@@ -246,8 +304,10 @@ def extract(page: str | None) -> str:
 def extract_pages(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``pages`` with ``out_col`` in place of ``html_col``: each page's main text, '' for null,
     empty and textless pages. Other columns pass through, but for one named ``out_col``; repeated
-    rows get equal texts. Broken markup is read as browsers do for the common cases: end tags left
-    out, stray end tags, unclosed comments."""
+    rows get equal texts. Pages are read whole, one after the other, in time that grows with their
+    length; of equal scores the container that opens first counts. Broken markup is read as browsers
+    do for the common cases: end tags left out (also of head, p, li and td), stray end tags,
+    unclosed comments."""
     rest = [c for c in pages.columns if c not in (html_col, out_col)]
     rows = pages.select(*rest, F.col(html_col).cast("string").alias(out_col))
 
