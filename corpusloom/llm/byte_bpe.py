@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from operator import attrgetter
 
@@ -29,6 +30,8 @@ def _letters() -> str:
 #: texts of usual characters, and with the most frequent alternative first.
 PRETOKEN = r" ?[LETTERS]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s0-9LETTERS]+|\s+(?!\S)|\s+".replace("LETTERS", _letters())
 CACHE_ENTRIES = 600_000
+#: Characters cut into pre-tokens at once where a text isn't cut whole.
+WINDOW = 2048
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,7 +39,7 @@ def _byte_letters() -> dict[int, str]:
     themselves, the others for the letters from 256 on. Byte 0 separates pre-tokens here."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
-    return {b: chr(256 + k) for k, b in enumerate(others) if b}
+    return {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class ByteBpe:
@@ -53,10 +56,13 @@ class ByteBpe:
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.added_chars = max(map(len, added), default=0)
         self.model = self.library.model
-        self.model._resize_cache(0)
+        if forget := getattr(self.model, "_resize_cache", None):
+            forget(0)  # ``held`` stands for the library's own cache
         self.pattern = re.compile(PRETOKEN)
         self.cut = self.pattern.findall
-        self.written = _byte_letters()
+        letters = _byte_letters()
+        self.written = {b: c for b, c in letters.items() if b}
+        self.zero = letters[0]
 
     def learn(self, tokens: list[str]) -> None:
         """Encodes the pre-tokens that are not held yet, by the library's model."""
@@ -67,9 +73,35 @@ class ByteBpe:
             self.held.clear()
             new = list(set(tokens))
         tokenize, token_id, held = self.model.tokenize, attrgetter("id"), self.held
+        if zeros := [token for token in new if "\0" in token]:
+            for token in zeros:
+                letters = token.encode().decode("latin-1").translate(self.written).replace("\0", self.zero)
+                held[token] = array("I", map(token_id, tokenize(letters))).tobytes()
+            if not (new := [token for token in new if "\0" not in token]):
+                return
         for token, letters in zip(new, "\0".join(new).encode().decode("latin-1").translate(self.written).split("\0"), strict=True):
             held[token] = array("I", map(token_id, tokenize(letters))).tobytes()
 
+    def cuts(self, text: str, start: int = 0) -> Iterator[list[str]]:
+        """The pre-tokens of a text without added tokens from ``start``, a boundary, on, window by
+        window: by the rule, or by the library where a window has unusual characters. The last two
+        of a window are left to the next, since they may depend on what follows."""
+        span = WINDOW
+        while start < len(text):
+            window = text[start : start + span]
+            if _UNUSUAL.search(window):
+                tokens = [window[s:e] for _, (s, e) in self.library.pre_tokenizer.pre_tokenize_str(window)]
+            else:
+                tokens = self.cut(window)
+            if start + span < len(text):
+                if len(tokens) < 3:
+                    span *= 2
+                    continue
+                tokens = tokens[:-2]
+            yield tokens
+            start += sum(map(len, tokens))
+            span = WINDOW
+
     def pretokens(self, text: str) -> list[str] | None:
         """None if the text has characters on which the rule's forms may differ, or an added token."""
         return None if _UNUSUAL.search(text) or self.added.search(text) else self.cut(text)

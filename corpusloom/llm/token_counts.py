@@ -3,7 +3,10 @@
 A document's pre-tokens are kept in leaves of about ``LEAF``; the leaves' sums of characters and
 tokens stand in a segment tree. An edit finds its first leaf by descent, cuts the text anew from a
 boundary that the edit cannot move to the first boundary that is one of the old ones behind the
-edit, encodes those pre-tokens only and updates the sums above the leaves it replaces.
+edit, encodes those pre-tokens only and updates the sums above the leaves it replaces. Characters on
+which the cutting rule may differ are cut by the library, a window at a time. Added tokens, which the
+library takes out of a text before all else, are pre-tokens of their own; an edit of a text that
+holds one encodes it anew.
 """
 
 from __future__ import annotations
@@ -26,30 +29,46 @@ class TokenTree:
 
     def __init__(self, text: str, bpe: ByteBpe):
         self.bpe, self.text, self.encoded = bpe, text, 0
-        self._build(*self._cut(text, 0, None))
-
-    def _cut(self, text: str, start: int, stops: set[int] | None, after: int = 0) -> tuple[list[int], list[int]]:
-        """Lengths and token counts of pre-tokens from ``start`` to the end, or to the first
-        boundary at or behind ``after`` that is in ``stops``."""
-        bpe = self.bpe
-        if stops is None:
-            tokens = bpe.pretokens(text[start:] if start else text)
-            if tokens is None:
-                ids = bpe.library.encode(text[start:], add_special_tokens=False).ids
-                self.encoded += 1
-                return [len(text) - start], [len(ids)]
-        else:
-            tokens = []
-            for m in bpe.pattern.finditer(text, start):
-                tokens.append(m[0])
-                if m.end() >= after and m.end() in stops:
-                    break
-        bpe.learn(tokens)
+        self._build(*self._whole(text))
+
+    def _cut(self, text: str, start: int, stops: set[int], after: int) -> tuple[list[int], list[int]]:
+        """Lengths and token counts of pre-tokens from ``start`` to the first boundary at or behind
+        ``after`` that is in ``stops``, or to the end."""
+        found, at = [], start
+        for tokens in self.bpe.cuts(text, start):
+            for k, token in enumerate(tokens):
+                at += len(token)
+                if at >= after and at in stops:
+                    return self._counted(found + tokens[: k + 1])
+            found += tokens
+        return self._counted(found)
+
+    def _counted(self, tokens: list[str]) -> tuple[list[int], list[int]]:
+        self.bpe.learn(tokens)
         self.encoded += len(tokens)
-        return list(map(len, tokens)), [len(bpe.held[t]) // 4 for t in tokens]
+        return list(map(len, tokens)), [len(self.bpe.held[t]) // 4 for t in tokens]
+
+    def _whole(self, text: str) -> tuple[list[int], list[int]]:
+        """Lengths and token counts of all pre-tokens, added tokens among them."""
+        tokens = self.bpe.pretokens(text)
+        if tokens is not None:
+            return self._counted(tokens)
+        lengths, counts, at = [], [], 0
+        for m in [*self.bpe.added.finditer(text), None]:
+            end = m.start() if m else len(text)
+            if end > at:
+                more = self._counted([t for tokens in self.bpe.cuts(text[at:end]) for t in tokens])
+                lengths += more[0]
+                counts += more[1]
+            if m:
+                lengths.append(len(m[0]))
+                counts.append(1)
+                self.encoded += 1
+                at = m.end()
+        return lengths, counts
 
     def _build(self, lengths: list[int], counts: list[int]) -> None:
-        self.whole = len(lengths) == 1 and lengths[0] > 0 and self.bpe.pretokens(self.text) is None
+        self.holds_added = self.bpe.added.search(self.text) is not None
         self.leaves = [(lengths[k : k + LEAF], counts[k : k + LEAF]) for k in range(0, len(lengths), LEAF)] or [([], [])]
         size = 1
         while size < len(self.leaves):
@@ -91,9 +110,9 @@ class TokenTree:
         end = max(start, end)
         text = self.text[:start] + new + self.text[end:]
         near = text[max(0, start - self.bpe.added_chars) : start + len(new) + self.bpe.added_chars]
-        if self.whole or self.bpe.pretokens(new) is None or self.bpe.added.search(near):
+        if self.holds_added or self.bpe.added.search(near):
             self.text = text
-            self._build(*self._cut(text, 0, None))
+            self._build(*self._whole(text))
             return self.total
         first, before = self._find(max(0, start - CONTEXT - 1))
         if before > max(0, start - CONTEXT) or before + 0 > start:
