@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -15,8 +14,9 @@ from corpusloom.operators import search as ops
 from corpusloom.plans import pack
 from corpusloom.plans.build import ingest_folder
 from corpusloom.plans.pipeline import Pipeline, exit_code
-from corpusloom.sources.jsonl import Store, exists
+from corpusloom.sources.jsonl import Store
 from corpusloom.sources.registry import BUILT_IN, load_registry
+from corpusloom.storage import exists, shared_dir
 
 
 def _positive(text: str) -> int:
@@ -58,14 +58,14 @@ def main(argv: list[str] | None = None) -> int:
         if args.command == "build":
             if not exists(spark, f"{args.packs_root}/metadata/*.jsonl"):
                 return 1
-            store = Store(spark, tempfile.mkdtemp(prefix="store-"))
+            store = Store(spark, shared_dir(spark))
             ingest_folder(store, args.packs_root).show(truncate=False)
             pack.build(store, args.output, notes=args.notes)
         elif args.command == "search":
             tags = {f: getattr(args, f) or [] for f in ops.FAMILIES}
             if not args.query.strip() and not any(tags.values()):
                 return 2
-            store = pack.Pack.open(args.pack).store(spark, tempfile.mkdtemp(prefix="pack-"))
+            store = pack.Pack.open(args.pack).store(spark)
             query = ops.SearchQuery(args.query, ops.TagFilter(**{f: tuple(v) for f, v in tags.items()}), limit=args.limit)
             hits = ops.search(ops.indexed(store.read("chunks")), ops.tag_families(store.read("episodes")), query)
             for row in (ops.emit_json(hits) if args.json else ops.emit_text(hits)).collect():

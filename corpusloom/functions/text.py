@@ -115,7 +115,7 @@ def meta_content(c: Column | str, name: str) -> Column:
     """Content of the meta element with this name or property, in either order of attributes."""
     key = re.escape(name)
     tries = (rf"(?is)<meta[^>]*(?:name|property)=[\"']{key}[\"'][^>]*content=[\"']([^\"']*)[\"']", rf"(?is)<meta[^>]*content=[\"']([^\"']*)[\"'][^>]*(?:name|property)=[\"']{key}[\"']")
-    return F.coalesce(*(F.nullif(F.regexp_extract(_col(c), t, 1), F.lit("")) for t in tries), F.lit(""))
+    return unescape_html(collapse_whitespace(F.coalesce(*(F.nullif(F.regexp_extract(_col(c), t, 1), F.lit("")) for t in tries), F.lit(""))))
 
 
 def heading_text(line: Column | str) -> Column:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.errors import Invariant, RightsGateRefused
 from corpusloom.functions.hashing import content_hash, dedup_key
 from corpusloom.functions.text import canonicalise
 from corpusloom.schemas import ARRAYS, DEFAULT_OVERLAP_TOKENS, DEFAULT_RIGHTS, DEFAULT_TARGET_TOKENS, EPISODE, TEXT_DEFAULTS
+from corpusloom.storage import written
 
 STATS = ("seen", "inserted", "existing", "rejected", "chunks_seen", "chunks_inserted", "chunks_deduped", "chunks_rights_skipped")
 
@@ -57,13 +58,34 @@ def insert_or_ignore(new: DataFrame, held: DataFrame, key: str, order: Sequence[
     return first_by(new, [key], order).join(held.select(key), key, "left_anti").select(new.columns)
 
 
+def admitted_in_order(rows: DataFrame, held: DataFrame, key: str, content: str, order: Sequence[str]) -> DataFrame:
+    """Rows to append as if they came one by one in the order given: each whose content is not there
+    yet, and then whose key is not; a row that goes in bars later ones of its content or key.
+
+    A row that is the first left of both its content and its key goes in; it takes the others of
+    either away, and what is left goes round again. Held keys and contents go first, and one round is
+    enough unless keys and contents are crossed; rounds are written to the shared folder.
+    """
+    rows = first_by(rows, [key, content], order)
+    left = rows.join(held.select(content), content, "left_anti").join(held.select(key), key, "left_anti").select(rows.columns)
+    left, found = written(left, "left"), None
+    while True:
+        firsts = [left.groupBy(k).agg(F.min_by(F.struct(key, content), F.struct(*order, key, content)).alias("x")).select("x.*") for k in (key, content)]
+        taken = firsts[0].intersect(firsts[1])
+        taken = written(left.join(taken, [key, content], "left_semi").select(rows.columns), "taken")
+        found = taken if found is None else found.unionByName(taken)
+        rest = left.join(taken.select(key), key, "left_anti").join(taken.select(content), content, "left_anti").select(rows.columns)
+        left = written(rest, "left")
+        if not left.head(1):
+            return found
+
+
 def new_chunks(chunks: DataFrame, held: DataFrame) -> DataFrame:
-    """Chunks to append: new by content, then by id; of equal contents or ids the first by
-    (seq, chunk_id). ``held`` needs chunk_id and content_key."""
+    """Chunks to append in the order of (seq, chunk_id), each new by content and by id. ``held``
+    needs chunk_id and content_key."""
     keyed = chunks.withColumn("chunk_text", canonicalise("chunk_text")).withColumn("content_key", dedup_key(F.col("chunk_text")))
-    fresh = keyed.join(held.select("content_key"), "content_key", "left_anti")
-    fresh = first_by(fresh, ["content_key"], ["seq", "chunk_id"])
-    return insert_or_ignore(fresh, held, "chunk_id", ["seq"]).withColumn("content_hash", content_hash(F.col("chunk_text")))
+    fresh = admitted_in_order(keyed, held, "chunk_id", "content_key", ["seq"])
+    return fresh.withColumn("content_hash", content_hash(F.col("chunk_text")))
 
 
 def orphans(chunks: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -94,18 +116,22 @@ def ingest(episodes: DataFrame, chunks: DataFrame, held_episodes: DataFrame, hel
     """(episodes to append, chunks to append, stats by publisher). Both inputs need ``seq``; chunks
     of rejected episodes are skipped."""
     ok = rights_allowed(F.col("rights_code"), allow)
-    admitted, rejected = episodes.where(ok), episodes.where(~ok)
-    more = insert_or_ignore(admitted, held_episodes, "episode_id", ["seq"])
-    usable = chunks.join(rejected.select("episode_id").distinct(), "episode_id", "left_anti").select(chunks.columns)
-    fresh = new_chunks(usable, held_chunks)
-    of = episodes.select("episode_id", "publisher").distinct()
-    count = lambda df, name, key="publisher": df.groupBy(key).agg(F.count("*").alias(name))
-    stats = count(episodes, "seen")
-    for df, name in ((more, "inserted"), (admitted, "admitted"), (rejected, "rejected"), (chunks.join(of, "episode_id"), "chunks_seen"), (fresh.join(of, "episode_id"), "chunks_inserted"), (usable.join(of, "episode_id"), "usable")):
-        stats = stats.join(count(df, name), "publisher", "left")
-    stats = stats.na.fill(0).select(
-        "publisher", "seen", "inserted", (F.col("admitted") - F.col("inserted")).alias("existing"), "rejected", "chunks_seen", "chunks_inserted",
-        (F.col("usable") - F.col("chunks_inserted")).alias("chunks_deduped"), (F.col("chunks_seen") - F.col("usable")).alias("chunks_rights_skipped"),
+    more = insert_or_ignore(episodes.where(ok), held_episodes, "episode_id", ["seq"])
+    barred = episodes.where(~ok).select("episode_id").distinct()
+    fresh = written(new_chunks(chunks.join(barred, "episode_id", "left_anti").select(chunks.columns), held_chunks), "fresh")
+    marks = ("episode", "ok", "new", "chunk", "usable", "chunk_new")
+    row = lambda **of: [F.lit(1 if of.get(m) is True else 0).alias(m) if isinstance(of.get(m, False), bool) else of[m].cast("int").alias(m) for m in marks]
+    of = episodes.groupBy("episode_id", "publisher").agg(F.max(~ok).alias("barred"))
+    events = (
+        episodes.select("publisher", *row(episode=True, ok=ok))
+        .unionByName(more.select("publisher", *row(new=True)))
+        .unionByName(chunks.select("episode_id").join(of, "episode_id").select("publisher", *row(chunk=True, usable=~F.col("barred"))))
+        .unionByName(fresh.select("episode_id").join(of, "episode_id").select("publisher", *row(chunk_new=True)))
+    )
+    n = events.groupBy("publisher").agg(*(F.sum(m).alias(m) for m in marks))
+    stats = n.select(
+        "publisher", F.col("episode").alias("seen"), F.col("new").alias("inserted"), (F.col("ok") - F.col("new")).alias("existing"), (F.col("episode") - F.col("ok")).alias("rejected"),
+        F.col("chunk").alias("chunks_seen"), F.col("chunk_new").alias("chunks_inserted"), (F.col("usable") - F.col("chunk_new")).alias("chunks_deduped"), (F.col("chunk") - F.col("usable")).alias("chunks_rights_skipped"),
     )
     return more, fresh, stats
 
@@ -126,8 +152,3 @@ def merge_slugs(seeds: Column, discovered: Column, cap: int | None = None) -> Co
     """Seeds, then discovered slugs, each once; ``cap`` bounds the discovered ones."""
     found = F.array_distinct(discovered)
     return F.array_distinct(F.concat(seeds, F.slice(found, 1, cap) if cap else found))
-
-
-def first_wins(rows: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
-    """Rows with ``rn`` = 1 for the first of each key; for reports that need the losers too."""
-    return rows.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))

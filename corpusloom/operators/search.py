@@ -7,7 +7,7 @@ no Python and scans the chunks once a lane.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +52,8 @@ class SearchQuery:
     limit: int = DEFAULT_LIMIT
     scope: str = "text_only"
     weights: RankWeights = field(default_factory=RankWeights)
+    #: False: all chunks and vectors are candidates, not only the first of each lane.
+    lane_caps: bool = True
 
     @classmethod
     def from_request(cls, request: dict) -> SearchQuery:
@@ -109,54 +111,64 @@ def bm25_phrase(chunks: DataFrame, phrase: list[str]) -> DataFrame:
     """Chunks that hold the phrase with ``bm25``, higher is better. The statistics are one row over
     all chunks, sent to the tasks as such."""
     counted = chunks.withColumn("f", phrase_frequency(F.col("tokens"), phrase))
-    stats = counted.agg(F.count("*").alias("_docs"), F.avg("dl").alias("_avgdl"), F.count_if(F.col("f") > 0).alias("_hits"))
+    # only the numbers that the statistics need are read for them, not the texts
+    stats = counted.select("f", "dl").agg(F.count("*").alias("_docs"), F.avg("dl").alias("_avgdl"), F.count_if(F.col("f") > 0).alias("_hits"))
     raw = F.log((F.col("_docs") - F.col("_hits") + 0.5) / (F.col("_hits") + 0.5))
     idf = F.when(raw <= 0, F.lit(1e-6)).otherwise(raw)
     score = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("dl") / F.col("_avgdl")))
     return counted.where("f > 0").crossJoin(F.broadcast(stats)).withColumn("bm25", score).drop("_docs", "_avgdl", "_hits", "f")
 
 
-def fts_lane(chunks: DataFrame, phrase: list[str], matching: DataFrame | None, cap: int = FTS_CAP) -> DataFrame:
+def capped(rows: DataFrame, order: list, cap: int | None) -> DataFrame:
+    """The first ``cap`` rows in order; all of them for None, the exact way beyond the cap."""
+    return rows if cap is None else rows.orderBy(*order).limit(cap)
+
+
+def fts_lane(chunks: DataFrame, phrase: list[str], matching: DataFrame | None, cap: int | None = FTS_CAP) -> DataFrame:
     """The best ``cap`` chunks by bm25; only then the tag filter."""
     if not phrase:
         return chunks.limit(0).select("chunk_id", "episode_id", F.lit(0.0).alias("bm25"))
-    top = bm25_phrase(chunks, phrase).orderBy(F.desc("bm25"), "chunk_id").limit(cap).select("chunk_id", "episode_id", "bm25")
+    top = capped(bm25_phrase(chunks.select("chunk_id", "episode_id", "tokens", "dl"), phrase), [F.desc("bm25"), "chunk_id"], cap).select("chunk_id", "episode_id", "bm25")
     return top.join(matching, "episode_id", "left_semi") if matching is not None else top
 
 
-def tag_lane(chunks: DataFrame, matching: DataFrame, cap: int = TAG_CAP) -> DataFrame:
-    return chunks.join(matching, "episode_id", "left_semi").orderBy(F.desc("created_at"), "chunk_id").limit(cap).select("chunk_id", "episode_id")
+def tag_lane(chunks: DataFrame, matching: DataFrame, cap: int | None = TAG_CAP) -> DataFrame:
+    rows = chunks.select("chunk_id", "episode_id", "created_at").join(matching, "episode_id", "left_semi")
+    return capped(rows, [F.desc("created_at"), "chunk_id"], cap).select("chunk_id", "episode_id")
 
 
-def semantic_lane(chunks: DataFrame, embeddings: DataFrame, vector: list[float], model_tag: str, matching: DataFrame | None, cap: int = SEMANTIC_CAP) -> DataFrame:
+def semantic_lane(chunks: DataFrame, embeddings: DataFrame, vector: list[float], model_tag: str, matching: DataFrame | None, cap: int | None = SEMANTIC_CAP) -> DataFrame:
     """Cosines of at most ``cap`` vectors of the model, tags first; other sizes are left out."""
     rows = embeddings.where(F.col("model_tag") == model_tag).select("chunk_id", "embedding").join(chunks.select("chunk_id", "episode_id"), "chunk_id")
     if matching is not None:
         rows = rows.join(matching, "episode_id", "left_semi")
     query = F.array(*(F.lit(float(v)) for v in vector)).cast("array<float>")
-    return rows.orderBy("chunk_id").limit(cap).where(F.size("embedding") == len(vector)).select("chunk_id", "episode_id", cosine(F.col("embedding"), query).alias("cosine"))
+    return capped(rows, ["chunk_id"], cap).where(F.size("embedding") == len(vector)).select("chunk_id", "episode_id", cosine(F.col("embedding"), query).alias("cosine"))
 
 
 def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embeddings: DataFrame | None = None) -> DataFrame:
     """Hits in order, with the columns of HIT. ``chunks`` is an indexed chunk table."""
     spark, w = chunks.sparkSession, query.weights
+    caps = (FTS_CAP, TAG_CAP, SEMANTIC_CAP) if query.lane_caps else (None, None, None)
     text, active = query.text.strip(), query.tags.active
     matching = matching_episodes(families, query.tags) if active else None
     phrase = query_tokens(spark, text) if text else []
     none = F.lit(None).cast("double")
     lanes = []
     if text:
-        lanes.append(fts_lane(chunks, phrase, matching).select("chunk_id", "episode_id", (w.bm25 * F.col("bm25")).alias("score"), F.col("bm25"), none.alias("cosine")))
+        lanes.append(fts_lane(chunks, phrase, matching, caps[0]).select("chunk_id", "episode_id", (w.bm25 * F.col("bm25")).alias("score"), F.col("bm25"), none.alias("cosine")))
     elif active:
-        lanes.append(tag_lane(chunks, matching).select("chunk_id", "episode_id", F.lit(0.0).alias("score"), none.alias("bm25"), none.alias("cosine")))
+        lanes.append(tag_lane(chunks, matching, caps[1]).select("chunk_id", "episode_id", F.lit(0.0).alias("score"), none.alias("bm25"), none.alias("cosine")))
     if query.scope == "include_embeddings" and query.query_embedding and query.semantic_model_tag and embeddings is not None:
-        lane = semantic_lane(chunks, embeddings, list(query.query_embedding), query.semantic_model_tag, matching)
+        lane = semantic_lane(chunks, embeddings, list(query.query_embedding), query.semantic_model_tag, matching, caps[2])
         lanes.append(lane.select("chunk_id", "episode_id", (w.semantic * F.col("cosine")).alias("score"), none.alias("bm25"), F.col("cosine")))
     if not lanes:
         return spark.createDataFrame([], HIT)
     merged = reduce(DataFrame.unionByName, lanes).groupBy("chunk_id").agg(F.sum("score").alias("score"), F.max("bm25").alias("bm25_score"), F.max("cosine").alias("semantic_score"))
     rank = F.col("score") + (w.tag_boost if active else 0.0)
-    hits = chunks.join(merged, "chunk_id").select(
+    if query.lane_caps:  # two lanes of a fixed number of rows each
+        merged = F.broadcast(merged)
+    hits = chunks.select("chunk_id", "episode_id", "chunk_text", "citation_anchor", "section_heading", "created_at").join(merged, "chunk_id").select(
         "chunk_id", "episode_id", "chunk_text", "citation_anchor", "section_heading", rank.alias("rank_score"), "bm25_score", "semantic_score", F.lit(active).alias("tag_match"), "created_at"
     )
     return hits.orderBy(F.desc("rank_score"), F.desc("created_at"), "chunk_id").limit(query.limit or DEFAULT_LIMIT)
@@ -170,7 +182,3 @@ def emit_json(hits: DataFrame) -> DataFrame:
 
 def emit_text(hits: DataFrame) -> DataFrame:
     return hits.select(F.concat_ws("\n", F.concat(F.lit("["), F.round("rank_score", 4).cast("string"), F.lit("] "), "chunk_id"), F.col("citation_anchor"), truncate_text("chunk_text")).alias("text"))
-
-
-def with_limit(query: SearchQuery, limit: int) -> SearchQuery:
-    return replace(query, limit=limit)

@@ -15,11 +15,11 @@ from corpusloom.sources.jsonl import Store, read_chunks, read_metadata
 
 def ingest_folder(store: Store, root: str, allow: Sequence[str] = DEFAULT_RIGHTS, now: int | None = None) -> DataFrame:
     """Reads ``root``/metadata and ``root``/chunks into the store and returns stats by publisher.
-    Rows keep the order of files by path; a second run inserts nothing."""
+    Rows come in the order of files by path; a second run inserts nothing."""
     now = int(now or time.time())
-    episodes = ops.with_defaults(read_metadata(store.spark, root)).withColumn("seq", F.monotonically_increasing_id())
+    episodes = ops.with_defaults(read_metadata(store.spark, root))
     ops.require_publishers(episodes, "stem")
-    chunks = read_chunks(store.spark, root).withColumn("seq", F.monotonically_increasing_id())
+    chunks = read_chunks(store.spark, root)
     more, fresh, stats = ops.ingest(episodes, chunks, store.read("episodes"), store.read("chunks"), allow)
     held = store.read("episodes").select("episode_id").unionByName(episodes.select("episode_id"))
     ops.require_no_orphans(fresh, held)

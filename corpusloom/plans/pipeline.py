@@ -19,7 +19,7 @@ from corpusloom.functions.text import canonicalise, episode_id, page_title, publ
 from corpusloom.operators import chunking, governance
 from corpusloom.operators.ingest import effective_rights, first_by, rights_allowed
 from corpusloom.schemas import DEFAULT_RIGHTS
-from corpusloom.sources.html import read_page
+from corpusloom.sources.html import page_description, read_page
 from corpusloom.sources.jsonl import append_jsonl, read_governance
 from corpusloom.sources.registry import Source, registry_frame
 
@@ -49,8 +49,9 @@ def judged(pages: DataFrame, registry: DataFrame, log: DataFrame, publishers: Se
 
 
 def stats(rows: DataFrame) -> DataFrame:
+    """Verdicts by publisher; pages that an incremental run passes over don't count as seen."""
     count = lambda v: F.count_if(F.col("verdict") == v).alias(v)
-    return rows.groupBy("publisher_id").agg(F.count("*").alias("seen"), *map(count, VERDICTS))
+    return rows.groupBy("publisher_id").agg(F.count_if(F.col("verdict") != "skipped_incremental").alias("seen"), *map(count, VERDICTS))
 
 
 def exit_code(totals: dict[str, int]) -> int:
@@ -66,7 +67,7 @@ def episodes_of(rows: DataFrame) -> DataFrame:
         F.when(F.col("host") != "", F.array("host")).otherwise(F.array().cast("array<string>")).alias("host"), F.coalesce("page.guests", F.array().cast("array<string>")).alias("guest"),
         publication_date(html).alias("publication_date"), "country_region", "industry_tags", "function_tags", "business_model_tags", "source_type", "language",
         F.col("url").alias("primary_url"), F.coalesce("page.assets", F.array().cast("array<string>")).alias("asset_urls"), F.col("code").alias("rights_code"), "rights_summary", "credibility_notes",
-        F.lit("").alias("summary"), F.struct("target_tokens", "overlap_tokens").alias("chunking_policy"),
+        page_description(html).alias("summary"), F.struct("target_tokens", "overlap_tokens").alias("chunking_policy"),
     )
 
 
@@ -81,6 +82,7 @@ class Pipeline:
         wanted = [p for p in (publishers or self.sources) if p in self.sources]
         registry = registry_frame(self.spark, {p: self.sources[p] for p in wanted}).drop("episodes")
         log = read_governance(self.spark, f"{self.root}/governance")
+        governance.require_subset(governance.rejected_ids(governance.attributed(log, list(self.sources)), self.allow), governance.known_ids(governance.attributed(log, list(self.sources)), self.allow))
         rows = judged(pages, registry, log, list(self.sources), self.incremental, self.allow)
         stage = f"{self.root}/runs/{time.time_ns()}"
         rows.write.parquet(stage)

@@ -8,6 +8,9 @@ from pyspark.sql.types import StructType
 
 from corpusloom.errors import IncompatibleSchema, Invariant
 from corpusloom.schemas import CHUNK, EMBEDDING, EPISODE, GOVERNANCE, SCHEMA_VERSION
+from corpusloom.storage import exists
+
+SEQ = StructType().add("file", "string").add("block", "long").add("row", "long")
 
 
 def _optional(schema: StructType) -> StructType:
@@ -17,18 +20,13 @@ def _optional(schema: StructType) -> StructType:
     return out
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
-
-
 def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Blank lines are skipped, a bad line ends the job, and so does a missing required field when
-    the rows are used. ``stem`` is the file's name without its ending."""
+    the rows are used. ``stem`` is the file's name without its ending; ``seq`` orders rows by path,
+    block of the file and place in it, however Spark deals files to tasks."""
     rows = spark.read.schema(_optional(schema)).option("mode", "FAILFAST").json(path)
     rows = rows.withColumn("stem", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1)).withColumn("stem", F.url_decode("stem"))
+    rows = rows.withColumn("seq", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
     for f in schema.fields:
         if not f.nullable:
             rows = rows.withColumn(f.name, F.when(F.col(f.name).isNull(), F.raise_error(F.lit(f"missing field {f.name}")).cast(f.dataType)).otherwise(F.col(f.name)))
@@ -38,12 +36,12 @@ def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     """Episodes of all publishers under ``root``/metadata; none if the folder is missing."""
     path = f"{root}/metadata/*.jsonl"
-    return read_strict(spark, path, EPISODE) if exists(spark, path) else spark.createDataFrame([], _optional(EPISODE).add("stem", "string"))
+    return read_strict(spark, path, EPISODE) if exists(spark, path) else spark.createDataFrame([], _optional(EPISODE).add("stem", "string").add("seq", SEQ))
 
 
 def read_chunks(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/chunks/*.jsonl"
-    return read_strict(spark, path, CHUNK) if exists(spark, path) else spark.createDataFrame([], _optional(CHUNK).add("stem", "string"))
+    return read_strict(spark, path, CHUNK) if exists(spark, path) else spark.createDataFrame([], _optional(CHUNK).add("stem", "string").add("seq", SEQ))
 
 
 def read_governance(spark: SparkSession, path: str) -> DataFrame:

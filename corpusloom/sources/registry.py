@@ -57,8 +57,3 @@ def registry_frame(spark: SparkSession, sources: dict[str, Source]) -> DataFrame
     lists = "country_region industry_tags function_tags business_model_tags episodes".split()
     schema = ", ".join(f"{f} {'array<string>' if f in lists else 'int' if f.endswith('_tokens') else 'string'}" for f in Source.__dataclass_fields__)
     return spark.createDataFrame([tuple(asdict(s).values()) for s in sources.values()], schema)
-
-
-def same_origin(seeds: list[str], discovered: list[str], cap: int) -> list[str]:
-    """Seeds first, then discovered slugs up to the cap, each once."""
-    return list(dict.fromkeys([*seeds, *list(dict.fromkeys(discovered))[:cap]]))

@@ -1,8 +1,8 @@
 """Incremental ingest: each micro-batch is the batch ingest against what the store holds.
 
 Content seen in any earlier run is recognised by an anti-join with the store, which never forgets,
-unlike a watermarked deduplication. Appends are stamped with the batch id, and a batch that a
-restart repeats inserts nothing, since its keys are held already.
+unlike a watermarked deduplication. Appends are stamped with the batch id; a batch that a restart
+repeats is passed over by its stamp, and inserts nothing in any case, since its keys are held.
 """
 
 from __future__ import annotations
@@ -15,15 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.functions.hashing import dedup_key
 from corpusloom.functions.text import canonicalise
-from corpusloom.operators.ingest import first_by, rights_allowed
+from corpusloom.operators.ingest import admitted_in_order, rights_allowed
 from corpusloom.schemas import DEFAULT_RIGHTS
+from corpusloom.storage import exists
 
 
 def admit_batch(batch: DataFrame, held: DataFrame, allow: Sequence[str] = DEFAULT_RIGHTS) -> DataFrame:
-    """Rows (episode_id, text, rights_code) to append: allowed, new by id and by content."""
+    """Rows (episode_id, text, rights_code) to append: allowed, new by id and by content, in
+    the order of ids, then contents."""
     rows = batch.where(rights_allowed(F.col("rights_code"), allow)).withColumn("text", canonicalise("text")).withColumn("content_key", dedup_key(F.col("text")))
-    rows = first_by(first_by(rows, ["content_key"], ["episode_id"]), ["episode_id"], ["content_key"])
-    return rows.join(held.select("content_key"), "content_key", "left_anti").join(held.select("episode_id"), "episode_id", "left_anti")
+    return admitted_in_order(rows, held, "episode_id", "content_key", ["episode_id"])
 
 
 def stream_ingest(source: DataFrame, store_path: str, checkpoint: str, allow: Sequence[str] = DEFAULT_RIGHTS) -> StreamingQuery:
@@ -32,9 +33,9 @@ def stream_ingest(source: DataFrame, store_path: str, checkpoint: str, allow: Se
     def append(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
         schema = "episode_id string, text string, rights_code string, content_key string, batch_id long"
-        from corpusloom.sources.jsonl import exists
-
         held = spark.read.schema(schema).parquet(store_path) if exists(spark, store_path) else spark.createDataFrame([], schema)
+        if held.where(F.col("batch_id") == batch_id).head(1):
+            return  # a restart repeats a batch that is stored
         new = admit_batch(batch, held, allow).select("episode_id", "text", "rights_code", "content_key", F.lit(batch_id).cast("long").alias("batch_id"))
         new.write.mode("append").parquet(store_path)
 

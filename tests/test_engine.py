@@ -213,7 +213,7 @@ def test_pipeline_verdicts(spark, tmp_path):
     got = {r.publisher_id: r for r in Pipeline(spark, sources, root).run(pages, now=7).collect()}
     assert (got["frog"].admitted, got["frog"].skipped_dedup, got["frog"].rejected_rights, got["ncsc"].admitted) == (1, 1, 1, 1)
     again = {r.publisher_id: r for r in Pipeline(spark, sources, root, incremental=True).run(pages).collect()}
-    assert (again["frog"].skipped_incremental, again["frog"].skipped_dedup, again["ncsc"].skipped_incremental) == (2, 1, 1)
+    assert (again["frog"].skipped_incremental, again["frog"].skipped_dedup, again["ncsc"].skipped_incremental, again["ncsc"].seen) == (2, 1, 1, 0)
     opened = {r.publisher_id: r for r in Pipeline(spark, sources, root, allow=("paywalled", "ogl_v3")).run(pages).collect()}
     assert opened["frog"].admitted == 1 and opened["frog"].rejected_rights == 2 and opened["ncsc"].skipped_dedup == 1
     assert exit_code({"seen": 3}) == 1 and exit_code({"seen": 3, "skipped_dedup": 1}) == 0 and exit_code({}) == 0
@@ -222,4 +222,68 @@ def test_pipeline_verdicts(spark, tmp_path):
 
 def test_append_jsonl_keeps_nulls(spark, tmp_path):
     append_jsonl(spark.createDataFrame([("a", None)], "x string, y string"), str(tmp_path / "j"))
-    assert '"y":null' in next((tmp_path / "j").glob("*.json")).read_text()
+    assert '"y":null' in "".join(f.read_text() for f in sorted((tmp_path / "j").glob("*.json")))
+
+
+def test_blake3_batches():
+    from corpusloom.functions.hashing import blake3_hex, blake3_many
+
+    assert blake3_hex(b"") == "af1349b9f5f9a1a6a0404dea36dcc9499bcb25c9adc112b7cc9a93cae41f3262"
+    assert blake3_hex(b"abc") == "6437b3ac38465133ffb63b75273a8db548c558465d79db03fd359c6cd5bd9d85"
+    texts = [bytes(k % 251 for k in range(n)) for n in (0, 1, 64, 1023, 1024, 1025, 2049, 3073, 9000)]
+    assert blake3_many(texts) == [blake3_hex(t) for t in texts] and blake3_many([]) == []
+
+
+def one_by_one(rows, held_keys, held_contents):
+    keys, contents, found = set(held_keys), set(held_contents), []
+    for seq, key, content in sorted(rows):
+        if content not in contents and key not in keys:
+            found.append((key, content))
+            keys.add(key)
+            contents.add(content)
+    return sorted(found)
+
+
+def test_chunks_as_if_inserted_one_by_one(spark):
+    held = spark.createDataFrame([("c1", "held text")], "chunk_id string, content_key string")
+    same = [(1, "c1", "same"), (2, "c2", "same")]
+    df = lambda rows: spark.createDataFrame(rows, "seq long, chunk_id string, content_key string")
+    take = lambda rows, held: sorted((r.chunk_id, r.content_key) for r in ingest.admitted_in_order(df(rows), held, "chunk_id", "content_key", ["seq"]).collect())
+    assert take(same, held) == [("c2", "same")]
+    random.seed(9)
+    for size in (1, 12, 60):
+        rows = [(k, f"c{random.randrange(size)}", f"t{random.randrange(size)}") for k in range(2 * size)]
+        assert take(rows, held) == one_by_one(rows, {"c1"}, {"held text"})
+    chain = [(k, f"c{k // 2}", f"t{(k + 1) // 2}") for k in range(12)]
+    assert take(chain, held.limit(0)) == one_by_one(chain, (), ())
+
+
+def test_rows_come_in_the_order_of_files(spark, tmp_path):
+    (tmp_path / "chunks").mkdir()
+    sizes = {"a": 5, "b": 2000, "c": 100}
+    for name, n in sizes.items():
+        (tmp_path / "chunks" / f"{name}.jsonl").write_text("\n".join(json.dumps(chunk(name, k, f"{name} {k}")) for k in range(n)))
+    from corpusloom.sources.jsonl import read_chunks
+
+    rows = [r.chunk_id for r in read_chunks(spark, str(tmp_path)).orderBy("seq").select("chunk_id").collect()]
+    assert rows == [f"{name}#{k:04}" for name, n in sizes.items() for k in range(n)]
+
+
+def test_search_without_caps(corpus, monkeypatch):
+    chunks, tags, vectors = corpus
+    monkeypatch.setattr(search, "FTS_CAP", 1)
+    monkeypatch.setattr(search, "SEMANTIC_CAP", 1)
+    query = dict(text="the", query_embedding=(0.1, 0.9, 0.0), semantic_model_tag="test-3d", scope="include_embeddings")
+    ids = lambda **more: {h.chunk_id for h in search.search(chunks, tags, search.SearchQuery(**query, **more), vectors).collect()}
+    assert len(ids()) < len(ids(lane_caps=False)) == 3
+
+
+def test_entry_without_a_library_of_the_subpackage(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    (tmp_path / "public_tokenizers.py").write_text("raise ModuleNotFoundError('not here', name='public_tokenizers')")
+    code = f"import sys; sys.path[:0] = [{str(tmp_path)!r}, {str(root)!r}]; import __spark_entry__ as e; assert 'hybrid_search' in e.queries() and 'pipeline' not in e.queries()"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True).returncode == 0
