@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.getOrCreate()
     try:
         if args.command == "build":
-            if not exists(spark, f"{args.packs_root}/metadata/*.jsonl"):
+            if not any(exists(spark, f"{args.packs_root}/metadata/{p}") for p in ("*.jsonl", "by=*/*.json")):
                 return 1
             store = Store(spark, shared_dir(spark))
             ingest_folder(store, args.packs_root).show(truncate=False)
@@ -65,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
             tags = {f: getattr(args, f) or [] for f in ops.FAMILIES}
             if not args.query.strip() and not any(tags.values()):
                 return 2
-            store = pack.Pack.open(args.pack).store(spark)
+            store = pack.Pack.open(spark, args.pack).store(spark)
             query = ops.SearchQuery(args.query, ops.TagFilter(**{f: tuple(v) for f, v in tags.items()}), limit=args.limit)
             hits = ops.search(ops.indexed(store.read("chunks")), ops.tag_families(store.read("episodes")), query)
             for row in (ops.emit_json(hits) if args.json else ops.emit_text(hits)).collect():

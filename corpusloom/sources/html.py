@@ -42,15 +42,19 @@ class Rule:
     assets: str = ""
     cap: int = 20
     suffix: str = ""
+    #: Fields of the page's JSON-LD that name guests, where no label does.
+    people: tuple[str, ...] = ()
+    #: Where the transcript's PDF is linked: tiers in order, each of (link text, address) patterns.
+    transcript: tuple[tuple[tuple[str, str], ...], ...] = ()
 
 
 _ARTICLE, _MAIN = ("tag", "article"), ("tag", "main")
 _SLUG = r"[a-z0-9][a-z0-9\-]*"
 #: Links, containers and labels of each publisher's pages.
 RULES: dict[str, Rule] = {
-    "acquired": Rule((("class", r"transcript", ("div",)), ("heading", r"transcript", 6)), rf'href="(?:https?://(?:www\.)?acquired\.fm)?/episodes/({_SLUG})/?"', assets="external", cap=25),
+    "acquired": Rule((("class", r"transcript", ("div",)), ("heading", r"transcript", 6)), rf'href="(?:https?://(?:www\.)?acquired\.fm)?/episodes/({_SLUG})/?"', assets="external", cap=25, people=("actor", "performer", "guest")),
     "a16z": Rule((_ARTICLE, ("attr", "id", r"^content$")), rf"<loc>\s*https?://a16z\.com/podcast/({_SLUG})/?\s*</loc>", guests="Guests?", assets="pdf", cap=25),
-    "bcg": Rule((("class", r"podcast-transcript|rich-text", ("div",)), _MAIN), r"<loc>\s*https?://(?:www\.)?bcg\.com/featured-insights/podcasts/(?!page/)([a-z0-9][a-z0-9\-]*/[a-z0-9][a-z0-9\-]*)/?\s*</loc>", guests="Guests?", assets="pdf"),
+    "bcg": Rule((("class", r"podcast-transcript|rich-text", ("div",)), _MAIN), r"<loc>\s*https?://(?:www\.)?bcg\.com/featured-insights/podcasts/(?!page/)([a-z0-9][a-z0-9\-]*/[a-z0-9][a-z0-9\-]*)/?\s*</loc>", guests="Guests?", assets="pdf", transcript=((("transcript", ""), ("", r"web-assets\.bcg\.com.*transcript")),)),
     "deutsche_bank": Rule((("heading", r"^transcript\b", 3), _ARTICLE, _MAIN), r'href="(?:https?://flow\.db\.com)?/media/flow-incorporatetreasury-podcasts/([a-z0-9][a-z0-9\-]+[a-z0-9])(?:[?#][^"]*)?/?"', drop=STD10, suffix="-transcript"),
     "exit_five": Rule((("heading", r"transcription|transcript", 6), _ARTICLE), rf'href="(?:https?://(?:www\.)?exitfive\.com)?/podcast/({_SLUG})/?"', guests="Guests?", assets="external"),
     "frog": Rule((_ARTICLE, _MAIN), rf'href="(?:https?://(?:www\.)?frog\.co)?/designmind/(design-mind-frogcast-{_SLUG})/?"'),
@@ -63,7 +67,7 @@ RULES: dict[str, Rule] = {
     "rbc_disruptors": Rule((("heading", r"transcript", 6), _ARTICLE, _MAIN), r'href="(?:https?://(?:www\.)?rbc\.com)?/en/thought-leadership/disruptors/([a-z0-9][a-z0-9\-]*?)/?"', reject=frozenset(["", "subscribe", "about", "podcast", "podcasts", *(f"season-{k}" for k in range(1, 11))]), drop=STD10),
     "rics": Rule((_ARTICLE, _MAIN), assets="pdf"),
     "ted_worklife": Rule((_MAIN, _ARTICLE), r'href="(?:https?://)?(?:www\.)?(?:ted\.com)?/?podcasts/([a-z0-9][a-z0-9\-]*?)-transcript/?(?:[?#][^"]*)?"', reject=frozenset({"", "worklife", "worklife-transcripts", "subscribe"}), drop=STD10),
-    "thomson_reuters": Rule((_ARTICLE, _MAIN), r"<loc>\s*https?://(?:www\.)?thomsonreuters\.com/en-us/posts/([a-z0-9\-]+/podcast-[a-z0-9\-]+)/?\s*</loc>", drop=STD10, assets="pdf"),
+    "thomson_reuters": Rule((_ARTICLE, _MAIN), r"<loc>\s*https?://(?:www\.)?thomsonreuters\.com/en-us/posts/([a-z0-9\-]+/podcast-[a-z0-9\-]+)/?\s*</loc>", drop=STD10, assets="pdf", transcript=((("episode transcript", ""),), ((r"^transcript$", r"/wp-content/uploads/"),))),
     "wef_radio_davos": Rule((("attr", "data-gtm-section", r"transcript"), ("class", r"transcript", ("div", "section")), ("attr", "class", r"hypernova"), _ARTICLE, _MAIN), r'href="(?:https?://(?:www\.)?weforum\.org)?/podcasts/radio-davos/episodes/([^"/?#]+)/?"', drop=STD10, guests="Guests?"),
 }
 
@@ -202,7 +206,7 @@ def guests(page: str | None, source: str) -> list[str]:
     """Names behind the publisher's label, from the first paragraph that has it."""
     rule = RULES[source]
     if not rule.guests:
-        return []
+        return ld_people(page, *rule.people)
     wanted = re.compile(rf"^(?:{rule.guests})\s*[:—–-]\s*(.+)$", re.I)
     for x in parse(page or "").walk():
         if x.tag in ("p", "li", "div", "span") and (m := wanted.match(x.words())):
@@ -222,9 +226,20 @@ def assets(page: str | None, source: str, url: str) -> list[str]:
     return list(found)[: rule.cap]
 
 
+def transcript_link(page: str | None, source: str, url: str) -> str | None:
+    """The PDF that a page links as its transcript, absolute: the first link of the first tier that
+    has one."""
+    links = [(x.words().lower().strip(". "), urljoin(url, href)) for x in parse(page or "").walk() if x.tag == "a" and (href := x.attrs.get("href", "")).lower().endswith(".pdf")]
+    for tier in RULES[source].transcript:
+        for words, link in links:
+            if any(re.search(a, words) and re.search(b, link, re.I) for a, b in tier):
+                return link
+    return None
+
+
 def json_ld(page: str | None) -> list[dict]:
-    """Objects of the page's JSON-LD scripts, arrays and graphs unrolled; malformed ones are left
-    out."""
+    """Objects of the page's JSON-LD scripts, arrays and graphs replaced by their items;
+    malformed ones are left out."""
     out: list[dict] = []
     for body in re.findall(r"(?is)<script[^>]*type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>", page or ""):
         try:
@@ -234,8 +249,7 @@ def json_ld(page: str | None) -> list[dict]:
         todo = held if isinstance(held, list) else [held]
         for x in todo:
             if isinstance(x, dict):
-                out.append(x)
-                out += [y for y in x.get("@graph", []) if isinstance(y, dict)] if isinstance(x.get("@graph"), list) else []
+                out += [y for y in x["@graph"] if isinstance(y, dict)] if isinstance(x.get("@graph"), list) else [x]
     return out
 
 
@@ -284,7 +298,7 @@ def unescaped(text: str) -> str:
     return entities.unescape(text)
 
 
-_PAGE_TYPE = StructType([StructField("markdown", StringType()), StructField("guests", ArrayType(StringType())), StructField("assets", ArrayType(StringType())), StructField("error", StringType())])
+_PAGE_TYPE = StructType([StructField("markdown", StringType()), StructField("guests", ArrayType(StringType())), StructField("assets", ArrayType(StringType())), StructField("transcript", StringType()), StructField("error", StringType())])
 
 
 @F.pandas_udf(_PAGE_TYPE)
@@ -293,10 +307,10 @@ def read_page(source: pd.Series, url: pd.Series, page: pd.Series) -> pd.DataFram
     rows = []
     for s, u, p in zip(source, url, page, strict=True):
         try:
-            rows.append((source_markdown(p, s), guests(p, s), assets(p, s, u or ""), None))
+            rows.append((source_markdown(p, s), guests(p, s), assets(p, s, u or ""), transcript_link(p, s, u or ""), None))
         except Exception as e:  # one bad page must not end the job; its error is data
-            rows.append((None, [], [], f"{type(e).__name__}: {e}"))
-    return pd.DataFrame(rows, columns=["markdown", "guests", "assets", "error"])
+            rows.append((None, [], [], None, f"{type(e).__name__}: {e}"))
+    return pd.DataFrame(rows, columns=["markdown", "guests", "assets", "transcript", "error"])
 
 
 @F.pandas_udf(StringType())
@@ -304,5 +318,11 @@ def page_markdown(page: pd.Series) -> pd.Series:
     return page.map(base_markdown)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def page_people(page: pd.Series) -> pd.Series:
+    """Names in the JSON-LD of a page, in order, each once."""
+    return page.map(lambda p: ld_people(p, "actor", "performer", "guest"))
+
+
 def page_description(c: Column) -> Column:
     return F.coalesce(F.nullif(meta_content(c, "description"), F.lit("")), meta_content(c, "og:description"))

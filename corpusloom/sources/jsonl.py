@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,10 +24,12 @@ def _optional(schema: StructType) -> StructType:
 
 def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Blank lines are skipped, a bad line ends the job, and so does a missing required field when
-    the rows are used. ``stem`` is the file's name without its ending; ``seq`` orders rows by path,
+    the rows are used. ``stem`` is the file's name without its ending, or the value of its folder; ``seq`` orders rows by path,
     block of the file and place in it, however Spark deals files to tasks."""
     rows = spark.read.schema(_optional(schema)).option("mode", "FAILFAST").json(path)
-    rows = rows.withColumn("stem", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1)).withColumn("stem", F.url_decode("stem"))
+    # URL forms in the path: of the folder by= that Spark makes, or of the file itself
+    folder, name = F.regexp_extract(F.col("_metadata.file_path"), "/by=([^/]+)/[^/]+$", 1), F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1)
+    rows = rows.withColumn("stem", F.url_decode(F.url_decode(F.coalesce(F.nullif(folder, F.lit("")), name))))
     rows = rows.withColumn("seq", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
     for f in schema.fields:
         if not f.nullable:
@@ -33,15 +37,22 @@ def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return rows
 
 
+def _read_all(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Files of one publisher each, and the folders that ``append_jsonl`` makes of many."""
+    paths = [p for p in (f"{root}/*.jsonl", f"{root}/*.json", f"{root}/by=*/*.json") if exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], _optional(schema).add("stem", "string").add("seq", SEQ))
+    found = [read_strict(spark, p, schema) for p in paths]
+    return reduce(DataFrame.unionByName, found)
+
+
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     """Episodes of all publishers under ``root``/metadata; none if the folder is missing."""
-    path = f"{root}/metadata/*.jsonl"
-    return read_strict(spark, path, EPISODE) if exists(spark, path) else spark.createDataFrame([], _optional(EPISODE).add("stem", "string").add("seq", SEQ))
+    return _read_all(spark, f"{root}/metadata", EPISODE)
 
 
 def read_chunks(spark: SparkSession, root: str) -> DataFrame:
-    path = f"{root}/chunks/*.jsonl"
-    return read_strict(spark, path, CHUNK) if exists(spark, path) else spark.createDataFrame([], _optional(CHUNK).add("stem", "string").add("seq", SEQ))
+    return _read_all(spark, f"{root}/chunks", CHUNK)
 
 
 def read_governance(spark: SparkSession, path: str) -> DataFrame:
@@ -52,8 +63,22 @@ def read_governance(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_jsonl(rows: DataFrame, path: str, by: str | None = None) -> None:
-    writer = rows.write.mode("append").option("ignoreNullFields", "false")
-    (writer.partitionBy(by) if by else writer).json(path)
+    """Appends a file a task, in a folder for each value of the column ``by`` if it is given."""
+    writer = (rows.withColumn("by", F.col(by)) if by else rows).write.mode("append").option("ignoreNullFields", "false")
+    (writer.partitionBy("by") if by else writer).json(path)
+
+
+def as_dict(row: Row) -> dict:
+    """A row with its inner rows, also those in lists and maps, as plain dictionaries."""
+
+    def plain(x):
+        if isinstance(x, Row):
+            return {k: plain(v) for k, v in x.asDict().items()}
+        if isinstance(x, dict):
+            return {k: plain(v) for k, v in x.items()}
+        return [plain(v) for v in x] if isinstance(x, list) else x
+
+    return plain(row)
 
 
 class Store:

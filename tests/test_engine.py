@@ -287,3 +287,33 @@ def test_entry_without_a_library_of_the_subpackage(tmp_path):
     (tmp_path / "public_tokenizers.py").write_text("raise ModuleNotFoundError('not here', name='public_tokenizers')")
     code = f"import sys; sys.path[:0] = [{str(tmp_path)!r}, {str(root)!r}]; import __spark_entry__ as e; assert 'hybrid_search' in e.queries() and 'pipeline' not in e.queries()"
     assert subprocess.run([sys.executable, "-c", code], capture_output=True).returncode == 0
+
+
+def test_crawl_build_search(spark, tmp_path):
+    sources = {k: v for k, v in load_registry().items() if k in ("frog", "acquired")}
+    head = '<head><title>A talk</title><meta name="description" content="What &amp; why"><script type="application/ld+json">{"@graph":[{"@type":"PodcastEpisode","actor":[{"name":"Ann Lee"}]}]}</script></head>'
+    rows = [("frog", "one", "https://x.org/1", "<article><p>HOST: about widgets</p></article>", 1), ("acquired", "two", "https://x.org/2", f'{head}<div class="transcript"><p>HOST: about gadgets</p></div>', 2)]
+    pages = spark.createDataFrame(rows, "publisher_id string, slug string, url string, html string, seq long").withColumn("body", F.lit(None).cast("string"))
+    root, packed = str(tmp_path / "root"), str(tmp_path / "x.pack")
+    Pipeline(spark, sources, root).run(pages, now=7)
+    assert cli.main(["build", "--packs-root", root, "--output", packed]) == 0
+    store = pack.Pack.open(spark, packed).store(spark)
+    episodes = {r.publisher: r for r in store.read("episodes").collect()}
+    assert set(episodes) == {"frog", "acquired"} and store.read("chunks").count() == 2
+    assert (episodes["acquired"].guest, episodes["acquired"].summary, episodes["acquired"].title) == (["Ann Lee"], "What & why", "A talk")
+    assert episodes["acquired"].rights_summary and episodes["acquired"].credibility_notes
+    found = search.search(search.indexed(store.read("chunks")), search.tag_families(store.read("episodes")), search.SearchQuery("gadgets")).collect()
+    assert [h.episode_id for h in found] == [episodes["acquired"].episode_id]
+
+
+def test_transcript_links_and_plain_rows(spark):
+    link = lambda page, source: html.transcript_link(page, source, "https://p.org/a/")
+    assert link('<a href="x.pdf">Slides</a><a href="/t.pdf">Read the transcript</a>', "bcg") == "https://p.org/t.pdf"
+    assert link('<a href="https://web-assets.bcg.com/ab/ep-Transcript.pdf">Here</a>', "bcg") == "https://web-assets.bcg.com/ab/ep-Transcript.pdf"
+    assert link('<a href="/wp-content/uploads/a.pdf">Transcript.</a><a href="/b.pdf">Episode transcript</a>', "thomson_reuters") == "https://p.org/b.pdf"
+    assert link('<a href="/c.pdf">Transcript</a><a href="/wp-content/uploads/a.pdf">Transcript.</a>', "thomson_reuters") == "https://p.org/wp-content/uploads/a.pdf"
+    assert link('<a href="/c.pdf">Transcript</a>', "thomson_reuters") is None and link('<a href="/c.pdf">Transcript</a>', "frog") is None
+    from corpusloom.sources.jsonl import as_dict
+
+    row = spark.sql("SELECT 1 AS a, struct(2 AS b, array(struct(3 AS c)) AS d) AS e, map('k', struct(4 AS f)) AS g").first()
+    assert as_dict(row) == {"a": 1, "e": {"b": 2, "d": [{"c": 3}]}, "g": {"k": {"f": 4}}}
