@@ -97,9 +97,14 @@ def require_no_orphans(chunks: DataFrame, episodes: DataFrame) -> None:
         raise Invariant(f"chunk {bad[0][0]} belongs to no episode")
 
 
+def disagreeing(rows: DataFrame, expected: str) -> DataFrame:
+    """Rows whose publisher is not the one in ``expected``."""
+    return rows.where(~F.col("publisher").eqNullSafe(F.col(expected)))
+
+
 def require_publishers(rows: DataFrame, expected: str) -> None:
     """Each row's publisher must be the one its file is named after."""
-    if bad := rows.where(~F.col("publisher").eqNullSafe(F.col(expected))).select("publisher", expected).head(1):
+    if bad := disagreeing(rows, expected).select("publisher", expected).head(1):
         raise Invariant(f"publisher {bad[0][0]} in the file of {bad[0][1]}")
 
 

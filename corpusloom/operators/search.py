@@ -49,7 +49,8 @@ class SearchQuery:
     tags: TagFilter = field(default_factory=TagFilter)
     query_embedding: tuple[float, ...] | None = None
     semantic_model_tag: str | None = None
-    limit: int = DEFAULT_LIMIT
+    #: None: all hits.
+    limit: int | None = DEFAULT_LIMIT
     scope: str = "text_only"
     weights: RankWeights = field(default_factory=RankWeights)
     #: False: all chunks and vectors are candidates, not only the first of each lane.
@@ -171,7 +172,8 @@ def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embedding
     hits = chunks.select("chunk_id", "episode_id", "chunk_text", "citation_anchor", "section_heading", "created_at").join(merged, "chunk_id").select(
         "chunk_id", "episode_id", "chunk_text", "citation_anchor", "section_heading", rank.alias("rank_score"), "bm25_score", "semantic_score", F.lit(active).alias("tag_match"), "created_at"
     )
-    return hits.orderBy(F.desc("rank_score"), F.desc("created_at"), "chunk_id").limit(query.limit or DEFAULT_LIMIT)
+    hits = hits.orderBy(F.desc("rank_score"), F.desc("created_at"), "chunk_id")
+    return hits if query.limit is None else hits.limit(query.limit or DEFAULT_LIMIT)
 
 
 def emit_json(hits: DataFrame) -> DataFrame:

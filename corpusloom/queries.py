@@ -11,10 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import storage
 from corpusloom.functions import hashing, text, vectors
 from corpusloom.operators import chunking, governance, ingest, search
-from corpusloom.sources import html
+from corpusloom.plans import build, pack, pipeline
+from corpusloom.schemas import EPISODE
+from corpusloom.sources import html, jsonl
 from corpusloom.sources.registry import load_registry, registry_frame
+from corpusloom.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -76,8 +80,23 @@ def plain_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.concat("source", F.lit("_flagship_"), F.col("doc_id").cast("string")).alias("episode_id"), F.col("source").alias("publisher"), "lang", "text", code.alias("rights_code"))
 
 
+_made: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, make):
+    """What ``make`` gives, made once a session: a store and an index outlive a query."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
 def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A chunk a document, with search tokens."""
+    """A chunk a document, with search tokens, stored as the index of a store is."""
+    return once(spark, sf_dir, "index", lambda: storage.written(_chunk_rows(spark, sf_dir), "index"))
+
+
+def _chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     rows = d.select(
         F.concat("source", F.lit("_flagship_"), F.col("doc_id").cast("string")).alias("episode_id"), F.col("text").alias("chunk_text"), (F.lit(BASE) + F.col("doc_id") * 60).cast("long").alias("created_at"),
@@ -126,14 +145,20 @@ def token_count(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.count_tokens("text").cast("long").alias("n_tokens"))
 
 
-@query(r"SELECT item_id, trim(regexp_replace(lower(strip_accents(text)), '[^\p{L}\p{N}]+', '-', 'g'), '-') AS slug FROM benchmark")
+@query(r"SELECT doc_id, sha256(trim(regexp_replace(lower(strip_accents(text)), '[^\p{L}\p{N}]+', '-', 'g'), '-')) AS slug_sha FROM documents")
 def slugify_latin(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", text.slugify_native("text").alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.slugify_native("text"), 256).alias("slug_sha"))
+
+
+@query(r"SELECT doc_id, sha256(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-')) AS slug_sha FROM documents WHERE regexp_full_match(strip_accents(text), '[\x00-\x7F]*')")
+def slugify_ascii(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").where(F.regexp_like(text.fold_latin("text"), F.lit(r"\A[\x00-\x7F]*\z")))
+    return rows.select("doc_id", F.sha2(text.slugify("text"), 256).alias("slug_sha"))
 
 
 @query()
 def slugify_unicode(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", text.slugify("text").alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.slugify("text").alias("slug"))
 
 
 @query(r"SELECT doc_id, sha256(trim(regexp_replace(text || chr(10) || '  ' || chr(10) || chr(9) || 'x', '\s+', ' ', 'g'))) AS sha FROM documents")
@@ -141,9 +166,9 @@ def collapse_whitespace(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.collapse_whitespace(F.concat("text", F.lit("\n  \n\tx"))), 256).alias("sha"))
 
 
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(left(text, 40) || chr(10) || '  ' || chr(10) || chr(10) || chr(10) || chr(10) || 'x', chr(13), chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+(\n|$)', '\1', 'g'), '^\s+|\s+$', '', 'g') AS tidy FROM documents")
+@query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(text || chr(10) || '  ' || chr(10) || chr(10) || chr(10) || chr(10) || 'x', chr(13), chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+(\n|$)', '\1', 'g'), '^\s+|\s+$', '', 'g') AS tidy FROM documents")
 def collapse_blank_lines(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.collapse_blank_lines(F.concat(F.left("text", F.lit(40)), F.lit("\n  \n\n\n\nx"))).alias("tidy"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.collapse_blank_lines(F.concat("text", F.lit("\n  \n\n\n\nx"))).alias("tidy"))
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 280 THEN left(text, 280) || '…' ELSE text END AS shown FROM documents")
@@ -164,17 +189,29 @@ def content_hash_sha(spark, sf_dir):
 
 @query()
 def content_hash_blake3(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", hashing.content_hash("text").alias("content_hash"))
+    return table(spark, sf_dir, "documents").select("doc_id", hashing.content_hash("text").alias("content_hash"))
 
 
-@query(r"SELECT item_id, list_filter(list_transform(regexp_split_to_array(text, ',| and '), lambda x: trim(x)), lambda x: length(x) > 0) AS names FROM benchmark")
+@query(r"SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(text, chr(10), ' '), ',| and '), lambda x: trim(x)), lambda x: length(x) > 0) AS names FROM documents")
 def split_names(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", text.split_names(F.regexp_replace("text", r"[\n\r]", "\n")).alias("names"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.split_names(F.replace("text", F.lit("\n"), F.lit(" "))).alias("names"))
 
 
-@query(r"SELECT item_id, regexp_replace(left(text, 20) || ' (Transcript)', '\s*[(\[]?\s*[Tt]ranscript\s*[)\]]?\s*$', '') AS title FROM benchmark")
+@query(r"SELECT doc_id, sha256(regexp_replace(text || ' (Transcript)', '\s*[(\[]?\s*[Tt]ranscript\s*[)\]]?\s*$', '')) AS title_sha FROM documents WHERE text = trim(text)")
 def transcript_suffix(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select("item_id", text.strip_transcript_suffix(F.concat(F.left("text", F.lit(20)), F.lit(" (Transcript)"))).alias("title"))
+    d = table(spark, sf_dir, "documents").where(F.col("text") == F.btrim("text"))
+    return d.select("doc_id", F.sha2(text.strip_transcript_suffix(F.concat("text", F.lit(" (Transcript)"))), 256).alias("title_sha"))
+
+
+@query("SELECT doc_id, sha256(text || ' <&>') AS sha FROM documents")
+def html_unescape(spark, sf_dir):
+    escaped = F.replace(F.replace(F.concat("text", F.lit(" <&>")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.unescape_html(escaped), 256).alias("sha"))
+
+
+@query("SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/x/' || page_id AS link FROM pages")
+def absolute_links(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.url_join("url", F.concat(F.lit("/x/"), F.col("page_id").cast("string"))).alias("link"))
 
 
 # -- rights, ingest, deduplication ---------------------------------------------------------------
@@ -208,20 +245,29 @@ def content_dedup_first_wins(spark, sf_dir):
     return d.groupBy("text_sha").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
-_HELD, _NEW = "doc_id % 7 = 0", "doc_id % 2 = 0"
+_HELD = "doc_id % 7 = 0"
 
 
-@query(f"SELECT source || '_flagship_' || doc_id AS episode_id, source AS publisher FROM documents WHERE {_NEW} AND NOT {_HELD}")
+@query(f"SELECT source || '_flagship_' || doc_id AS episode_id, source AS publisher FROM documents WHERE NOT {_HELD}")
 def insert_or_ignore_episode(spark, sf_dir):
     e = plain_episodes(spark, sf_dir).withColumn("seq", F.col("doc_id"))
-    new = e.where(_NEW)
-    return ingest.insert_or_ignore(new.unionByName(new).select("episode_id", "publisher", "seq"), e.where(_HELD), "episode_id", ["seq"]).select("episode_id", "publisher")
+    return ingest.insert_or_ignore(e.unionByName(e).select("episode_id", "publisher", "seq"), e.where(_HELD), "episode_id", ["seq"]).select("episode_id", "publisher")
 
 
-@query(f"SELECT 'c' || (doc_id % 500) AS chunk_id, min(doc_id) AS seq FROM documents WHERE 'c' || (doc_id % 500) NOT IN (SELECT 'c' || (doc_id % 500) FROM documents WHERE {_HELD}) GROUP BY 1")
+@query("WITH n AS (SELECT sha256(text) AS chunk_id, doc_id AS seq, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) SELECT chunk_id, seq FROM n WHERE k = 1 AND chunk_id NOT IN (SELECT sha256(text) FROM documents WHERE source = (SELECT min(source) FROM documents))")
 def chunk_pk_conflict(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), (F.col("doc_id") % 500).cast("string")).alias("chunk_id"), F.col("doc_id").alias("seq"), "doc_id")
-    return ingest.insert_or_ignore(d.select("chunk_id", "seq"), d.where(_HELD), "chunk_id", ["seq"])
+    d = table(spark, sf_dir, "documents").select(hashing.dedup_key(F.col("text")).alias("chunk_id"), F.col("doc_id").alias("seq"), "source")
+    held = d.join(d.agg(F.min("source").alias("source")), "source", "left_semi")
+    return ingest.insert_or_ignore(d.select("chunk_id", "seq"), held, "chunk_id", ["seq"])
+
+
+#: The first copy of every text has an id that is held for another text, so the second goes in.
+@query("WITH n AS (SELECT 'c' || doc_id AS chunk_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k, count(*) OVER (PARTITION BY text) AS copies FROM documents) SELECT chunk_id, sha256(text) AS content_key FROM n WHERE k = CASE WHEN copies > 1 THEN 2 ELSE 1 END")
+def insert_chunks_in_order(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("chunk_id"), hashing.dedup_key(F.col("text")).alias("content_key"), F.col("doc_id").alias("seq"))
+    copied = d.groupBy("content_key").agg(F.min_by("chunk_id", "seq").alias("chunk_id"), F.count("*").alias("copies")).where("copies > 1")
+    held = copied.select("chunk_id", F.concat(F.lit("other "), "content_key").alias("content_key"))
+    return ingest.admitted_in_order(d, held, "chunk_id", "content_key", ["seq"]).select("chunk_id", "content_key")
 
 
 @query("SELECT 'k' || o_orderkey AS chunk_id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0)")
@@ -270,17 +316,199 @@ def global_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").agg(F.count("*").alias("episode_count"), F.countDistinct("source").alias("publisher_count"))
 
 
-# -- governance log ------------------------------------------------------------------------------
+@query(f"SELECT source || '_flagship_' || doc_id AS episode_id FROM documents WHERE source <> lang")
+def publisher_agreement(spark, sf_dir):
+    e = plain_episodes(spark, sf_dir)
+    return ingest.disagreeing(e, "lang").select("episode_id")
+
 
 _PUBLISHERS = ("click", "view", "purchase", "error", "error_late")
 LOG_SQL = """log AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS publisher_id,
   event_type || CASE WHEN event_id % 5 = 0 THEN '_late' ELSE '' END || '_s_' || user_id AS episode_id,
   CASE event_id % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN 'paywalled' ELSE 'CC_BY' END AS rights_code,
-  epoch(ts)::BIGINT AS ingestion_date, md5('' || user_id) AS content_hash, event_id % 4 < 2 AS deprecated FROM events),
+  floor(epoch(ts))::BIGINT AS ingestion_date, md5('' || user_id) AS content_hash, event_id % 4 < 2 AS deprecated FROM events),
  reg AS (SELECT unnest(['click', 'view', 'purchase', 'error', 'error_late']) AS pid),
  att AS (SELECT log.*, coalesce((SELECT pid FROM reg WHERE pid = publisher_id), (SELECT max_by(pid, length(pid)) FROM reg WHERE starts_with(episode_id, pid || '_'))) AS publisher FROM log)"""
 
 
+# -- JSON Lines, stores, packs, landing, stream ---------------------------------------------------
+
+
+def _episode_rows(spark, sf_dir):
+    e, d = plain_episodes(spark, sf_dir), {}
+    values = {"series": F.lit("flagship"), "title": F.left("text", F.lit(30)), "host": F.array("lang"), "publication_date": F.lit("2024-01-02"), "country_region": F.array(F.lit("US")), "source_type": F.lit("podcast_transcript_html"), "language": F.col("lang"), "primary_url": F.concat(F.lit("https://example.com/"), F.col("doc_id").cast("string"))}
+    for f in EPISODE.fields:
+        held = values.get(f.name)
+        d[f.name] = held if held is not None else F.col(f.name) if f.name in ("episode_id", "publisher", "rights_code") else F.lit(None).cast(f.dataType)
+    return e.select(*(c.alias(name) for name, c in d.items()))
+
+
+def _json_folder(spark, sf_dir):
+    """The test documents as JSON Lines of episodes and chunks, by publisher."""
+
+    def make():
+        root = storage.shared_dir(spark)
+        jsonl.append_jsonl(_episode_rows(spark, sf_dir), f"{root}/metadata", "publisher")
+        d = plain_episodes(spark, sf_dir)
+        chunks = d.select(
+            F.concat("episode_id", F.lit("#0000")).alias("chunk_id"), "episode_id", F.length("text").alias("token_count"), F.lit(None).cast("string").alias("section_heading"),
+            F.col("text").alias("chunk_text"), F.lit("https://example.com/").alias("citation_anchor"), "publisher",
+        )
+        jsonl.append_jsonl(chunks.withColumn("by", F.col("publisher")).drop("publisher"), f"{root}/chunks", "by")
+        jsonl.append_jsonl(_log(spark, sf_dir).select("publisher_id", "episode_id", "rights_code", "ingestion_date", "content_hash", "deprecated"), f"{root}/governance")
+        return root
+
+    return once(spark, sf_dir, "json", make)
+
+
+@query(f"SELECT source || '_flagship_' || doc_id AS episode_id, source AS publisher, source AS stem, {CODE_SQL} AS rights_code, [lang] AS host, sha256(left(text, 30)) AS title_sha FROM documents")
+def jsonl_metadata_scan(spark, sf_dir):
+    rows = jsonl.read_metadata(spark, _json_folder(spark, sf_dir))
+    return rows.select("episode_id", "publisher", "stem", "rights_code", "host", F.sha2("title", 256).alias("title_sha"))
+
+
+@query("SELECT source || '_flagship_' || doc_id || '#0000' AS chunk_id, CAST(length(text) AS INT) AS token_count, sha256(text) AS text_sha FROM documents")
+def jsonl_chunk_scan(spark, sf_dir):
+    rows = jsonl.read_chunks(spark, _json_folder(spark, sf_dir))
+    return rows.select("chunk_id", "token_count", F.sha2("chunk_text", 256).alias("text_sha"))
+
+
+@query(f"WITH {LOG_SQL} SELECT publisher_id, episode_id, rights_code, ingestion_date, deprecated, count(*) AS n FROM log GROUP BY ALL")
+def jsonl_governance_scan(spark, sf_dir):
+    rows = jsonl.read_governance(spark, f"{_json_folder(spark, sf_dir)}/governance")
+    return rows.groupBy("publisher_id", "episode_id", "rights_code", "ingestion_date", "deprecated").agg(F.count("*").alias("n"))
+
+
+def _stored(spark, sf_dir):
+    """A store that has taken in the folder twice, with the statistics of both runs."""
+
+    def make():
+        store = jsonl.Store(spark, storage.shared_dir(spark))
+        return store, *(build.ingest_folder(store, _json_folder(spark, sf_dir), now=now) for now in (5, 6))
+
+    return once(spark, sf_dir, "store", make)
+
+
+_STORED_SQL = f"""e AS (SELECT *, source AS publisher, {CODE_SQL} AS rights_code FROM documents), j AS (SELECT *, {ALLOW_SQL} AS ok, sha256({CANON_SQL.format('text')}) AS k FROM e),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY source, doc_id) AS nth FROM j WHERE ok)"""
+
+
+@query(f"WITH {_STORED_SQL} SELECT count(*) AS seen, count(*) FILTER (WHERE ok) AS inserted, count(*) FILTER (WHERE NOT ok) AS rejected, count(DISTINCT k) FILTER (WHERE ok) AS chunks_inserted, count(*) FILTER (WHERE ok) - count(DISTINCT k) FILTER (WHERE ok) AS chunks_deduped FROM j")
+def store_ingest(spark, sf_dir):
+    return ingest.totals(_stored(spark, sf_dir)[1]).select("seen", "inserted", "rejected", "chunks_inserted", "chunks_deduped")
+
+
+@query(f"WITH {_STORED_SQL} SELECT publisher, count(*) AS seen, CAST(0 AS BIGINT) AS inserted, count(*) FILTER (WHERE ok) AS existing, CAST(0 AS BIGINT) AS chunks_inserted, count(*) FILTER (WHERE ok) AS chunks_deduped FROM j GROUP BY publisher")
+def store_ingest_again(spark, sf_dir):
+    return _stored(spark, sf_dir)[2].select("publisher", "seen", "inserted", "existing", "chunks_inserted", "chunks_deduped")
+
+
+@query(f"WITH {_STORED_SQL} SELECT source || '_flagship_' || doc_id AS episode_id, publisher, rights_code, source || '_flagship_' || doc_id AS json_id, lang AS json_host FROM j WHERE ok")
+def store_episodes(spark, sf_dir):
+    rows = _stored(spark, sf_dir)[0].read("episodes")
+    return rows.select("episode_id", "publisher", "rights_code", F.get_json_object("metadata_json", "$.episode_id").alias("json_id"), F.get_json_object("metadata_json", "$.host[0]").alias("json_host"))
+
+
+@query(f"WITH {_STORED_SQL} SELECT DISTINCT k AS content_key FROM j WHERE ok")
+def store_chunks(spark, sf_dir):
+    return _stored(spark, sf_dir)[0].read("chunks").select("content_key")
+
+
+@query(f"WITH {_STORED_SQL} SELECT source || '_flagship_' || doc_id AS episode_id, rights_code, NOT ok AS deprecated, unnest([5, 6])::BIGINT AS ingestion_date FROM j")
+def store_governance(spark, sf_dir):
+    return _stored(spark, sf_dir)[0].read("governance").select("episode_id", "rights_code", "deprecated", "ingestion_date")
+
+
+@query(f"WITH {_STORED_SQL} SELECT 1 AS schema_version, count(*) FILTER (WHERE ok) AS episodes, count(DISTINCT k) FILTER (WHERE ok) AS chunks FROM j")
+def store_version_and_counts(spark, sf_dir):
+    store = _stored(spark, sf_dir)[0]
+    count = lambda name: store.read(name).agg(F.count("*").alias(name))
+    return store.read("version").crossJoin(F.broadcast(count("episodes"))).crossJoin(F.broadcast(count("chunks")))
+
+
+@query(f"WITH {VECTORS_SQL} SELECT chunk_id, model_tag, round(list_sum(v), 4) AS total FROM vecs")
+def store_embeddings(spark, sf_dir):
+    def make():
+        store = jsonl.Store(spark, storage.shared_dir(spark))
+        store.add_embeddings(vector_table(spark, sf_dir).withColumn("created_at", F.lit(1).cast("long")))
+        return store
+
+    rows = once(spark, sf_dir, "vectors", make).read("embeddings")
+    return rows.select("chunk_id", "model_tag", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
+def _packed(spark, sf_dir):
+    def make():
+        path = f"{storage.shared_dir(spark)}/corpus.pack"
+        manifest = pack.build(_stored(spark, sf_dir)[0], path, level=3)
+        return path, manifest, pack.Pack.open(spark, path).store(spark)
+
+    return once(spark, sf_dir, "pack", make)
+
+
+@query(ORACLE_SQL["store_episodes"])
+def pack_episodes(spark, sf_dir):
+    rows = _packed(spark, sf_dir)[2].read("episodes")
+    return rows.select("episode_id", "publisher", "rights_code", F.get_json_object("metadata_json", "$.episode_id").alias("json_id"), F.get_json_object("metadata_json", "$.host[0]").alias("json_host"))
+
+
+@query(ORACLE_SQL["store_chunks"])
+def pack_chunks(spark, sf_dir):
+    return _packed(spark, sf_dir)[2].read("chunks").select("content_key")
+
+
+@query(f"WITH {_STORED_SQL} SELECT publisher, count(*) AS episode_count, CAST(count(*) FILTER (WHERE nth = 1) AS BIGINT) AS chunk_count FROM o GROUP BY publisher")
+def pack_manifest(spark, sf_dir):
+    rows = _packed(spark, sf_dir)[1]["publishers"]
+    return spark.createDataFrame([(r["publisher"], r["episode_count"], r["chunk_count"]) for r in rows], "publisher string, episode_count long, chunk_count long")
+
+
+def _landed(spark, sf_dir):
+    """Documents as landed pages of two publishers, and a log that holds some ids and contents."""
+
+    def make():
+        d = plain_episodes(spark, sf_dir)
+        pages = d.select(F.when(F.col("doc_id") % 2 == 0, "frog").otherwise("ncsc").alias("publisher_id"), F.col("doc_id").cast("string").alias("slug"), F.lit("https://example.com/").alias("url"), F.lit(None).cast("string").alias("html"), F.col("text").alias("body"), "rights_code", F.col("doc_id").alias("seq"))
+        sources = {k: v for k, v in load_registry().items() if k in ("frog", "ncsc")}
+        name = text.episode_id(F.col("publisher_id"), F.when(F.col("publisher_id") == "frog", sources["frog"].series_id).otherwise(sources["ncsc"].series_id), F.col("slug"))
+        known = pages.where("seq % 5 = 0").select("publisher_id", name.alias("episode_id"), F.lit("cc_by").alias("rights_code"), F.lit(1).cast("long").alias("ingestion_date"), F.lit("").alias("content_hash"), F.lit(False).alias("deprecated"))
+        seen = pages.where("seq % 11 = 0").select(F.lit("elsewhere").alias("publisher_id"), F.lit("elsewhere_x").alias("episode_id"), F.lit("cc_by").alias("rights_code"), F.lit(1).cast("long").alias("ingestion_date"), hashing.content_hash(text.canonicalise("body")).alias("content_hash"), F.lit(False).alias("deprecated"))
+        registry = registry_frame(spark, sources).drop("episodes")
+        return storage.written(pipeline.judged(pages, registry, known.unionByName(seen), list(sources), incremental=True), "judged")
+
+    return once(spark, sf_dir, "landed", make)
+
+
+_LANDED_SQL = f"""r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'frog' ELSE 'ncsc' END AS publisher_id, coalesce(nullif({CODE_SQL}, ''), '') AS rights_code, sha256({CANON_SQL.format('text')}) AS k FROM documents),
+g AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'skipped_incremental' WHEN NOT ({ALLOW_SQL}) THEN 'rejected_rights' END AS gate, k IN (SELECT k FROM r WHERE doc_id % 11 = 0) AS seen FROM r),
+v AS (SELECT *, coalesce(gate, CASE WHEN seen OR row_number() OVER (PARTITION BY k, gate IS NULL ORDER BY publisher_id, doc_id) > 1 THEN 'skipped_dedup' ELSE 'admitted' END) AS verdict FROM g)"""
+
+
+@query(f"WITH {_LANDED_SQL} SELECT doc_id AS seq, verdict FROM v")
+def landing_verdicts(spark, sf_dir):
+    return _landed(spark, sf_dir).select("seq", "verdict")
+
+
+@query(f"WITH {_LANDED_SQL} SELECT publisher_id, count(*) FILTER (WHERE verdict <> 'skipped_incremental') AS seen, " + ", ".join(f"count(*) FILTER (WHERE verdict = '{v}') AS {v}" for v in pipeline.VERDICTS) + " FROM v GROUP BY publisher_id")
+def landing_stats(spark, sf_dir):
+    return pipeline.stats(_landed(spark, sf_dir))
+
+
+@query(f"WITH s AS (SELECT *, row_number() OVER (PARTITION BY sha256({CANON_SQL.format('text')}) ORDER BY episode_id) AS nth FROM (SELECT source || '_flagship_' || doc_id AS episode_id, text, {CODE_SQL} AS rights_code FROM documents) WHERE {ALLOW_SQL}) SELECT episode_id, rights_code FROM s WHERE nth = 1")
+def stream_admitted(spark, sf_dir):
+    def make():
+        root = storage.shared_dir(spark)
+        rows = plain_episodes(spark, sf_dir).select("episode_id", "text", "rights_code")
+        rows.write.parquet(f"{root}/arrived")
+        for _ in range(2):  # the second run finds nothing new
+            incremental.stream_ingest(spark.readStream.schema(rows.schema).parquet(f"{root}/arrived"), f"{root}/store", f"{root}/state").awaitTermination()
+        return f"{root}/store"
+
+    return spark.read.parquet(once(spark, sf_dir, "stream", make)).select("episode_id", "rights_code")
+
+
+# -- governance log ------------------------------------------------------------------------------
+
 def _log(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     log = e.select(
@@ -316,14 +544,26 @@ def governance_replay_hashes(spark, sf_dir):
     return governance.seen_hashes(_log(spark, sf_dir))
 
 
-@query(ORACLE_SQL["governance_replay_rejected"])
+def _to_fetch(incremental: bool):
+    def rows(spark, sf_dir):
+        log = _log(spark, sf_dir)
+        skip = governance.skip_set(log, incremental, allow=("cc_by", "paywalled"))
+        return log.where("publisher is not null").join(skip, ["publisher", "episode_id"], "left_anti").groupBy("publisher").agg(F.countDistinct("episode_id").alias("to_fetch"))
+
+    return rows
+
+
+_FETCH_SQL = "SELECT publisher, count(DISTINCT episode_id) AS to_fetch FROM att WHERE publisher IS NOT NULL AND NOT EXISTS (SELECT 1 FROM att k WHERE k.publisher = att.publisher AND k.episode_id = att.episode_id AND {}) GROUP BY publisher"
+
+
+@query(f"WITH {LOG_SQL} " + _FETCH_SQL.format("k.deprecated AND lower(k.rights_code) NOT IN ('cc_by', 'paywalled')"))
 def skip_set_default(spark, sf_dir):
-    return governance.skip_set(_log(spark, sf_dir), incremental=False)
+    return _to_fetch(False)(spark, sf_dir)
 
 
-@query(ORACLE_SQL["governance_replay_known"])
+@query(f"WITH {LOG_SQL} " + _FETCH_SQL.format("(NOT k.deprecated OR lower(k.rights_code) NOT IN ('cc_by', 'paywalled'))"))
 def skip_set_incremental(spark, sf_dir):
-    return governance.skip_set(_log(spark, sf_dir), incremental=True)
+    return _to_fetch(True)(spark, sf_dir)
 
 
 @query(f"WITH {LOG_SQL} SELECT DISTINCT publisher, episode_id FROM att WHERE publisher IS NOT NULL AND deprecated AND lower(rights_code) NOT IN ('cc_by', 'unknown')")
@@ -437,10 +677,11 @@ def fts_single_term(spark, sf_dir):
     return search.bm25_phrase(chunk_table(spark, sf_dir), [_TERM]).select("chunk_id", _score("bm25").alias("bm25"))
 
 
-@query("SELECT source AS chunk_id FROM documents WHERE false")
+@query("SELECT '?! --' AS query, 0 AS hits UNION ALL SELECT 'with', CAST(least(500, (SELECT count(*) FROM documents WHERE regexp_matches(lower(strip_accents(text)), '(^|[^\\p{L}\\p{N}])with($|[^\\p{L}\\p{N}])'))) AS INT)".replace("\\\\", "\\"))
 def fts_punctuation_empty(spark, sf_dir):
     chunks = chunk_table(spark, sf_dir)
-    return search.fts_lane(chunks, search.query_tokens(spark, "?! --"), None).select("chunk_id")
+    hits = lambda q: search.fts_lane(chunks, search.query_tokens(spark, q), None).agg(F.count("*").cast("int").alias("hits")).select(F.lit(q).alias("query"), "hits")
+    return hits("?! --").unionByName(hits("with"))
 
 
 @query(f"WITH {EPISODES_SQL}, {CHUNKS_SQL}, {bm25_sql([_TERM])}, top AS (SELECT * FROM lane ORDER BY bm25 DESC, chunk_id LIMIT 500) SELECT chunk_id, round(bm25, 6) AS bm25 FROM top WHERE episode_id IN (SELECT episode_id FROM episodes WHERE {_TAG_SQL})")
@@ -505,10 +746,30 @@ def hybrid_weights_override(spark, sf_dir):
     return _hybrid(spark, sf_dir, weights=search.RankWeights(0.5, 3.0, 0.25), limit=25)
 
 
-@query("SELECT source AS chunk_id FROM documents WHERE false")
+@query(f"WITH {CHUNKS_SQL}, {bm25_sql([_TERM])} SELECT 'no such tag' AS tag, CAST(0 AS BIGINT) AS hits UNION ALL SELECT 'any', least(10, count(*)) FROM lane")
 def search_unmatched_tags_empty(spark, sf_dir):
-    q = search.SearchQuery("with", search.TagFilter(industry=("no such tag",)))
-    return search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q).select("chunk_id")
+    hits = lambda name, tags: search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), search.SearchQuery("with", tags)).agg(F.count("*").alias("hits")).select(F.lit(name).alias("tag"), "hits")
+    return hits("no such tag", search.TagFilter(industry=("no such tag",))).unionByName(hits("any", search.TagFilter()))
+
+
+@query(_hybrid_sql(limit=3))
+def search_limit(spark, sf_dir):
+    return _hybrid(spark, sf_dir, limit=3)
+
+
+@query("WITH h AS (" + _hybrid_sql() + ") SELECT chunk_id, tag_match, rank_score FROM h")
+def hits_as_json(spark, sf_dir):
+    q = search.SearchQuery("with", _TAGS, tuple(first_vector(spark, sf_dir)), "m1", scope="include_embeddings")
+    hits = search.emit_json(search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir)))
+    field = lambda name, kind: F.get_json_object("json", f"$.{name}").cast(kind)
+    return hits.select(field("chunkId", "string").alias("chunk_id"), field("tagMatch", "boolean").alias("tag_match"), F.round(field("rankScore", "double"), 6).alias("rank_score"))
+
+
+@query(f"WITH {EPISODES_SQL}, {CHUNKS_SQL}, {VECTORS_SQL}, m AS (SELECT episode_id FROM episodes WHERE {_TAG_SQL}), {bm25_sql([_TERM])}, u AS (SELECT chunk_id, 2.0 * bm25 AS s FROM lane WHERE episode_id IN (SELECT episode_id FROM m) UNION ALL SELECT chunk_id, 1.5 * {_COS} FROM vecs, q WHERE model_tag = 'm1' AND episode_id IN (SELECT episode_id FROM m)) SELECT chunk_id, round(sum(s) + 0.75, 6) AS rank_score FROM u GROUP BY chunk_id")
+def search_without_caps(spark, sf_dir):
+    q = search.SearchQuery("with", _TAGS, tuple(first_vector(spark, sf_dir)), "m1", scope="include_embeddings", limit=None, lane_caps=False)
+    hits = search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir))
+    return hits.select("chunk_id", _score("rank_score").alias("rank_score"))
 
 
 # -- pages ---------------------------------------------------------------------------------------
@@ -552,13 +813,38 @@ def page_by_source_rule(spark, sf_dir):
     return p.select("page_id", "x.markdown", "x.guests", "x.assets", "x.error")
 
 
-@query()
+@query("SELECT page_id, ['ep-' || page_id] AS slugs FROM pages")
 def page_discovery(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     sitemap = F.concat(F.lit("<loc>https://mastersofscale.com/episode/ep-"), F.col("page_id").cast("string"), F.lit("/</loc>"))
     return p.select("page_id", html.slugs_native(sitemap, "masters_of_scale").alias("slugs"))
 
 
+@query("SELECT page_id, list_transform(range(1, 26), lambda k: 'ep-' || (page_id + k)) AS slugs FROM pages")
+def discovery_cap(spark, sf_dir):
+    links = F.transform(F.sequence(F.lit(1), F.lit(40)), lambda k: F.concat(F.lit("<loc>https://mastersofscale.com/episode/ep-"), (F.col("page_id") + k).cast("string"), F.lit("/</loc>")))
+    return table(spark, sf_dir, "pages").select("page_id", html.slugs_native(F.array_join(links, ""), "masters_of_scale").alias("slugs"))
+
+
+@query("SELECT page_id, list_transform(range(1, 21), lambda k: 'https://www.bcg.com/f' || page_id || '/' || k || '.pdf') AS assets, 'https://www.bcg.com/f' || page_id || '/1.pdf' AS transcript FROM pages")
+def page_assets_cap(spark, sf_dir):
+    links = F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: F.concat(F.lit("<a href='/f"), F.col("page_id").cast("string"), F.lit("/"), k.cast("string"), F.lit(".pdf'>Transcript</a>")))
+    read = html.read_page(F.lit("bcg"), F.lit("https://www.bcg.com/a"), F.concat(F.array_join(links, ""), "html"))
+    return table(spark, sf_dir, "pages").select("page_id", read.alias("x")).select("page_id", "x.assets", "x.transcript")
+
+
+@query("SELECT page_id, ['Guest ' || page_id, 'Bo'] AS people FROM pages")
+def page_json_ld_people(spark, sf_dir):
+    script = F.concat(F.lit('<script type="application/ld+json">{"@graph":[{"@type":"PodcastEpisode","actor":[{"name":"Guest '), F.col("page_id").cast("string"), F.lit('"},"Bo"]},{"guest":"Bo"}]}</script>'))
+    return table(spark, sf_dir, "pages").select("page_id", html.page_people(F.concat("html", script)).alias("people"))
+
+
+@query("SELECT page_id, 'On page ' || page_id || ' & more' AS description FROM pages")
+def page_description(spark, sf_dir):
+    meta = F.concat(F.lit('<meta property="og:description" content="other"><meta content="On  page '), F.col("page_id").cast("string"), F.lit(' &amp; more" name="description">'))
+    return table(spark, sf_dir, "pages").select("page_id", html.page_description(F.concat(meta, "html")).alias("description"))
+
+
 @query()
 def source_registry(spark, sf_dir):
     return registry_frame(spark, load_registry())
