@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import decontam, jaccard_join, pii, quality, spm_codec
 from corpusloom.llm.queries import PIECE_BPE, PII_KEY
-from corpusloom.llm.storage import load, written
+from corpusloom.llm.storage import discard, load, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal classifier rejects go; a null text is rated as an empty one."""
+    """Documents that the ordinal classifier rejects go. A null text is rated as an empty one, equal
+    texts get equal ratings, rows without an id are rated like any other; without labels all stay."""
     rated = quality.classify(docs, load(spark, sf_dir, "labels"))
     return rated.where("keep").select(docs.columns)
 
@@ -30,18 +31,21 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, verbatim or in paraphrase, go."""
+    """Documents that hold a benchmark item, verbatim or in paraphrase, go, and so do all rows of
+    their ids. Null, empty and wordless texts hold nothing; rows without an id stay."""
     return decontam.clean(docs, decontam.contaminated(docs, load(spark, sf_dir, "benchmark")))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data gets pseudonyms in its own format; n_chars follows the text where present."""
+    """Personal data gets pseudonyms in its own format; n_chars follows the text where present. Null
+    texts stay null, empty ones empty; repeated rows get equal texts."""
     out = pii.pseudonymise_pii(docs, PII_KEY).select(docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; a null text counts as empty,
+    repeated rows stay."""
     return spm_codec.round_trip_digest(docs, PIECE_BPE)
 
 
@@ -58,9 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES):
-            docs = written(docs, name)
-    return docs
+    """The rows of the last stage; each stage's table goes once the next one is written."""
+    docs, before = load(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.storage import written
+from corpusloom.llm.storage import discard, written
 
 #: Keys that a join sends to all tasks, at most.
 HOT_KEYS = 10_000
@@ -50,7 +50,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, root) for every node with an edge; root is the smallest node that it reaches.
 
     Each round halves the depth of the stars at least, and its edges are written to the shared
-    folder, so a lost executor costs one round; none is needed for edges that are stars already.
+    folder, so a lost executor costs one round; a round's table goes once the next is written, and no
+    round is needed for edges that are stars already.
     Self-links and nulls are left out.
     """
     edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
@@ -58,7 +59,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while _unfinished(edges):
         total = edges.count()
         larger = written(_large_star(edges, total).distinct(), "stars")
+        discard(edges)
         edges = written(_small_star(larger, larger.count()), "edges")
+        discard(larger)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -10,7 +10,8 @@ prefix itself and with how frequent its n-grams are, and a candidate needs as ma
 as the smaller l of the two.
 
 N-grams with up to ``LIGHT`` sets give candidate pairs; those that share enough n-grams are verified
-one by one, each set beside its partners. N-grams with more sets, as large groups of near copies
+one by one, with the sets of a small component of pairs brought together, so that each is sent once,
+and in large components each set beside its partners. N-grams with more sets, as large groups of near copies
 have, only tie their sets together, since their pairs are too many to write down. Ties form blocks
 of sets that may be similar; a block is compared inside Python tasks in parts of bounded size, each
 of which returns a spanning forest of the links it finds, so a group of m near copies gives m - 1
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import connected_components, join_hot
-from corpusloom.llm.storage import written
+from corpusloom.llm.storage import discard, written
 from corpusloom.llm.wordhash import U64, IdBitmap, SlotCounts, fmix, summed_blocks, words_of
 
 LIGHT = 32
@@ -35,6 +36,10 @@ WORD_SLOTS, GRAM_SLOTS = 1 << 18, 1 << 20
 MOST_MATCHES = 32
 #: Of a part of a block: sets and n-grams at most, from each side.
 PART_SETS, PART_GRAMS = 1024, 1_500_000
+#: Sets of a component of candidate pairs that are brought together to verify its pairs.
+GROUP_SETS = 64
+#: Kinds of units in the place of a part's second side.
+BESIDE, TOGETHER = -1, -2
 
 _MULTIPLIERS = fmix(np.arange(11, 75, dtype=U64)) | U64(1)
 
@@ -282,9 +287,75 @@ def links_within(sets: list[np.ndarray], sides: np.ndarray, copies: np.ndarray,
     return [(x, forest.find(x), int(degree[x])) for x in range(m) if degree[x]]
 
 
+LINKS = "a long, b long, links long"
+
+
+def _links(a: list[int], b: list[int], links: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, links)], ["a", "b", "links"])
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum())
+
+
+class _Pairs:
+    """Links among candidate pairs, each from either end with the rows at the other one. A unit is a
+    set (side 0) that stands before its partners, or the sets of a component, each with the ids of
+    its partners."""
+
+    def __init__(self, percent: int):
+        self.percent, self.unit, self.mine, self.own = percent, None, None, 0
+        self.group: dict[int, tuple[np.ndarray, int, list[int]]] = {}
+        self.of = None
+
+    def _check(self, out: tuple, x: int, y: int, a: tuple, b: tuple) -> None:
+        if similar(len(a[0]), len(b[0]), _common(a[0], b[0]), self.percent):
+            for column, pair in zip(out, ((x, y), (y, x), (b[1], a[1])), strict=True):
+                column += pair
+
+    def _finish(self, out: tuple) -> None:
+        for x, held in self.group.items():
+            for y in held[2]:
+                self._check(out, x, y, held, self.group[y])
+        self.group = {}
+
+    def links(self, batch: pa.RecordBatch | None) -> pa.RecordBatch:
+        """Those that a batch completes; of None: the rest."""
+        out: tuple = ([], [], [])
+        if batch is None:
+            self._finish(out)
+            return _links(*out)
+        columns = (batch.column(c).to_pylist() for c in ("unit", "j", "sid", "side", "copies", "partners"))
+        for unit, j, sid, side, copies, partners, packed in zip(*columns, batch.column("packed"), strict=True):
+            held = np.frombuffer(packed.as_buffer(), U64)
+            if j == TOGETHER:
+                if unit != self.of:
+                    self._finish(out)
+                    self.of = unit
+                self.group[sid] = (held, copies, partners or [])
+            elif not side:
+                self.unit, self.mine = unit, (held, copies)
+            elif unit == self.unit:
+                self._check(out, unit, sid, self.mine, (held, copies))
+        return _links(*out)
+
+
 def _compare(percent: int):
+    """Links of the units: those of candidate pairs (j below 0), and parts of blocks."""
+
     def run(batches):
-        for table in _runs(batches, 3):
+        pairs, ready = _Pairs(percent), []
+
+        def parts():
+            for batch in batches:
+                single = batch.column("j").to_numpy() < 0
+                if single.any():
+                    ready.append(pairs.links(batch.filter(pa.array(single))))
+                yield batch.filter(pa.array(~single))
+
+        for table in _runs(parts(), 3):
             keys = [table.column(c).to_numpy() for c in range(3)]
             breaks = np.ones(table.num_rows, bool)
             breaks[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
@@ -296,32 +367,11 @@ def _compare(percent: int):
                     a.append(sid[s + x])
                     b.append(sid[s + root])
                     d.append(links)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(d, pa.int64())], ["a", "b", "links"])
-
-    return run
-
-
-def _verify(percent: int):
-    """Links among the candidate pairs: the row of a set (side 0) stands before those of its
-    partners. Each link comes from either end, with the rows at the other one."""
-
-    def run(batches):
-        unit, mine, own = None, None, 0
-        for batch in batches:
-            a, b, links = [], [], []
-            columns = (batch.column(c).to_pylist() for c in range(4))
-            for key, sid, side, copies, packed in zip(*columns, batch.column(4), strict=True):
-                held = np.frombuffer(packed.as_buffer(), U64)
-                if not side:
-                    unit, mine, own = key, held, copies
-                elif key == unit:
-                    small, large = (mine, held) if len(mine) < len(held) else (held, mine)
-                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    if similar(len(mine), len(held), int((large[at] == small).sum()), percent):
-                        a += (key, sid)
-                        b += (sid, key)
-                        links += (copies, own)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], ["a", "b", "links"])
+            ready.append(_links(a, b, d))
+            yield from ready
+            ready.clear()
+        yield from ready
+        yield pairs.links(None)
 
     return run
 
@@ -366,30 +416,36 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     pairs = pairs.where("shared >= ell").select("a", "b").unionByName(few.select("a", "b"))
     pairs = pairs.join(block_of.toDF("a", "ba"), "a", "left").join(block_of.toDF("b", "bb"), "b", "left")
     pairs = written(pairs.where("ba is null or bb is null or ba <> bb").select("a", "b"), "pairs")
-    sides = pairs.select("a", F.col("b").alias("sid"), F.lit(1).cast("byte").alias("side")).unionByName(
-        pairs.select("a", F.col("a").alias("sid"), F.lit(0).cast("byte").alias("side")).distinct()
-    )
-
-    needed_sets = sides.select("sid").unionByName(blocks.select("sid")).distinct().join(classes, "sid").select("sid", "rep", "copies")
-    needed_sets = written(needed_sets, "needed")
-    wanted = spark.sparkContext.broadcast(IdBitmap.of(needed_sets, "rep"))
-    sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
-    sets = written(sets.join(needed_sets.select("sid", "copies"), "sid").dropDuplicates(["sid"]), "sets")
-    beside = sides.join(sets, "sid").repartition("a").sortWithinPartitions("a", "side", "sid").select("a", "sid", "side", "copies", "packed")
-    links = beside.mapInArrow(_verify(percent), "a long, b long, links long")
-
+    none = F.lit(None).cast("array<bigint>")
     parts = blocks.groupBy("blk").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n") / PART_GRAMS)).cast("int").alias("parts"), F.count("*").alias("rows"))
     placed = join_hot(block_of, parts, "blk", "rows", blocks.count()).withColumn("p", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    units = placed.join(sets, "sid").select("blk", "p", "sid", "copies", "packed", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(
-        "blk", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "sid", F.when(F.col("p") > F.col("q"), 1).otherwise(0).cast("byte").alias("side"), "copies", "packed"
+    placed = placed.select("blk", "p", "sid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(
+        F.col("blk").alias("unit"), F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), F.when(F.col("p") > F.col("q"), 1).otherwise(0).cast("byte").alias("side"), "sid", none.alias("partners")
+    )
+    everyone = written(connected_components(pairs), "members")
+    sizes = everyone.groupBy("root").agg(F.count("*").alias("sets"), F.count("*").alias("rows"))
+    members = join_hot(everyone, sizes, "root", "rows", everyone.count())
+    small, large = members.where(F.col("sets") <= GROUP_SETS), members.where(F.col("sets") > GROUP_SETS)
+    partners = pairs.join(small.select(F.col("node").alias("a")), "a", "left_semi").groupBy("a").agg(F.collect_list("b").alias("partners"))
+    together = small.select(F.col("root").alias("unit"), F.col("node").alias("sid")).join(partners.withColumnRenamed("a", "sid"), "sid", "left")
+    unit = lambda rows, kind, side: rows.select("unit", F.lit(0).alias("i"), F.lit(kind).alias("j"), F.lit(side).cast("byte").alias("side"), "sid", "partners")
+    far = pairs.join(large.select(F.col("node").alias("a")), "a", "left_semi").withColumn("partners", none)
+    beside = unit(far.select(F.col("a").alias("unit"), F.col("b").alias("sid"), "partners"), BESIDE, 1).unionByName(
+        unit(far.select(F.col("a").alias("unit"), F.col("a").alias("sid"), "partners"), BESIDE, 0).dropDuplicates(["unit"])
     )
-    within = units.repartition("blk", "i", "j").sortWithinPartitions("blk", "i", "j", "sid").mapInArrow(_compare(percent), "a long, b long, links long")
-    links = written(links.unionByName(within), "links")
+    units = written(placed.unionByName(unit(together, TOGETHER, 0)).unionByName(beside), "units")
+    wanted_sets = written(units.select("sid").distinct().join(classes, "sid").select("sid", "rep", "copies"), "wanted")
+    wanted = spark.sparkContext.broadcast(IdBitmap.of(wanted_sets, "rep"))
+    sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
+    sets = sets.join(wanted_sets.select("sid", "copies"), "sid").dropDuplicates(["sid"])
+    compared = units.join(sets, "sid").select("unit", "i", "j", "side", "sid", "copies", "packed", "partners").repartition("unit", "i", "j")
+    links = written(compared.sortWithinPartitions("unit", "i", "j", "side", "sid").mapInArrow(_compare(percent), LINKS), "links")
     classed = connected_components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("sid")).agg(F.sum("links").alias("partners"))
     labels = classes.join(classed.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     labels = written(labels.join(degree, "sid", "left").select("sid", "root", "rep", "copies", F.coalesce("partners", F.lit(0)).alias("partners")), "labels")
     least = labels.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("rows"))
+    discard(found, heavy, blocks, pairs, everyone, units, wanted_sets, links)
     counts = labels.agg(F.count("*"), F.sum("copies")).first()
     labels = join_hot(labels, least, "root", "rows", counts[0]).select("sid", "component_id", "copies", F.col("copies").alias("rows"), "partners")
     out = join_hot(rows, labels, "sid", "rows", counts[1] or 0, "left")

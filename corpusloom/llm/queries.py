@@ -65,14 +65,62 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def secret_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op6 that SQL can express: the base kinds."""
+    return op6_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def imatch_edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op8 that SQL can express: the edited texts."""
+    rows = imatch.with_next(load(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(imatch.edited_text(), 256).alias("edited_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_html_extraction, op3_token_id_files, op4_sentencepiece, op5_quality_classifier,
         op6_secret_scan, op7_token_counts, op8_imatch_fingerprints, op9_pii_pseudonyms, op10_benchmark_decontamination,
+        secret_scan_base, imatch_edited_texts,
     )
 }
 
-#: None of the ten can be put in SQL over whole tables at bearable cost (closures of links, library
-#: tokenizers, trained models, keyed permutations); tests/llm holds each against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: All pairs of documents with a shingle in common, closed over links: for small tables.
+JACCARD_SQL = """WITH RECURSIVE
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT count(*) FROM e WHERE e.a = d.doc_id) AS n_links, (SELECT min(c) FROM r WHERE r.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+
+def _secret_sql() -> str:
+    """Matches of each kind by regular expressions; a match starts behind the pieces and matches
+    before it."""
+    either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    names = "|".join(either(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    quote = "[\"'']?"
+    kinds = (
+        (0, "assign", f"({names}){quote}\\x20*[:=]\\x20*{quote}([A-Za-z0-9+/_.=-]+)", 2, 8),
+        (1, "access", "AKIA[A-Z0-9]+", 0, 16),
+        (2, "hex", "[0-9a-f]+", 0, 32),
+    )
+    parts = [f"SELECT doc_id, {o} AS o, '{name}' AS kind, regexp_extract_all(text, '{p}') AS ms, regexp_split_to_array(text, '{p}') AS ps, list_transform(regexp_extract_all(text, '{p}', {group}), lambda x: length(x) >= {least}) AS ok FROM documents" for o, name, p, group, least in kinds]
+    return f"""WITH m AS ({' UNION ALL '.join(parts)}),
+k AS (SELECT *, unnest(list_filter(range(1, len(ms) + 1), lambda i: ok[i])) AS k FROM m),
+x AS (SELECT doc_id, o, kind, k, CAST(list_sum(list_transform(ps[1:k], lambda t: length(t))) + coalesce(list_sum(list_transform(ms[1:k - 1], lambda t: length(t))), 0) AS BIGINT) AS s, length(ms[k]) AS n FROM k)
+SELECT d.doc_id, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access, count(*) FILTER (WHERE o = 2) AS n_hex, sha256(coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, o), '')) AS base_sha256
+FROM documents d LEFT JOIN x ON x.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+EDITED_SQL = """WITH o AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id) AS k, count(*) OVER () AS n FROM documents)
+SELECT a.doc_id, length(a.text) AS n_chars, sha256(left(a.text, length(a.text) - length(a.text) // 2) || left(b.text, length(a.text) // 2)) AS edited_sha256
+FROM o a JOIN o b ON b.k = a.k % a.n + 1"""
+
+#: What SQL can express. Library tokenizers, trained models, keyed permutations and latent spaces are
+#: beyond it; tests/llm holds those operators against brute force.
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": JACCARD_SQL, "secret_scan_base": _secret_sql(), "imatch_edited_texts": EDITED_SQL}

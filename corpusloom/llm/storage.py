@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-FALLBACK_DIR = "/tmp/checkpoints/corpusloom"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a local one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or FALLBACK_DIR
-    return f"{base.rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
-
+from corpusloom.storage import discard, shared_dir, written
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` computed once, stored as Parquet in the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["discard", "load", "shared_dir", "written"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -13,10 +13,12 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from corpusloom.llm import byte_bpe, components, decontam, html_extract, imatch, jaccard_join, pii, quality, secrets, simple8b, spm_codec, token_counts, token_files
 from corpusloom.llm.queries import BYTE_BPE, PIECE_BPE, QUERIES
 
+UNTOUCHED = Tokenizer.from_file(BYTE_BPE)
 SCHEMA = "doc_id long, text string, lang string, sid string, n int, grade string, slug string, ids string, spans string, counts string"
 random.seed(11)
 WORDS = [f"w{k}" for k in range(400)]
@@ -129,8 +131,9 @@ def many_kinds(rng):
     return rows + [(None, texts[0]), (3, texts[3]), (None, None), (900, "")]
 
 
-@pytest.mark.parametrize("k, percent", [(4, 85), (5, 80)])
-def test_jaccard_links_with_null_ids_and_a_shared_line(spark, k, percent):
+@pytest.mark.parametrize("k, percent, together", [(4, 85, 64), (5, 80, 2)])
+def test_jaccard_links_with_null_ids_and_a_shared_line(spark, monkeypatch, k, percent, together):
+    monkeypatch.setattr(jaccard_join, "GROUP_SETS", together)
     rows = many_kinds(random.Random(k))
     got = jaccard_join.ngram_jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), k, percent).collect()
     order = lambda r: tuple(-1 if x is None else x for x in r)
@@ -192,7 +195,7 @@ def test_simple8b(top):
 
 def test_token_files(spark, docs, none, tmp_path):
     got = token_files.token_file_digest(docs, BYTE_BPE, 0, str(tmp_path / "t")).collect()
-    library = byte_bpe.byte_bpe(BYTE_BPE).library
+    library = UNTOUCHED
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     at, wanted = 0, []
     for doc, text in rows:
@@ -210,7 +213,7 @@ def test_byte_bpe_equals_the_library():
     bits = [" ", "  ", "\n", "a", "'s", "'", "re", " the", "123", "!!", " \n x", "é", "²", "日本", "_", "<|endoftext|>", "\x00", "\xa0"]
     for _ in range(400):
         text = "".join(random.choice(bits) for _ in range(random.randrange(40)))
-        assert np.frombuffer(bpe.encode_packed(text), "<u4").tolist() == bpe.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(bpe.encode_packed(text), "<u4").tolist() == UNTOUCHED.encode(text, add_special_tokens=False).ids
 
 
 def test_sentencepiece(docs, none):
@@ -264,24 +267,30 @@ def test_secrets_table(docs, none, spark):
     assert secrets.secrets_digest(secrets.find_secrets(none)).collect() == []
 
 
-def test_token_trees():
+def test_token_trees(monkeypatch):
     bpe = byte_bpe.byte_bpe(BYTE_BPE)
-    bits = [" ", "  ", "\n", "a", "'s", "'", "re", " the", "123", "!!", " \n x", "é", "日本", "²"]
-    for _ in range(300):
+    bits = [" ", "  ", "\n", "a", "'s", "'", "re", " the", "123", "!!", " \n x", "é", "日本", "²", "😀", "かな", "ά", "½", "\x00", "\u3000", "e\u0301", "<|endoftext|>", "<|endof"]
+    monkeypatch.setattr(byte_bpe, "WINDOW", 24)
+    for turn in range(300):
+        random.seed(turn)
         tree = token_counts.TokenTree("".join(random.choice(bits) for _ in range(random.randrange(500))), bpe)
         for _ in range(6):
             s = random.randrange(len(tree.text) + 1)
             e, new, old = min(len(tree.text), s + random.choice([0, 1, 5, 90])), "".join(random.choice(bits) for _ in range(random.randrange(5))), tree.text
-            assert tree.edit(s, e, new) == len(bpe.library.encode(tree.text, add_special_tokens=False).ids) and tree.text == old[:s] + new + old[e:]
-    big = token_counts.TokenTree(LONG, bpe)
-    big.encoded = 0
-    big.edit(len(LONG) // 2, len(LONG) // 2 + 3, "xyz")
-    assert big.encoded < 10
+            assert tree.edit(s, e, new) == len(UNTOUCHED.encode(tree.text, add_special_tokens=False).ids) and tree.text == old[:s] + new + old[e:]
+    monkeypatch.undo()
+    for text in (LONG, LONG.replace("w7", "かな😀½")):
+        big = token_counts.TokenTree(text, bpe)
+        assert big.total == len(UNTOUCHED.encode(text, add_special_tokens=False).ids) and big.encoded >= 60_000
+        for new in ("xyz", "😀", " ά "):
+            big.encoded = 0
+            assert big.edit(len(text) // 2, len(text) // 2 + 3, new) == len(UNTOUCHED.encode(big.text, add_special_tokens=False).ids)
+            assert big.encoded < 12
 
 
 def test_token_counts_table(docs, none):
     edits = F.expr("IF(doc_id % 3 = 0, NULL, array(named_struct('start', 1L, 'end', 9999L, 'new', 'tail'), NULL))")
-    library = byte_bpe.byte_bpe(BYTE_BPE).library
+    library = UNTOUCHED
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     for r in token_counts.count_with_edits(docs.withColumn("edits", edits), BYTE_BPE).collect():
         text = texts[r.doc_id]
