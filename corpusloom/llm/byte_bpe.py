@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
@@ -36,7 +37,7 @@ WINDOW = 2048
 
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: printable bytes stand for
-    themselves, the others for the letters from 256 on. Byte 0 separates pre-tokens here."""
+    themselves, the others for the letters from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     return {b: chr(256 + k) for k, b in enumerate(others)}
@@ -61,7 +62,8 @@ class ByteBpe:
         self.pattern = re.compile(PRETOKEN)
         self.cut = self.pattern.findall
         letters = _byte_letters()
-        self.written = {b: c for b, c in letters.items() if b}
+        #: The letter of each byte in turn; byte 0 stands between pre-tokens and stays.
+        self.written = "\0" + "".join(letters.get(b, chr(b)) for b in range(1, 256))
         self.zero = letters[0]
 
     def learn(self, tokens: list[str]) -> None:
@@ -75,11 +77,11 @@ class ByteBpe:
         tokenize, token_id, held = self.model.tokenize, attrgetter("id"), self.held
         if zeros := [token for token in new if "\0" in token]:
             for token in zeros:
-                letters = token.encode().decode("latin-1").translate(self.written).replace("\0", self.zero)
+                letters = codecs.charmap_decode(token.encode(), "strict", self.written)[0].replace("\0", self.zero)
                 held[token] = array("I", map(token_id, tokenize(letters))).tobytes()
             if not (new := [token for token in new if "\0" not in token]):
                 return
-        for token, letters in zip(new, "\0".join(new).encode().decode("latin-1").translate(self.written).split("\0"), strict=True):
+        for token, letters in zip(new, codecs.charmap_decode("\0".join(new).encode(), "strict", self.written)[0].split("\0"), strict=True):
             held[token] = array("I", map(token_id, tokenize(letters))).tobytes()
 
     def cuts(self, text: str, start: int = 0) -> Iterator[list[str]]:
@@ -113,12 +115,11 @@ class ByteBpe:
         tokens = self.pretokens(text)
         if tokens is None:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        parts = list(map(self.held.get, tokens))
-        if missing := [k for k, p in enumerate(parts) if p is None]:
-            self.learn([tokens[k] for k in missing])
-            for k in missing:
-                parts[k] = self.held[tokens[k]]
-        return b"".join(parts)
+        try:
+            return b"".join(map(self.held.__getitem__, tokens))
+        except KeyError:
+            self.learn(tokens)
+            return b"".join(map(self.held.__getitem__, tokens))
 
 
 @lru_cache(maxsize=2)
