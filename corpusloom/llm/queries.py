@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, html_extract, imatch, jaccard_join, pii, quality, secrets, spm_codec, token_counts, token_files
+from corpusloom.llm import decontam, html_extract, imatch, jaccard_join, line_dedup, pii, quality, secrets, spm_codec, token_counts, token_files
 from corpusloom.llm.storage import load
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines_digest(load(spark, sf_dir, "documents"))
+
+
 def secret_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op6 that SQL can express: the base kinds."""
     return op6_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
@@ -81,6 +85,7 @@ QUERIES = {
     for f in (
         op1_ngram_jaccard_join, op2_html_extraction, op3_token_id_files, op4_sentencepiece, op5_quality_classifier,
         op6_secret_scan, op7_token_counts, op8_imatch_fingerprints, op9_pii_pseudonyms, op10_benchmark_decontamination,
+        op12_line_dedup,
         secret_scan_base, imatch_edited_texts,
     )
 }
@@ -121,6 +126,13 @@ EDITED_SQL = """WITH o AS (SELECT doc_id, coalesce(text, '') AS text, row_number
 SELECT a.doc_id, length(a.text) AS n_chars, sha256(left(a.text, length(a.text) - length(a.text) // 2) || left(b.text, length(a.text) // 2)) AS edited_sha256
 FROM o a JOIN o b ON b.k = a.k % a.n + 1"""
 
+LINES_SQL = """WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS pos FROM s),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+g AS (SELECT k, max(doc_id) AS owner FROM k WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT k.*, coalesce(doc_id < owner, false) AS gone FROM k LEFT JOIN g USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM d GROUP BY doc_id"""
+
 #: What SQL can express. Library tokenizers, trained models, keyed permutations and latent spaces are
 #: beyond it; tests/llm holds those operators against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": JACCARD_SQL, "secret_scan_base": _secret_sql(), "imatch_edited_texts": EDITED_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": JACCARD_SQL, "secret_scan_base": _secret_sql(), "imatch_edited_texts": EDITED_SQL, "op12_line_dedup": LINES_SQL}
