@@ -5,7 +5,10 @@ discounted by the share of their text that is links. The best container, raised
 main element around it, gives the text together with those siblings that score near it or are
 plain paragraphs. Menus, page headers, footers, sidebars, notices, adverts, forms and comments are
 cut off beforehand by element, role or class and id; a class or id counts if all its words speak
-for it, so that ``comments-area`` goes and ``social-history`` stays.
+for it, so that ``comments-area`` goes and ``social-history`` stays, and counts for paragraphs too:
+``<p class="notice">`` is a notice. Of an article's own header the headings and whole sentences stay,
+bylines and dates go. Formulas stay in their line; buttons, pictures and scripts within a line go
+without breaking it.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from pyspark.sql import functions as F
 
 #: Elements by role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
-DROPPED = frozenset("nav footer aside button select option datalist dialog menu object audio video canvas map head".split()) | RAW
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg".split())
+DROPPED = frozenset("nav footer aside annotation annotation-xml button select option datalist dialog menu object audio video canvas map head".split()) | RAW
+#: Elements that go and do not end the line they stand in.
+INLINE = frozenset("script style noscript template svg textarea iframe button select object audio video canvas map annotation annotation-xml".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
@@ -42,7 +47,7 @@ TAG_POINTS = {"article": 15, "main": 12, "section": 4, "div": 5, "pre": 3, "td":
 GOOD = frozenset("article body content entry main page post text blog story hentry prose".split())
 
 _TAG = re.compile(r"""<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?|"[^"]*"|'[^']*'""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
@@ -82,17 +87,16 @@ def _unlikely(tag: str, attributes: str, in_article: bool) -> tuple[list[str], b
         return [], True
     words: list[str] = []
     unlikely = False
-    if attributes and "=" in attributes or "hidden" in attributes:
-        for m in _NAMES.finditer(attributes):
-            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if name == "role":
-                if value.lower() in ROLES:
-                    return words, True
-            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
+        if name == "role":
+            if value.strip().lower() in ROLES:
                 return words, True
-            elif name in ("class", "id"):
-                words += [w.lower() for w in _WORD.findall(value)]
-                unlikely = unlikely or _names_unlikely(value)
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return words, True
+        elif name in ("class", "id"):
+            words += [w.lower() for w in _WORD.findall(value)]
+            unlikely = unlikely or _names_unlikely(value)
     if tag in ("html", "body", "main") or tag in HEADINGS or tag == "article" and not {"comment", "comments", "reply"} & set(words):
         return words, False
     return words, unlikely
@@ -125,7 +129,7 @@ class _Page:
                 self._open(tag, m[3])
                 if tag in RAW and not m[3].endswith("/"):
                     end = _RAW_END[tag].search(page, pos)
-                    if tag not in ("noscript", "template", "svg", "math") or end:
+                    if tag not in ("noscript", "template", "svg") or end:
                         pos = end.end() if end else n
                     self._close(tag)
         self._flush()
@@ -160,12 +164,16 @@ class _Page:
             text = "".join(self._text)
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
-                self.blocks.append((self.at, text, min(self._linked, len(text))))
+                node = self.at
+                while node.tag in INLINE and node.up is not None:
+                    node = node.up
+                self.blocks.append((node, text, min(self._linked, len(text))))
             self._text = []
         self._linked = 0
 
     def _leave(self, node: _Node) -> None:
-        self._flush()
+        if node.tag not in INLINE:
+            self._flush()
         self.at = node.up or self.root
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -184,7 +192,8 @@ class _Page:
             self._in_link = 1
         if tag not in BLOCKS and tag not in DROPPED:
             return
-        self._flush()
+        if tag not in INLINE:
+            self._flush()
         if tag in ENDS_P:
             self._close_up_to("p", {"table", "td", "th", "button", "li", "div", "article", "section", "blockquote", "body", "html"})
         if tag in CLOSES:
@@ -208,8 +217,9 @@ class _Page:
             self._in_link = 0
         if tag not in BLOCKS and tag not in DROPPED:
             return
-        self._flush()
         node = self.at
+        if tag not in INLINE:
+            self._flush()
         while node.up is not None and node.tag != tag:
             node = node.up
         if node.up is not None:
@@ -272,7 +282,12 @@ def extract(page: str | None) -> str:
             best = table
     tops = [best]
     if best.tag == "article" and best.up is not None:
-        tops += [n for n in scored if n.tag == "article" and n.up is best.up and n is not best and final(n) >= final(best) / 5]
+        around = best.up
+        while around.up is not None and around.tag != "main":
+            around = around.up
+        # several articles of one main element, or side by side
+        near = (lambda n: _inside(n, around)) if around.tag == "main" else (lambda n: n.up is best.up)
+        tops += [n for n in scored if n.tag == "article" and n is not best and near(n) and not _inside(n, best) and not _inside(best, n) and final(n) >= final(best) / 5]
     if best.tag not in ("article", "main", "body", "html") and best.up is not None:
         least = max(10, final(best) / 5)
         for node, text, linked in tree.blocks:
@@ -285,19 +300,27 @@ def extract(page: str | None) -> str:
             if final(side) >= least and side in scored or plain or side.tag == "h1":
                 tops.append(side)
 
-    def menu(node: _Node) -> bool:
+    kept: list[str] = []
+    led = False  # whether a heading or a line with a colon stands before
+    listed: dict[int, bool] = {}
+    named = best.tag not in ("body", "html") and bool(GOOD.intersection(best.words))
+
+    def menu(node: _Node, sentence: bool) -> bool:
         while node.depth > best.depth:
             if node.tag in ("ul", "ol") and not node.in_article and node.items > 1 and node.linked > 0.8 * node.chars:
-                return True
-            if node.tag == "header" and node.in_article:
+                # sources of a text that is named as such, or that a heading leads in
+                if not listed.setdefault(id(node), bool(kept) and (named or led)):
+                    return True
+            if node.tag == "header" and node.in_article and not sentence:
                 return True
             node = node.up
         return False
 
-    kept = []
-    for node, text, _ in tree.blocks:
-        if any(_inside(node, top) for top in tops) and (node.tag in HEADINGS or not menu(node)):
+    for node, text, linked in tree.blocks:
+        sentence = not linked and (len(text) > 80 or text[-1:] in ".!?")
+        if any(_inside(node, top) for top in tops) and (node.tag in HEADINGS or not menu(node, sentence)):
             kept.append(text)
+            led = node.tag in HEADINGS or text.endswith(":")
     return "\n".join(kept)
 
 
