@@ -133,7 +133,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     discard(lines, doomed)
     held, n = F.split("text", "\n"), F.size(F.split("text", "\n"))
     left = _bound(held, lambda x: F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("_gone")), lambda i: F.get(x, i)))
-    both = docs.withColumn("th", F.hash("text")).join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    # always by a shuffle, so that the plan does not change with the number of lines that go
+    both = docs.withColumn("th", F.hash("text")).join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
     return both.select(
         "doc_id", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"),
         n.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
