@@ -155,15 +155,15 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, s
 #: Every phrase is counted.
 PHRASES_SQL = """WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda w: w <> '') AS w
   FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents)),
-g AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM p
-  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM p
-  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM p),
+u AS (SELECT lang, id, unnest(w) AS w, generate_subscripts(w, 1) AS pos FROM (SELECT *, row_number() OVER () AS id FROM p)),
+x AS (SELECT lang, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM u WINDOW o AS (PARTITION BY id ORDER BY pos)),
+g AS (SELECT lang, 1 AS size, w AS phrase FROM x UNION ALL SELECT lang, 2, w || ' ' || w2 FROM x WHERE w2 IS NOT NULL UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM x WHERE w3 IS NOT NULL),
 f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
 n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
 c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
-k AS (SELECT lang, phrase, w, f AS a, unnest(range(1, size)) AS k FROM c),
+k AS (SELECT lang, phrase, f AS a, 1 AS k, w[1] AS head, array_to_string(w[2:], ' ') AS rest FROM c UNION ALL SELECT lang, phrase, f, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE size = 3),
 s AS (SELECT k.*, x.f AS l, y.f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score FROM k
-  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+  JOIN f x ON x.lang = k.lang AND x.phrase = k.head JOIN f y ON y.lang = k.lang AND y.phrase = k.rest),
 m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 o AS (SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, f FROM c WHERE size = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), f FROM c WHERE size = 3) GROUP BY ALL)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
