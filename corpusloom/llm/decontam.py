@@ -13,23 +13,27 @@
    all places with so many of them are taken.
 5. A candidate counts if the longest common subsequence of item and passage is long enough: at once
    from ``VERBATIM`` of the item's words; from ``PARAPHRASE`` on, if the item's answer is there too:
-   all words of its answer column, or else half of its distinct words of median weight or more. An item of fewer
-   than ``LEAST_WORDS`` words says too little to count within a text: the text must be the item.
-
-Items are taken in groups of ``GROUP_WORDS`` words, so that what goes to every task is bounded; one
-more group is one more pass over the documents.
+   all words of its answer column, or else half of its distinct words of median weight or more. An
+   item of fewer than ``SHORT_WORDS`` words must stand there as one unbroken run, and near it all words
+   of its answer column, if there is one.
+
+Items are taken in groups of ``GROUP_WORDS`` words and ``GROUP_SLOTS`` distinct ones, so that what goes
+to every task is bounded: 70 MB of the basis (twice as much, in parts, through the driver) and the
+items' own words and vectors. The documents are read once for the counts, once for their directions
+and once for each group.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.storage import written
+from corpusloom.llm.storage import discard, written
 from corpusloom.llm.wordhash import U64, SlotCounts, byte_table, fmix, hash_words, slices, summed_blocks, text_buffers, words_of
 
 SLOTS = 1 << 17
@@ -42,11 +46,11 @@ MOST_RANK, ENERGY, EXTRA, TURNS = 512, 0.95, 16, 2
 COMMON, DAMPED = 32, 0.3
 LEAST_COSINE, LEAST_SHARE = 0.25, 0.1
 VERBATIM, PARAPHRASE = 0.8, 0.55
-LEAST_WORDS = 5
+SHORT_WORDS = 5
 #: Parts of items compared with passages at once, and blocks of passages folded in at once.
 ITEM_BATCH, FOLD_BATCH = 1024, 2048
-#: Words of items sent to the tasks at once.
-GROUP_WORDS = 250_000
+#: Words of items sent to the tasks at once, and distinct ones among them.
+GROUP_WORDS, GROUP_SLOTS = 1_000_000, 1 << 15
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
@@ -178,6 +182,17 @@ def latent_space(items: DataFrame, idf: np.ndarray, count: int) -> tuple[np.ndar
     return slots, (q @ u[:, : len(values)][:, keep])[:, :rank].astype(np.float32)
 
 
+def item_slots(items: DataFrame) -> np.ndarray:
+    """The slots of the words of all items: ``SLOTS`` at most come to the driver."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, hashes, _, _, _ in words_of(batch.column(0), "alnum"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique((hashes & U64(SLOTS - 1)).astype(np.int64)), pa.int64())], ["slot"])
+
+    return np.sort(items.select("text").mapInArrow(run, "slot long").distinct().toArrow().column("slot").to_numpy())
+
+
 def common_directions(docs: DataFrame, idf: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """The ``COMMON`` first right singular vectors of the TF-IDF matrix A of all passages of the
     documents, over the words of ``slots``, from one pass.
@@ -230,19 +245,21 @@ def common_directions(docs: DataFrame, idf: np.ndarray, slots: np.ndarray) -> np
     return u[:, :COMMON]
 
 
-def item_groups(rows, most: int = GROUP_WORDS):
-    """The items that have words, as lists of (id, text, word hashes, answer) of ``most`` words
-    together; one longer item stands alone."""
-    held, size = [], 0
+def item_groups(rows, most: int = GROUP_WORDS, most_slots: int = GROUP_SLOTS, least_words: int = 1):
+    """The items that have ``least_words`` words, as lists of (id, text, word hashes, answer) of ``most``
+    words and ``most_slots`` distinct ones together; one larger item stands alone."""
+    held, size, slots = [], 0, set()
     for item_id, text, answer in rows:
         hashes = hash_words(*text_buffers(pa.array([text or ""], pa.large_string())), byte_table("alnum"))[0]
-        if not len(hashes):
+        if len(hashes) < max(1, least_words):
             continue
-        if held and size + len(hashes) > most:
+        mine = set((hashes & U64(SLOTS - 1)).tolist())
+        if held and (size + len(hashes) > most or len(slots | mine) > most_slots):
             yield held
-            held, size = [], 0
+            held, size, slots = [], 0, set()
         held.append((item_id, text, hashes, answer))
         size += len(hashes)
+        slots |= mine
     if held:
         yield held
 
@@ -381,15 +398,16 @@ def _hits(items: Items, hashes: np.ndarray, first: np.ndarray):
 FOUND = "doc_id long, item_id long, cosine double, lcs double, kind string, first_word long"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None, least_words: int = 1) -> DataFrame:
     """One row for each document and item that it holds, verbatim or in paraphrase: doc_id,
     item_id, cosine, lcs (share of the item's words in common order), kind, first_word.
 
     All documents are searched for all items, whole texts of any length. Null, empty and wordless
-    texts and items match nothing; an item of fewer than ``LEAST_WORDS`` words matches texts of its
-    words only; repeated rows of one id give one row, the best; an empty table gives no rows. Other
-    columns are ignored. The items, not the documents, are sent to every task, in groups of
-    ``GROUP_WORDS`` words.
+    texts and items match nothing, and neither do items of fewer than ``least_words`` words; items of
+    fewer than ``SHORT_WORDS`` count where they stand as an unbroken run, so an item that is one common
+    word is held by each text with that word unless ``least_words`` is raised. Repeated rows of one id
+    give one row, the best; an empty table gives no rows. Other columns are ignored. The items, not the
+    documents, are sent to every task, in groups of a bounded size.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -397,23 +415,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"), answer.alias("answer"))
     df, n = document_frequencies(docs)
     idf = idf_weights(df, n)
-    found = None
-    for group in item_groups(items.orderBy("item_id", "text").toLocalIterator()):
-        if found is not None:
-            found = written(found, "found")
-        more = _found(docs, group, idf)
-        found = more if found is None else found.unionByName(more)
-    if found is None:
-        found = spark.createDataFrame([], FOUND)
+    slots = item_slots(items)
+    common = common_directions(docs, idf, slots)
+    parts_found = []
+    for group in item_groups(items.orderBy("item_id", "text").toLocalIterator(), least_words=least_words):
+        parts_found.append(written(_found(docs, group, idf, slots, common), "found"))
+    if not parts_found:
+        return spark.createDataFrame([], FOUND)
     best = F.max(F.struct("lcs", "cosine", "kind", (-F.col("first_word")).alias("w")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("x")).select("doc_id", "item_id", "x.cosine", "x.lcs", "x.kind", (-F.col("x.w")).alias("first_word"))
+    rows = reduce(DataFrame.unionByName, parts_found).groupBy("doc_id", "item_id").agg(best.alias("x"))
+    out = written(rows.select("doc_id", "item_id", "x.cosine", "x.lcs", "x.kind", (-F.col("x.w")).alias("first_word")), "contaminated")
+    discard(*parts_found)
+    return out
 
 
-def _judged(items: Items, item: int, passage: np.ndarray, whole: bool) -> tuple[float, str] | None:
+def _judged(items: Items, item: int, passage: np.ndarray) -> tuple[float, str] | None:
     """(share of the item's words in common order, kind) if the passage holds the item."""
     size, find = len(items.words[item]), items.masks(item).get
+    if size < SHORT_WORDS:
+        run = np.ones(max(len(passage) - size + 1, 0), bool)
+        for k, word in enumerate(items.words[item]):
+            run &= passage[k : k + len(run)] == word
+        key, asked = items.answers[item]
+        return (1.0, "verbatim") if run.any() and (asked < 1 or key.issubset(passage.tolist())) else None
     held = [m for h in passage.tolist() if (m := find(h))]
-    if len(held) < PARAPHRASE * size or size < LEAST_WORDS and not (whole and len(passage) == size):
+    if len(held) < PARAPHRASE * size:
         return None
     share = common_subsequence(size, held) / size
     if share >= VERBATIM:
@@ -424,12 +450,13 @@ def _judged(items: Items, item: int, passage: np.ndarray, whole: bool) -> tuple[
     return share, "paraphrase"
 
 
-def _found(docs: DataFrame, group: list[tuple[int, str, np.ndarray, str | None]], idf: np.ndarray) -> DataFrame:
-    """The rows of ``FOUND`` of one group of items; several rows of one id may name one item."""
+def _found(docs: DataFrame, group: list[tuple[int, str, np.ndarray, str | None]], idf: np.ndarray, all_slots: np.ndarray, directions: np.ndarray) -> DataFrame:
+    """The rows of ``FOUND`` of one group of items; several rows of one id may name one item.
+    ``directions`` are those of the documents' passages over ``all_slots``."""
     spark = docs.sparkSession
     texts = spark.createDataFrame([(text,) for _, text, _, _ in group], "text string")
     slots, basis = latent_space(texts, idf, sum(len(parts(hashes)) for _, _, hashes, _ in group))
-    common = common_directions(docs, idf, slots)
+    common = directions[np.searchsorted(all_slots, slots)]
     basis = (basis - (1 - DAMPED) * common @ (common.T @ basis)).astype(np.float32)
     shared = spark.sparkContext.broadcast(Items(group, idf, slots, basis))
 
@@ -441,8 +468,7 @@ def _found(docs: DataFrame, group: list[tuple[int, str, np.ndarray, str | None]]
             for i, j in slices(offsets, 1 << 19):
                 hashes, _, first = hash_words(data, offsets[i : j + 1], byte_table("alnum"))
                 for text, item, cosine, begin, lo, hi in _hits(held, hashes, first):
-                    whole = lo == first[text] and hi == first[text + 1]
-                    if (judged := _judged(held, item, hashes[lo:hi], whole)) is None:
+                    if (judged := _judged(held, item, hashes[lo:hi])) is None:
                         continue
                     spot, value = (i + text, item), (judged[0], cosine)
                     if spot not in best or value > best[spot][:2]:

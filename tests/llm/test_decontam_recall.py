@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -106,5 +106,28 @@ def test_groups_of_items_and_short_ones(spark, monkeypatch):
     assert found(spark, docs, items + short) == wanted
     assert len(list(decontam.item_groups([(k, t, None) for k, t in items], 130))) == 7
     whole = decontam.item_groups
-    monkeypatch.setattr(decontam, "item_groups", lambda rows: whole(rows, 300))
+    monkeypatch.setattr(decontam, "item_groups", lambda rows, **more: whole(rows, 300, **more))
     assert found(spark, docs, items + short) == wanted
+
+
+def test_short_items(spark):
+    rng = np.random.default_rng(5)
+    common = [f"common{k}" for k in range(50)]
+    items = [(k, " ".join(f"rare{k}x{j}" for j in range(1 + k % 4))) for k in range(40)]
+    docs = [(k, " ".join(rng.choice(common, 60)) + " " + text + " " + " ".join(rng.choice(common, 30))) for k, text in items]
+    docs += [(100 + k, " ".join(reversed(text.split())) + " " + " ".join(rng.choice(common, 40))) for k, text in items if k % 4 == 3]  # not as a run
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(d, i).collect()) == [(k, k) for k, _ in items]
+    assert sorted(r.item_id for r in decontam.contaminated(d, i, least_words=3).collect()) == [k for k, _ in items if k % 4 >= 2]
+    answered = spark.createDataFrame([(k, t, f"common{k}" if k % 2 else "nowhere") for k, t in items], "item_id long, text string, answer string")
+    text = dict(docs)
+    near = [k for k, _ in items if k % 2 and f"common{k}" in text[k].split()]
+    found = [r.item_id for r in decontam.contaminated(d, answered, answer_col="answer").collect()]
+    assert set(found) <= set(near) and found
+
+
+def test_twenty_thousand_items_in_one_group(spark):
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{k}" for k in range(20_000)])
+    texts = [" ".join(rng.choice(words, 15)) for _ in range(20_000)]
+    assert len(list(decontam.item_groups([(k, t, None) for k, t in enumerate(texts)]))) == 1
