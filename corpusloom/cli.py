@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
                 return 2
             store = pack.Pack.open(spark, args.pack).store(spark)
             query = ops.SearchQuery(args.query, ops.TagFilter(**{f: tuple(v) for f, v in tags.items()}), limit=args.limit)
-            hits = ops.search(ops.indexed(store.read("chunks")), ops.tag_families(store.read("episodes")), query)
+            hits = ops.search_store(store, query)
             for row in (ops.emit_json(hits) if args.json else ops.emit_text(hits)).collect():
                 print(row[0])
         else:

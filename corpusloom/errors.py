@@ -53,3 +53,9 @@ class Invariant(CorpusError):
 
 class InvalidArgument(CorpusError):
     kind = "InvalidArgument"
+
+
+class CommitConflict(CorpusError):
+    """Another run has published first."""
+
+    kind = "CommitConflict"

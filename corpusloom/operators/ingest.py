@@ -7,7 +7,9 @@ run of the same input inserts nothing and the order of files does not matter bey
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,10 @@ from corpusloom.errors import Invariant, RightsGateRefused
 from corpusloom.functions.hashing import content_hash, dedup_key
 from corpusloom.functions.text import canonicalise
 from corpusloom.schemas import ARRAYS, DEFAULT_OVERLAP_TOKENS, DEFAULT_RIGHTS, DEFAULT_TARGET_TOKENS, EPISODE, TEXT_DEFAULTS
-from corpusloom.storage import written
+from corpusloom.storage import discard, written
 
+#: Rows that are taken one by one in a task: some 50 MB of keys and contents.
+ORDERED_ROWS = 200_000
 STATS = ("seen", "inserted", "existing", "rejected", "chunks_seen", "chunks_inserted", "chunks_deduped", "chunks_rights_skipped")
 
 
@@ -58,26 +62,92 @@ def insert_or_ignore(new: DataFrame, held: DataFrame, key: str, order: Sequence[
     return first_by(new, [key], order).join(held.select(key), key, "left_anti").select(new.columns)
 
 
+def connected(rows: DataFrame, key: str, content: str) -> DataFrame:
+    """``rows`` with ``group``: rows that share a key or a content, directly or over others, have one
+    group. Alternating stars halve the distance to a group's least node, so the rounds grow with the
+    logarithm of the longest chain."""
+    node = lambda tag, c: F.xxhash64(F.lit(tag), c)
+    both = rows.select(node("key", key).alias("u"), node("content", content).alias("v"))
+    edges, before = written(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"), None
+    while True:
+        either = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = either.join(either.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = written(large.where("u > v").distinct(), "large")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        after = written(small.where("u > v").distinct(), "edges")
+        discard(edges, large)
+        edges, sign = after, after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if sign == before:
+            break
+        before = sign
+    named = edges.select(F.col("u").alias("_node"), F.col("v").alias("group"))
+    out = rows.withColumn("_node", node("key", F.col(key))).join(named, "_node", "left").withColumn("group", F.coalesce("group", "_node")).drop("_node")
+    out = written(out, "groups")
+    discard(edges)
+    return out
+
+
+def _one_by_one(rows: DataFrame, key: str, content: str, order: Sequence[str]) -> DataFrame:
+    """The rows of each ``group`` that go in if they come in order; a group is in one task."""
+    columns = [c for c in rows.columns if c != "group"]
+
+    def admit(batches):
+        group, keys, contents = None, set(), set()
+        for batch in batches:
+            keep = []
+            for g, k, c in zip(*(batch.column(n).to_pylist() for n in ("group", key, content)), strict=True):
+                if g != group:
+                    group, keys, contents = g, set(), set()
+                keep.append(k not in keys and c not in contents)
+                if keep[-1]:
+                    keys.add(k)
+                    contents.add(c)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(columns)
+
+    return rows.repartition("group").sortWithinPartitions("group", *order, key, content).mapInArrow(admit, rows.select(columns).schema)
+
+
+def _first_of_both(left: DataFrame, key: str, content: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that are the first of both their key and their content, rows that share neither with
+    these)."""
+    firsts = [left.groupBy(k).agg(F.min_by(F.struct(key, content), F.struct(*order, key, content)).alias("x")).select("x.*") for k in (key, content)]
+    taken = written(left.join(firsts[0].intersect(firsts[1]), [key, content], "left_semi").select(left.columns), "taken")
+    rest = left.join(taken.select(key), key, "left_anti").join(taken.select(content), content, "left_anti").select(left.columns)
+    return taken, written(rest, "left")
+
+
 def admitted_in_order(rows: DataFrame, held: DataFrame, key: str, content: str, order: Sequence[str]) -> DataFrame:
     """Rows to append as if they came one by one in the order given: each whose content is not there
     yet, and then whose key is not; a row that goes in bars later ones of its content or key.
 
-    A row that is the first left of both its content and its key goes in; it takes the others of
-    either away, and what is left goes round again. Held keys and contents go first, and one round is
-    enough unless keys and contents are crossed; rounds are written to the shared folder.
+    Held keys and contents go first; then a row that is the first left of both its content and its
+    key goes in and takes the others of either away. What is left then has keys and contents crossed:
+    up to ``ORDERED_ROWS`` rows are taken one by one in a task, more are split into connected groups,
+    each taken one by one in a task, but for groups of more than ``ORDERED_ROWS``, which go round by
+    round. Keys and contents are not null.
     """
     rows = first_by(rows, [key, content], order)
     left = rows.join(held.select(content), content, "left_anti").join(held.select(key), key, "left_anti").select(rows.columns)
-    left, found = written(left, "left"), None
-    while True:
-        firsts = [left.groupBy(k).agg(F.min_by(F.struct(key, content), F.struct(*order, key, content)).alias("x")).select("x.*") for k in (key, content)]
-        taken = firsts[0].intersect(firsts[1])
-        taken = written(left.join(taken, [key, content], "left_semi").select(rows.columns), "taken")
-        found = taken if found is None else found.unionByName(taken)
-        rest = left.join(taken.select(key), key, "left_anti").join(taken.select(content), content, "left_anti").select(rows.columns)
-        left = written(rest, "left")
-        if not left.head(1):
-            return found
+    left = written(left, "left")
+    taken, rest = _first_of_both(left, key, content, order)
+    discard(left)
+    found, n = [taken], rest.count()
+    if 0 < n <= ORDERED_ROWS:
+        found.append(written(_one_by_one(rest.withColumn("group", F.lit(0)), key, content, order), "taken"))
+    elif n:
+        groups = connected(rest, key, content)
+        large = groups.groupBy("group").count().where(F.col("count") > ORDERED_ROWS).select("group")
+        found.append(written(_one_by_one(groups.join(large, "group", "left_anti").select(groups.columns), key, content, order), "taken"))
+        many = written(groups.join(large, "group", "left_semi").select(rows.columns), "left")
+        while many.head(1):
+            taken, after = _first_of_both(many, key, content, order)
+            found.append(taken)
+            discard(many)
+            many = after
+        discard(groups, many)
+    discard(rest)
+    return reduce(DataFrame.unionByName, found)
 
 
 def new_chunks(chunks: DataFrame, held: DataFrame) -> DataFrame:

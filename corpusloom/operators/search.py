@@ -1,8 +1,8 @@
 """Hybrid search: full text, tags and vectors in one ranking.
 
 Each lane is a DataFrame of (chunk_id, score parts); lanes are united and summed by chunk, boosted
-for tags and cut by one top-k sort. Chunk tables carry their tokens (``indexed``), so a query needs
-no Python and scans the chunks once a lane.
+for tags and cut by one top-k sort. The full-text lane reads the postings of a store's index, or scans
+a chunk table that carries its tokens (``indexed``); neither needs Python.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from corpusloom.errors import InvalidArgument
 from corpusloom.functions.text import fts_tokens, truncate_text
 from corpusloom.functions.vectors import cosine
+from corpusloom.operators.postings import K1, B, Index
+from corpusloom.publish import Published
 from corpusloom.schemas import DEFAULT_LIMIT, FTS_CAP, HIT, SEMANTIC_CAP, TAG_CAP
 
-K1, B = 1.2, 0.75
 #: Request family by column of the episode table.
 FAMILIES = {"industry": "industry_tags", "function": "function_tags", "business_model": "business_model_tags", "geography": "geography_tags", "evidence_type": "evidence_type"}
 
@@ -125,11 +126,13 @@ def capped(rows: DataFrame, order: list, cap: int | None) -> DataFrame:
     return rows if cap is None else rows.orderBy(*order).limit(cap)
 
 
-def fts_lane(chunks: DataFrame, phrase: list[str], matching: DataFrame | None, cap: int | None = FTS_CAP) -> DataFrame:
-    """The best ``cap`` chunks by bm25; only then the tag filter."""
+def fts_lane(chunks: DataFrame, phrase: list[str], matching: DataFrame | None, cap: int | None = FTS_CAP, index: Index | None = None) -> DataFrame:
+    """The best ``cap`` chunks by bm25; only then the tag filter. With an index the chunks are not
+    read."""
     if not phrase:
         return chunks.limit(0).select("chunk_id", "episode_id", F.lit(0.0).alias("bm25"))
-    top = capped(bm25_phrase(chunks.select("chunk_id", "episode_id", "tokens", "dl"), phrase), [F.desc("bm25"), "chunk_id"], cap).select("chunk_id", "episode_id", "bm25")
+    rows = index.bm25(phrase) if index else bm25_phrase(chunks.select("chunk_id", "episode_id", "tokens", "dl"), phrase)
+    top = capped(rows, [F.desc("bm25"), "chunk_id"], cap).select("chunk_id", "episode_id", "bm25")
     return top.join(matching, "episode_id", "left_semi") if matching is not None else top
 
 
@@ -147,8 +150,9 @@ def semantic_lane(chunks: DataFrame, embeddings: DataFrame, vector: list[float],
     return capped(rows, ["chunk_id"], cap).where(F.size("embedding") == len(vector)).select("chunk_id", "episode_id", cosine(F.col("embedding"), query).alias("cosine"))
 
 
-def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embeddings: DataFrame | None = None) -> DataFrame:
-    """Hits in order, with the columns of HIT. ``chunks`` is an indexed chunk table."""
+def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embeddings: DataFrame | None = None, index: Index | None = None) -> DataFrame:
+    """Hits in order, with the columns of HIT. ``chunks`` has tokens (``indexed``) or comes with the
+    index of its store."""
     spark, w = chunks.sparkSession, query.weights
     caps = (FTS_CAP, TAG_CAP, SEMANTIC_CAP) if query.lane_caps else (None, None, None)
     text, active = query.text.strip(), query.tags.active
@@ -157,7 +161,7 @@ def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embedding
     none = F.lit(None).cast("double")
     lanes = []
     if text:
-        lanes.append(fts_lane(chunks, phrase, matching, caps[0]).select("chunk_id", "episode_id", (w.bm25 * F.col("bm25")).alias("score"), F.col("bm25"), none.alias("cosine")))
+        lanes.append(fts_lane(chunks, phrase, matching, caps[0], index).select("chunk_id", "episode_id", (w.bm25 * F.col("bm25")).alias("score"), F.col("bm25"), none.alias("cosine")))
     elif active:
         lanes.append(tag_lane(chunks, matching, caps[1]).select("chunk_id", "episode_id", F.lit(0.0).alias("score"), none.alias("bm25"), none.alias("cosine")))
     if query.scope == "include_embeddings" and query.query_embedding and query.semantic_model_tag and embeddings is not None:
@@ -176,6 +180,11 @@ def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embedding
     return hits if query.limit is None else hits.limit(query.limit or DEFAULT_LIMIT)
 
 
+def search_store(store: Published, query: SearchQuery) -> DataFrame:
+    """Hits of a store by its own index; other tokens than the phrase's are not read."""
+    return search(store.read("chunks"), tag_families(store.read("episodes")), query, store.read("embeddings"), Index(store))
+
+
 def emit_json(hits: DataFrame) -> DataFrame:
     """One camelCase JSON object a hit; absent scores are left out."""
     names = {"chunk_id": "chunkId", "episode_id": "episodeId", "chunk_text": "chunkText", "citation_anchor": "citationAnchor", "section_heading": "sectionHeading", "rank_score": "rankScore", "bm25_score": "bm25Score", "semantic_score": "semanticScore", "tag_match": "tagMatch", "created_at": "createdAt"}

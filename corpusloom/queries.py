@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusloom import storage
 from corpusloom.functions import hashing, text, vectors
 from corpusloom.operators import chunking, governance, ingest, search
+from corpusloom.operators.postings import Index
 from corpusloom.plans import build, pack, pipeline
 from corpusloom.schemas import EPISODE
 from corpusloom.sources import html, jsonl
@@ -91,18 +92,32 @@ def once(spark: SparkSession, sf_dir: str, name: str, make):
     return _made[key]
 
 
+def chunk_index(spark: SparkSession, sf_dir: str) -> jsonl.Store:
+    """A store with a chunk a document and its full-text index, filled by two inserts, a source at a
+    time in halves of all sources."""
+
+    def make():
+        store = jsonl.Store(spark, storage.shared_dir(spark))
+        rows = _chunk_rows(spark, sf_dir)
+        for half in (0, 1):
+            store.run(lambda tx, half=half: store.add_chunks(tx, rows.where(F.pmod(F.hash("publisher"), F.lit(2)) == half)))
+        return store
+
+    return once(spark, sf_dir, "index", make)
+
+
 def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A chunk a document, with search tokens, stored as the index of a store is."""
-    return once(spark, sf_dir, "index", lambda: storage.written(_chunk_rows(spark, sf_dir), "index"))
+    return chunk_index(spark, sf_dir).read("chunks")
 
 
 def _chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     rows = d.select(
         F.concat("source", F.lit("_flagship_"), F.col("doc_id").cast("string")).alias("episode_id"), F.col("text").alias("chunk_text"), (F.lit(BASE) + F.col("doc_id") * 60).cast("long").alias("created_at"),
-        F.concat(F.lit("https://example.com/"), F.col("doc_id").cast("string")).alias("citation_anchor"), F.lit(None).cast("string").alias("section_heading"),
+        F.concat(F.lit("https://example.com/"), F.col("doc_id").cast("string")).alias("citation_anchor"), F.lit(None).cast("string").alias("section_heading"), F.col("source").alias("publisher"),
+        F.lit(0).alias("token_count"), F.lit(None).cast("string").alias("content_key"), F.lit(None).cast("string").alias("content_hash"),
     )
-    return search.indexed(rows.withColumn("chunk_id", F.concat("episode_id", F.lit("#0000"))))
+    return rows.withColumn("chunk_id", F.concat("episode_id", F.lit("#0000")))
 
 
 def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,6 +509,53 @@ def landing_stats(spark, sf_dir):
     return pipeline.stats(_landed(spark, sf_dir))
 
 
+_TWICE_SQL = f"""r AS (SELECT doc_id, {CODE_SQL} AS rights_code, sha256({CANON_SQL.format('text')}) AS k FROM documents), o AS (SELECT * FROM r WHERE {ALLOW_SQL}),
+w AS (SELECT k, min(doc_id) AS doc_id FROM o GROUP BY k)"""
+
+
+def _landing(spark, sf_dir):
+    """A landing of every document twice under its slug, and of one page a document that has no text;
+    these fail, are tried once more and then reported."""
+
+    def make():
+        d = plain_episodes(spark, sf_dir)
+        empty = F.lit(None).cast("string")
+        page = lambda slug, body, seq: d.select(F.lit("frog").alias("publisher_id"), slug.alias("slug"), F.lit("https://example.com/").alias("url"), empty.alias("html"), body.alias("body"), F.col("rights_code"), seq.cast("long").alias("seq"))
+        name, once_more = F.col("doc_id").cast("string"), F.lit(1 << 40)
+        pages = page(name, F.col("text"), F.col("doc_id")).unionByName(page(name, F.col("text"), once_more + F.col("doc_id"))).unionByName(page(F.concat(F.lit("late-"), name), empty, 2 * once_more + F.col("doc_id")))
+        run = pipeline.Pipeline(spark, {"frog": load_registry()["frog"]}, storage.shared_dir(spark))
+        found = [run.run(pages, now=5).collect(), run.retry(now=6).collect(), run.retry(now=7).collect()]
+        return run, found
+
+    return once(spark, sf_dir, "landing", make)
+
+
+@query(f"WITH {_TWICE_SQL} SELECT 3 * (SELECT count(*) FROM r) AS seen, (SELECT count(*) FROM w) AS admitted, 2 * (SELECT count(*) FROM o) - (SELECT count(*) FROM w) AS skipped_dedup, 3 * ((SELECT count(*) FROM r) - (SELECT count(*) FROM o)) AS rejected_rights, (SELECT count(*) FROM o) AS failed")
+def landing_repeated_slugs(spark, sf_dir):
+    rows = _landing(spark, sf_dir)[1][0]
+    return spark.createDataFrame(rows).select("seen", "admitted", "skipped_dedup", "rejected_rights", "failed")
+
+
+@query(f"WITH {_TWICE_SQL} SELECT 'frog_frogcast_' || doc_id AS episode_id, k AS markdown_sha FROM w")
+def landing_normalised(spark, sf_dir):
+    return _landing(spark, sf_dir)[0].kept.read("normalised").select("episode_id", F.sha2("markdown", 256).alias("markdown_sha"))
+
+
+@query(f"WITH {_TWICE_SQL} SELECT 'frog_frogcast_' || doc_id AS episode_id, CAST(doc_id AS VARCHAR) AS slug, CASE WHEN text = '' THEN 'bin' ELSE 'txt' END AS kind, sha256(text) AS content_sha FROM w JOIN documents USING (doc_id)")
+def landing_raw(spark, sf_dir):
+    return _landing(spark, sf_dir)[0].kept.read("raw").select("episode_id", "slug", "kind", F.sha2("content", 256).alias("content_sha"))
+
+
+@query(f"WITH {_TWICE_SQL} SELECT 'frog_frogcast_late-' || doc_id AS episode_id, 'no text' AS error, CAST(unnest([1, 2]) AS INT) AS attempt FROM o")
+def landing_dead_letters(spark, sf_dir):
+    return _landing(spark, sf_dir)[0].kept.read("dead_letters").select("episode_id", "error", "attempt")
+
+
+@query(f"WITH {_TWICE_SQL} SELECT 'frog_frogcast_late-' || doc_id AS episode_id, CAST(2 AS INT) AS attempt, CAST(6 AS BIGINT) AS failed_at FROM o")
+def landing_failures(spark, sf_dir):
+    return _landing(spark, sf_dir)[0].failures().select("episode_id", "attempt", "failed_at")
+
+
 @query(f"WITH s AS (SELECT *, row_number() OVER (PARTITION BY sha256({CANON_SQL.format('text')}) ORDER BY episode_id) AS nth FROM (SELECT source || '_flagship_' || doc_id AS episode_id, text, {CODE_SQL} AS rights_code FROM documents) WHERE {ALLOW_SQL}) SELECT episode_id, rights_code FROM s WHERE nth = 1")
 def stream_admitted(spark, sf_dir):
     def make():
@@ -502,9 +564,36 @@ def stream_admitted(spark, sf_dir):
         rows.write.parquet(f"{root}/arrived")
         for _ in range(2):  # the second run finds nothing new
             incremental.stream_ingest(spark.readStream.schema(rows.schema).parquet(f"{root}/arrived"), f"{root}/store", f"{root}/state").awaitTermination()
-        return f"{root}/store"
+        return incremental.stream_store(spark, f"{root}/store")
+
+    return once(spark, sf_dir, "stream", make).read("admitted").select("episode_id", "rights_code")
+
+
+#: The fourth of the documents that a source gets, and the order in which they arrive.
+_FOURTH, _ARRIVALS = "ascii(right(source, 1)) % 4", (("a", 0), ("b", 2), ("a", 1), ("b", 3))
 
-    return spark.read.parquet(once(spark, sf_dir, "stream", make)).select("episode_id", "rights_code")
+
+@query(f"""WITH e AS (SELECT source || '_flagship_' || doc_id AS episode_id, text, {CODE_SQL} AS rights_code, CASE {_FOURTH} WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS arrival FROM documents),
+s AS (SELECT *, row_number() OVER (PARTITION BY sha256({CANON_SQL.format('text')}) ORDER BY arrival, episode_id) AS nth FROM e WHERE {ALLOW_SQL})
+SELECT episode_id, rights_code, CAST(arrival // 2 AS BIGINT) AS batch_id FROM s WHERE nth = 1""")
+def stream_two_sources(spark, sf_dir):
+    """Two streaming queries with checkpoints of their own feed one store in turn, each restarted; then
+    every batch comes once more, as after a crash between the commit and the checkpoint."""
+
+    def make():
+        root = storage.shared_dir(spark)
+        e = plain_episodes(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", F.expr(_FOURTH).alias("part"), "source"), "doc_id").select("episode_id", "text", "rights_code", "part")
+        part = lambda k: e.where(F.col("part") == k).drop("part")
+        for name, k in _ARRIVALS:
+            part(k).write.mode("append").parquet(f"{root}/{name}")
+            incremental.stream_ingest(spark.readStream.schema(part(k).schema).parquet(f"{root}/{name}"), f"{root}/store", f"{root}/state-{name}").awaitTermination()
+        store = incremental.stream_store(spark, f"{root}/store")
+        for k, (name, fourth) in enumerate(_ARRIVALS):
+            if incremental.append_batch(store, part(fourth), incremental.query_id(spark, f"{root}/state-{name}"), k // 2):
+                raise ValueError("a batch went in twice")
+        return store
+
+    return once(spark, sf_dir, "streams", make).read("admitted").select("episode_id", "rights_code", "batch_id")
 
 
 # -- governance log ------------------------------------------------------------------------------
@@ -525,6 +614,14 @@ def publisher_prefix_attribution(spark, sf_dir):
     return _log(spark, sf_dir).groupBy("publisher").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {LOG_SQL.split(' reg AS')[0]} reg AS (SELECT DISTINCT event_type || CASE WHEN event_id % 5 = 0 THEN '_late' ELSE '' END || CASE user_id % 3 WHEN 0 THEN '_s_' || user_id ELSE '_s' END AS pid FROM events) SELECT event_id, coalesce((SELECT pid FROM reg WHERE pid = publisher_id), (SELECT max_by(pid, length(pid)) FROM reg WHERE starts_with(log.episode_id, pid || '_'))) AS publisher FROM log".replace("FROM log", "FROM (SELECT *, episode_id AS e FROM log) log"))
+def attribution_large_registry(spark, sf_dir):
+    """A registry as large as the users of the log, met by equality of prefixes."""
+    e = table(spark, sf_dir, "events")
+    name = F.concat("event_type", F.when(F.col("event_id") % 5 == 0, "_late").otherwise(""), F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("_s_"), F.col("user_id").cast("string"))).otherwise("_s"))
+    return governance.attributed(_log(spark, sf_dir), e.select(name.alias("publisher_id"))).select("event_id", "publisher")
+
+
 _KNOWN_SQL = "SELECT DISTINCT publisher, episode_id FROM att WHERE publisher IS NOT NULL AND (NOT deprecated OR lower(rights_code) NOT IN {})"
 _ALLOWED = "('ogl_v3','cc_by','cc_by_sa','cc_by_nc','cc_by_nc_nd','free_access_copyrighted','public_domain')"
 
@@ -669,24 +766,41 @@ def tag_only_recency(spark, sf_dir):
 
 @query(f"WITH {CHUNKS_SQL}, {bm25_sql(_PHRASE)} SELECT chunk_id, round(bm25, 6) AS bm25 FROM lane")
 def fts_phrase_bm25(spark, sf_dir):
-    return search.bm25_phrase(chunk_table(spark, sf_dir), _PHRASE).select("chunk_id", _score("bm25").alias("bm25"))
+    return Index(chunk_index(spark, sf_dir)).bm25(_PHRASE).select("chunk_id", _score("bm25").alias("bm25"))
 
 
 @query(f"WITH {CHUNKS_SQL}, {bm25_sql([_TERM])} SELECT chunk_id, round(bm25, 6) AS bm25 FROM lane")
 def fts_single_term(spark, sf_dir):
-    return search.bm25_phrase(chunk_table(spark, sf_dir), [_TERM]).select("chunk_id", _score("bm25").alias("bm25"))
+    return Index(chunk_index(spark, sf_dir)).bm25([_TERM]).select("chunk_id", _score("bm25").alias("bm25"))
+
+
+@query(ORACLE_SQL["fts_phrase_bm25"])
+def fts_phrase_by_scan(spark, sf_dir):
+    """The same rows without an index."""
+    return search.bm25_phrase(search.indexed(_chunk_rows(spark, sf_dir)), _PHRASE).select("chunk_id", _score("bm25").alias("bm25"))
+
+
+@query(f"WITH {CHUNKS_SQL}, t AS (SELECT chunk_id, len(tokens) AS dl, unnest(tokens) AS term FROM chunks) SELECT chunk_id, term, CAST(dl AS INT) AS dl, count(*) AS f FROM t WHERE term IN ('of', 'the', 'with') GROUP BY ALL")
+def index_postings(spark, sf_dir):
+    rows = Index(chunk_index(spark, sf_dir)).postings.where(F.col("term").isin("of", "the", "with"))
+    return rows.select("chunk_id", "term", "dl", F.size("positions").cast("long").alias("f"))
+
+
+@query(f"WITH {CHUNKS_SQL} SELECT count(*) AS docs, CAST(sum(len(tokens)) AS BIGINT) AS tokens FROM chunks")
+def index_statistics(spark, sf_dir):
+    return Index(chunk_index(spark, sf_dir)).stats.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
 
 @query("SELECT '?! --' AS query, 0 AS hits UNION ALL SELECT 'with', CAST(least(500, (SELECT count(*) FROM documents WHERE regexp_matches(lower(strip_accents(text)), '(^|[^\\p{L}\\p{N}])with($|[^\\p{L}\\p{N}])'))) AS INT)".replace("\\\\", "\\"))
 def fts_punctuation_empty(spark, sf_dir):
-    chunks = chunk_table(spark, sf_dir)
-    hits = lambda q: search.fts_lane(chunks, search.query_tokens(spark, q), None).agg(F.count("*").cast("int").alias("hits")).select(F.lit(q).alias("query"), "hits")
+    chunks, index = chunk_table(spark, sf_dir), Index(chunk_index(spark, sf_dir))
+    hits = lambda q: search.fts_lane(chunks, search.query_tokens(spark, q), None, index=index).agg(F.count("*").cast("int").alias("hits")).select(F.lit(q).alias("query"), "hits")
     return hits("?! --").unionByName(hits("with"))
 
 
 @query(f"WITH {EPISODES_SQL}, {CHUNKS_SQL}, {bm25_sql([_TERM])}, top AS (SELECT * FROM lane ORDER BY bm25 DESC, chunk_id LIMIT 500) SELECT chunk_id, round(bm25, 6) AS bm25 FROM top WHERE episode_id IN (SELECT episode_id FROM episodes WHERE {_TAG_SQL})")
 def fts_capped_then_tagged(spark, sf_dir):
-    lane = search.fts_lane(chunk_table(spark, sf_dir), [_TERM], search.matching_episodes(episodes(spark, sf_dir), _TAGS))
+    lane = search.fts_lane(chunk_table(spark, sf_dir), [_TERM], search.matching_episodes(episodes(spark, sf_dir), _TAGS), index=Index(chunk_index(spark, sf_dir)))
     return lane.select("chunk_id", _score("bm25").alias("bm25"))
 
 
@@ -732,7 +846,7 @@ SELECT chunk_id, round(rank_score, 6) AS rank_score, round(bm25_score, 6) AS bm2
 
 def _hybrid(spark, sf_dir, **more):
     q = search.SearchQuery("with", _TAGS, tuple(first_vector(spark, sf_dir)), "m1", scope="include_embeddings", **more)
-    hits = search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir))
+    hits = search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir), Index(chunk_index(spark, sf_dir)))
     return hits.select("chunk_id", *(_score(c).alias(c) for c in ("rank_score", "bm25_score", "semantic_score")), "tag_match")
 
 
@@ -748,7 +862,7 @@ def hybrid_weights_override(spark, sf_dir):
 
 @query(f"WITH {CHUNKS_SQL}, {bm25_sql([_TERM])} SELECT 'no such tag' AS tag, CAST(0 AS BIGINT) AS hits UNION ALL SELECT 'any', least(10, count(*)) FROM lane")
 def search_unmatched_tags_empty(spark, sf_dir):
-    hits = lambda name, tags: search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), search.SearchQuery("with", tags)).agg(F.count("*").alias("hits")).select(F.lit(name).alias("tag"), "hits")
+    hits = lambda name, tags: search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), search.SearchQuery("with", tags), index=Index(chunk_index(spark, sf_dir))).agg(F.count("*").alias("hits")).select(F.lit(name).alias("tag"), "hits")
     return hits("no such tag", search.TagFilter(industry=("no such tag",))).unionByName(hits("any", search.TagFilter()))
 
 
@@ -760,7 +874,7 @@ def search_limit(spark, sf_dir):
 @query("WITH h AS (" + _hybrid_sql() + ") SELECT chunk_id, tag_match, rank_score FROM h")
 def hits_as_json(spark, sf_dir):
     q = search.SearchQuery("with", _TAGS, tuple(first_vector(spark, sf_dir)), "m1", scope="include_embeddings")
-    hits = search.emit_json(search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir)))
+    hits = search.emit_json(search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir), Index(chunk_index(spark, sf_dir))))
     field = lambda name, kind: F.get_json_object("json", f"$.{name}").cast(kind)
     return hits.select(field("chunkId", "string").alias("chunk_id"), field("tagMatch", "boolean").alias("tag_match"), F.round(field("rankScore", "double"), 6).alias("rank_score"))
 
@@ -768,7 +882,7 @@ def hits_as_json(spark, sf_dir):
 @query(f"WITH {EPISODES_SQL}, {CHUNKS_SQL}, {VECTORS_SQL}, m AS (SELECT episode_id FROM episodes WHERE {_TAG_SQL}), {bm25_sql([_TERM])}, u AS (SELECT chunk_id, 2.0 * bm25 AS s FROM lane WHERE episode_id IN (SELECT episode_id FROM m) UNION ALL SELECT chunk_id, 1.5 * {_COS} FROM vecs, q WHERE model_tag = 'm1' AND episode_id IN (SELECT episode_id FROM m)) SELECT chunk_id, round(sum(s) + 0.75, 6) AS rank_score FROM u GROUP BY chunk_id")
 def search_without_caps(spark, sf_dir):
     q = search.SearchQuery("with", _TAGS, tuple(first_vector(spark, sf_dir)), "m1", scope="include_embeddings", limit=None, lane_caps=False)
-    hits = search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir))
+    hits = search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir), Index(chunk_index(spark, sf_dir)))
     return hits.select("chunk_id", _score("rank_score").alias("rank_score"))
 
 

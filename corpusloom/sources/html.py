@@ -184,11 +184,11 @@ def container(top: Element, rule: Rule) -> Element | None:
     return None
 
 
-def source_markdown(page: str | None, source: str) -> str:
+def source_markdown(page: str | None, source: str, tree: Element | None = None) -> str:
     """The transcript of a publisher's page; of a page without its container the whole page, or
     nothing where the rule is strict."""
     rule = RULES[source]
-    top = without(parse(page or ""), rule.drop)
+    top = without(tree or parse(page or ""), rule.drop)
     body = container(top, rule)
     if body is None:
         return "" if rule.strict else markdown(top)
@@ -202,23 +202,23 @@ def source_markdown(page: str | None, source: str) -> str:
     return markdown(body)
 
 
-def guests(page: str | None, source: str) -> list[str]:
+def guests(page: str | None, source: str, tree: Element | None = None) -> list[str]:
     """Names behind the publisher's label, from the first paragraph that has it."""
     rule = RULES[source]
     if not rule.guests:
         return ld_people(page, *rule.people)
     wanted = re.compile(rf"^(?:{rule.guests})\s*[:—–-]\s*(.+)$", re.I)
-    for x in parse(page or "").walk():
+    for x in (tree or parse(page or "")).walk():
         if x.tag in ("p", "li", "div", "span") and (m := wanted.match(x.words())):
             return [n.strip() for n in re.split(r",| and ", m[1]) if n.strip()]
     return []
 
 
-def assets(page: str | None, source: str, url: str) -> list[str]:
+def assets(page: str | None, source: str, url: str, tree: Element | None = None) -> list[str]:
     """PDF or outside links of a page, absolute, each once, up to the rule's cap."""
     rule, found = RULES[source], {}
     own = re.sub(r"^https?://(?:www\.)?([^/]+).*$", r"\1", url)
-    for x in parse(page or "").walk():
+    for x in (tree or parse(page or "")).walk():
         if x.tag == "a" and (href := x.attrs.get("href", "")):
             link = urljoin(url, href)
             if rule.assets == "pdf" and re.search(r"\.pdf(?:[?#]|$)", link, re.I) or rule.assets == "external" and link.startswith("http") and own not in link:
@@ -226,10 +226,10 @@ def assets(page: str | None, source: str, url: str) -> list[str]:
     return list(found)[: rule.cap]
 
 
-def transcript_link(page: str | None, source: str, url: str) -> str | None:
+def transcript_link(page: str | None, source: str, url: str, tree: Element | None = None) -> str | None:
     """The PDF that a page links as its transcript, absolute: the first link of the first tier that
     has one."""
-    links = [(x.words().lower().strip(". "), urljoin(url, href)) for x in parse(page or "").walk() if x.tag == "a" and (href := x.attrs.get("href", "")).lower().endswith(".pdf")]
+    links = [(x.words().lower().strip(". "), urljoin(url, href)) for x in (tree or parse(page or "")).walk() if x.tag == "a" and (href := x.attrs.get("href", "")).lower().endswith(".pdf")]
     for tier in RULES[source].transcript:
         for words, link in links:
             if any(re.search(a, words) and re.search(b, link, re.I) for a, b in tier):
@@ -307,7 +307,9 @@ def read_page(source: pd.Series, url: pd.Series, page: pd.Series) -> pd.DataFram
     rows = []
     for s, u, p in zip(source, url, page, strict=True):
         try:
-            rows.append((source_markdown(p, s), guests(p, s), assets(p, s, u or ""), transcript_link(p, s, u or ""), None))
+            tree = parse(p or "")
+            found = guests(p, s, tree), assets(p, s, u or "", tree), transcript_link(p, s, u or "", tree)
+            rows.append((source_markdown(p, s, tree), *found, None))  # last, since it cuts the tree
         except Exception as e:  # one bad page must not end the job; its error is data
             rows.append((None, [], [], None, f"{type(e).__name__}: {e}"))
     return pd.DataFrame(rows, columns=["markdown", "guests", "assets", "transcript", "error"])

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusloom.errors import IncompatibleSchema, Invariant
+from corpusloom.functions.text import fts_tokens
+from corpusloom.operators.postings import TABLES as INDEX_TABLES
+from corpusloom.operators.postings import add_segment
+from corpusloom.publish import Published, Transaction
 from corpusloom.schemas import CHUNK, EMBEDDING, EPISODE, GOVERNANCE, SCHEMA_VERSION
 from corpusloom.storage import exists
 
@@ -81,8 +85,8 @@ def as_dict(row: Row) -> dict:
     return plain(row)
 
 
-class Store:
-    """Append-only Parquet tables under one folder, with a version stamp."""
+class Store(Published):
+    """Append-only Parquet tables under one folder, with a version stamp and a full-text index."""
 
     TABLES = {
         "episodes": _optional(EPISODE).add("metadata_json", "string").add("created_at", "long"),
@@ -90,28 +94,35 @@ class Store:
         "governance": _optional(GOVERNANCE),
         "embeddings": _optional(EMBEDDING),
         "version": StructType().add("schema_version", "integer"),
+        **INDEX_TABLES,
     }
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        super().__init__(spark, root, self.TABLES)
         stamp = self.read("version").agg(F.max("schema_version")).first()[0]
         if stamp is None:
             self.append("version", spark.createDataFrame([(SCHEMA_VERSION,)], self.TABLES["version"]))
         elif stamp > SCHEMA_VERSION:
             raise IncompatibleSchema(f"the store has schema {stamp}, this engine reads up to {SCHEMA_VERSION}")
 
-    def read(self, table: str) -> DataFrame:
-        path = f"{self.root}/{table}"
-        return self.spark.read.schema(self.TABLES[table]).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], self.TABLES[table])
-
     def append(self, table: str, rows: DataFrame) -> None:
-        rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.TABLES[table].fields)).write.mode("append").option("compression", "zstd").parquet(f"{self.root}/{table}")
+        """Rows of one table alone."""
+        self.run(lambda tx: tx.append(table, rows))
+
+    def add_chunks(self, tx: Transaction, rows: DataFrame) -> None:
+        """Appends chunks and indexes their texts, in one transaction."""
+        stored = tx.append("chunks", rows)
+        add_segment(tx, stored.select("chunk_id", "episode_id", fts_tokens("chunk_text").alias("tokens")).withColumn("dl", F.size("tokens")))
 
     def add_embeddings(self, rows: DataFrame) -> None:
         keys = ["chunk_id", "model_tag"]
-        if rows.groupBy(keys).count().where("count > 1").head(1) or rows.join(self.read("embeddings"), keys, "left_semi").head(1):
-            raise Invariant("a chunk has one vector for a model")
-        self.append("embeddings", rows)
+
+        def work(tx: Transaction) -> None:
+            if rows.groupBy(keys).count().where("count > 1").head(1) or rows.join(tx.read("embeddings"), keys, "left_semi").head(1):
+                raise Invariant("a chunk has one vector for a model")
+            tx.append("embeddings", rows)
+
+        self.run(work)
 
     def counts(self) -> dict[str, int]:
         return {t: self.read(t).count() for t in ("episodes", "chunks")}

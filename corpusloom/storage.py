@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,6 +50,33 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what stands in a folder, sorted; none if the folder is missing."""
+    fs, p = _located(spark, path)
+    return sorted(x.getPath().toString() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _located(spark, path)
+    fs.delete(p, True)
+
+
+def rename_new(spark: SparkSession, old: str, new: str) -> bool:
+    """Renames a file to a name that must be free; False if it is taken."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    _, src = _located(spark, old)
+    _, dst = _located(spark, new)
+    context = hadoop.FileContext.getFileContext(src.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(src, dst, none)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def files(spark: SparkSession, path: str) -> list[str]:
     """Paths of all files under a folder, sorted."""
     fs, p = _located(spark, path)
