@@ -26,8 +26,8 @@ LONGEST = 3
 #: Counters of a row of the sketch: a power of two from the bytes of all texts, between these.
 LEAST_BITS, MOST_BITS, BYTES_A_COUNTER = 16, 27, 16
 BLOCK = 1 << 18
-#: Words that are counted together in a task, and tasks of the first pass for each core.
-BUFFER_WORDS, TASKS_A_CORE = 1 << 21, 4
+#: Words that are counted together in a task.
+BUFFER_WORDS = 1 << 19
 #: What ends a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SALT = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -151,9 +151,8 @@ class Sketch:
     """Which counters of the merged sketch reach the least count: two rows of bits, 32 MB at most."""
 
     def __init__(self, docs: DataFrame, bits: int, least: int):
-        spark, size = docs.sparkSession, min(BLOCK, 1 << bits)
-        tasks = max(1, spark.sparkContext.defaultParallelism * TASKS_A_CORE)
-        parts = docs.coalesce(tasks).mapInArrow(lambda batches: _sketch(batches, bits), "block long, counts binary")
+        size = min(BLOCK, 1 << bits)
+        parts = docs.mapInArrow(lambda batches: _sketch(batches, bits), "block long, counts binary")
         merged = parts.repartition("block").mapInArrow(lambda batches: _merged(batches, size, least), "block long, bits binary").collect()
         self.bits, self.rows = bits, [np.zeros((1 << bits) // 8, np.uint8) for _ in range(2)]
         for block, part in merged:
@@ -191,6 +190,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     """(lang, size, phrase, f): all phrases of 1 to 3 words with ``least`` occurrences or more, exactly
     counted, and at size 0 all words of each language."""
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
+    # a task for each core: each has one sketch, and sums up its own counts before they are shuffled
+    docs = docs.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, (total // BYTES_A_COUNTER).bit_length()))
     sketch = Sketch(docs, bits, least)
@@ -210,7 +211,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col:
     Null languages are ``und``; null, empty and wordless texts have no phrases, and languages without a
     frequent phrase no rows. Repeated rows count each; other columns are ignored. Texts are read
     whole. Equal scores go by count, then by phrase in the order of UTF-8 bytes. Phrases are told apart
-    by 64-bit hashes within 2,097,152 words of a task, by their letters beyond.
+    by 64-bit hashes within 524,288 words of a task, by their letters beyond.
     """
     counts = written(phrase_counts(docs, least, lang_col, text_col), "counts")
     part = lambda size, name, f: counts.where(F.col("size") == size).select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
