@@ -186,14 +186,15 @@ def _survivors(batches, sketch: Sketch):
             yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(starts), size), pa.int32()), words.phrases(starts, size), pa.array(counts, pa.int64())], ["lang", "size", "phrase", "f"])
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """(lang, size, phrase, f): all phrases of 1 to 3 words with ``least`` occurrences or more, exactly
-    counted, and at size 0 all words of each language."""
+    counted, and at size 0 all words of each language. A row of the sketch has 2**``bits`` counters, by
+    default as the size of all texts asks for."""
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     # a task for each core: each has one sketch, and sums up its own counts before they are shuffled
     docs = docs.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MOST_BITS, max(LEAST_BITS, (total // BYTES_A_COUNTER).bit_length()))
+    total = 0 if bits else docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = bits or min(MOST_BITS, max(LEAST_BITS, (total // BYTES_A_COUNTER).bit_length()))
     sketch = Sketch(docs, bits, least)
     found = docs.mapInArrow(lambda batches: _survivors(batches, sketch), COUNT)
     return found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("size") == 0))
@@ -205,7 +206,7 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (big(a) * big(a)), big(left) * big(right))
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col: str = "lang", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases of 2 or 3 words.
 
     Null languages are ``und``; null, empty and wordless texts have no phrases, and languages without a
@@ -213,7 +214,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col:
     whole. Equal scores go by count, then by phrase in the order of UTF-8 bytes. Phrases are told apart
     by 64-bit hashes within 524,288 words of a task, by their letters beyond.
     """
-    counts = written(phrase_counts(docs, least, lang_col, text_col), "counts")
+    counts = written(phrase_counts(docs, least, lang_col, text_col, bits), "counts")
     part = lambda size, name, f: counts.where(F.col("size") == size).select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
     word = lambda k: F.substring_index("phrase", " ", k)
 
