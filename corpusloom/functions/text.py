@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from functools import cache
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -81,8 +82,26 @@ def slugify(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else slugify_text(t))
 
 
+@cache
+def _combining() -> str:
+    """A character class of all code points with a combining class other than 0, as ranges."""
+    held = [c for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))]
+    ranges: list[list[int]] = []
+    for c in held:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]+"
+
+
 def slugify_native(c: Column | str) -> Column:
-    return F.btrim(F.regexp_replace(fold_latin(c), r"[^\p{L}\p{N}]+", "-"), F.lit("-"))
+    """``slugify`` in the JVM: compatibility decomposition by the Unicode library that Spark brings,
+    combining marks dropped, lower case, runs of other signs to one hyphen, none at the ends."""
+    c = _col(c)
+    plain = F.regexp_replace(F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.coalesce(c, F.lit("")), F.lit(True)), _combining(), "")
+    plain = F.when(F.length(c) == F.octet_length(c), c).when(c.isNotNull(), plain)
+    return F.btrim(F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N}]+", "-"), F.lit("-"))
 
 
 def truncate_text(c: Column | str, most: int = RESULT_CHARS) -> Column:

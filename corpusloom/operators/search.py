@@ -17,6 +17,7 @@ from corpusloom.errors import InvalidArgument
 from corpusloom.functions.text import fts_tokens, truncate_text
 from corpusloom.functions.vectors import cosine
 from corpusloom.operators.postings import K1, B, Index
+from corpusloom.operators.vector_index import VectorIndex
 from corpusloom.publish import Published
 from corpusloom.schemas import DEFAULT_LIMIT, FTS_CAP, HIT, SEMANTIC_CAP, TAG_CAP
 
@@ -150,9 +151,10 @@ def semantic_lane(chunks: DataFrame, embeddings: DataFrame, vector: list[float],
     return capped(rows, ["chunk_id"], cap).where(F.size("embedding") == len(vector)).select("chunk_id", "episode_id", cosine(F.col("embedding"), query).alias("cosine"))
 
 
-def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embeddings: DataFrame | None = None, index: Index | None = None) -> DataFrame:
+def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embeddings: DataFrame | None = None, index: Index | None = None, vectors: VectorIndex | None = None) -> DataFrame:
     """Hits in order, with the columns of HIT. ``chunks`` has tokens (``indexed``) or comes with the
-    index of its store."""
+    index of its store. A query by vector alone, without the caps of the lanes, is answered by
+    ``vectors`` if it is given: exactly, without a scan."""
     spark, w = chunks.sparkSession, query.weights
     caps = (FTS_CAP, TAG_CAP, SEMANTIC_CAP) if query.lane_caps else (None, None, None)
     text, active = query.text.strip(), query.tags.active
@@ -165,7 +167,13 @@ def search(chunks: DataFrame, families: DataFrame, query: SearchQuery, embedding
     elif active:
         lanes.append(tag_lane(chunks, matching, caps[1]).select("chunk_id", "episode_id", F.lit(0.0).alias("score"), none.alias("bm25"), none.alias("cosine")))
     if query.scope == "include_embeddings" and query.query_embedding and query.semantic_model_tag and embeddings is not None:
-        lane = semantic_lane(chunks, embeddings, list(query.query_embedding), query.semantic_model_tag, matching, caps[2])
+        alone = vectors is not None and not text and not active and not query.lane_caps and query.limit is not None
+        if alone:
+            # equal cosines go by age and id of the chunk, so all that reach the last one are candidates
+            top = vectors.top(list(query.query_embedding), query.semantic_model_tag, query.limit or DEFAULT_LIMIT, ties=True)
+            lane = top.join(chunks.select("chunk_id", "episode_id"), "chunk_id")
+        else:
+            lane = semantic_lane(chunks, embeddings, list(query.query_embedding), query.semantic_model_tag, matching, caps[2])
         lanes.append(lane.select("chunk_id", "episode_id", (w.semantic * F.col("cosine")).alias("score"), none.alias("bm25"), F.col("cosine")))
     if not lanes:
         return spark.createDataFrame([], HIT)

@@ -15,6 +15,7 @@ from corpusloom import storage
 from corpusloom.functions import hashing, text, vectors
 from corpusloom.operators import chunking, governance, ingest, search
 from corpusloom.operators.postings import Index
+from corpusloom.operators.vector_index import VectorIndex
 from corpusloom.plans import build, pack, pipeline
 from corpusloom.schemas import EPISODE
 from corpusloom.sources import html, jsonl
@@ -171,9 +172,11 @@ def slugify_ascii(spark, sf_dir):
     return rows.select("doc_id", F.sha2(text.slugify("text"), 256).alias("slug_sha"))
 
 
-@query()
+@query(r"SELECT doc_id, sha256(trim(regexp_replace(lower(strip_accents(text || ' ﬁn Ⅷ ½ Å ①') ), '[^\p{L}\p{N}]+', '-', 'g'), '-')) AS slug_sha FROM documents".replace("text || ' ﬁn Ⅷ ½ Å ①'", "text || ' fin VIII 1-2 A 1'"))
 def slugify_unicode(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.slugify("text").alias("slug"))
+    """Letters, numbers and fractions that decompose into others, beside the accents of the texts."""
+    mixed = F.concat("text", F.lit(" ﬁn Ⅷ ½ Å ①"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.slugify_native(mixed), 256).alias("slug_sha"))
 
 
 @query(r"SELECT doc_id, sha256(trim(regexp_replace(text || chr(10) || '  ' || chr(10) || chr(9) || 'x', '\s+', ' ', 'g'))) AS sha FROM documents")
@@ -821,6 +824,23 @@ def semantic_with_tags(spark, sf_dir):
     return _vectors(spark, sf_dir, search.matching_episodes(episodes(spark, sf_dir), _TAGS)).select("chunk_id", _score("cosine").alias("cosine"))
 
 
+def vector_index(spark, sf_dir):
+    return once(spark, sf_dir, "vector index", lambda: VectorIndex(vector_table(spark, sf_dir), 64))
+
+
+@query(f"WITH {VECTORS_SQL} SELECT chunk_id, round({_COS}, 6) AS cosine FROM vecs, q WHERE model_tag = 'm1' ORDER BY {_COS} DESC, chunk_id LIMIT 50")
+def semantic_exact_topk(spark, sf_dir):
+    """The nearest of all vectors, by centres and bounds instead of a scan."""
+    return vector_index(spark, sf_dir).top(first_vector(spark, sf_dir), "m1", 50).select("chunk_id", _score("cosine").alias("cosine"))
+
+
+@query(f"WITH {VECTORS_SQL} SELECT chunk_id, round(1.5 * {_COS}, 6) AS rank_score FROM vecs, q WHERE model_tag = 'm0' ORDER BY {_COS} DESC, chunk_id LIMIT 10")
+def search_by_vector_alone(spark, sf_dir):
+    q = search.SearchQuery(query_embedding=tuple(first_vector(spark, sf_dir)), semantic_model_tag="m0", scope="include_embeddings", lane_caps=False)
+    hits = search.search(chunk_table(spark, sf_dir), episodes(spark, sf_dir), q, vector_table(spark, sf_dir), vectors=vector_index(spark, sf_dir))
+    return hits.select("chunk_id", _score("rank_score").alias("rank_score"))
+
+
 @query("SELECT vec_id FROM embeddings WHERE len(CASE WHEN vec_id % 3 = 0 THEN embedding[1:63] ELSE embedding END) = 64 AND label % 2 = 1 AND vec_id IN (SELECT doc_id FROM documents)")
 def semantic_dim_guard(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi")
@@ -871,6 +891,33 @@ def search_limit(spark, sf_dir):
     return _hybrid(spark, sf_dir, limit=3)
 
 
+@query(_hybrid_sql())
+def search_limit_zero(spark, sf_dir):
+    """A limit of 0 is the default."""
+    return _hybrid(spark, sf_dir, limit=0)
+
+
+@query(f"WITH {EPISODES_SQL} SELECT episode_id FROM episodes WHERE list_has_any(industry_tags, ['en', 'de'])")
+def tag_flags(spark, sf_dir):
+    """Families as flags of the command line: blanks and empty parts go, an empty flag asks nothing."""
+    flags = {"industry": " en,, de ,", "function": "", "evidence_type": " , "}
+    return search.matching_episodes(episodes(spark, sf_dir), search.TagFilter(**{f: tuple(text.parse_csv(v)) for f, v in flags.items()}))
+
+
+@query(_hybrid_sql((0.25, 4.0, 1.5)))
+def search_by_pack_weights(spark, sf_dir):
+    """The weights of a pack's header, taken for its search."""
+    def make():
+        store = jsonl.Store(spark, storage.shared_dir(spark))
+        store.append("governance", _log(spark, sf_dir).select("publisher_id", "episode_id", "rights_code", "ingestion_date", "content_hash", "deprecated"))
+        path = f"{storage.shared_dir(spark)}/weights.pack"
+        pack.build(store, path, level=1, weights=search.RankWeights(0.25, 4.0, 1.5))
+        return pack.Pack.open(spark, path)
+
+    weights = once(spark, sf_dir, "weights", make).with_weights(search.SearchQuery()).weights
+    return _hybrid(spark, sf_dir, weights=weights)
+
+
 @query("WITH h AS (" + _hybrid_sql() + ") SELECT chunk_id, tag_match, rank_score FROM h")
 def hits_as_json(spark, sf_dir):
     q = search.SearchQuery("with", _TAGS, tuple(first_vector(spark, sf_dir)), "m1", scope="include_embeddings")
