@@ -21,22 +21,28 @@ from corpusloom.operators.ingest import admitted_in_order, effective_rights, rig
 from corpusloom.publish import Published, Transaction
 from corpusloom.schemas import DEFAULT_RIGHTS
 from corpusloom.sources.html import page_description, read_page
-from corpusloom.sources.jsonl import append_jsonl, read_governance
+from corpusloom.sources.jsonl import append_jsonl
 from corpusloom.sources.registry import Source, registry_frame
 from corpusloom.storage import written
+from corpusloom.streaming.log_state import LogState
 
 VERDICTS = ("skipped_incremental", "rejected_rights", "failed", "skipped_dedup", "admitted")
 
 
-def judged(pages: DataFrame, registry: DataFrame, log: DataFrame, publishers: Sequence[str], incremental: bool, allow: Sequence[str] = DEFAULT_RIGHTS) -> DataFrame:
+def judged(pages: DataFrame, registry: DataFrame, log: DataFrame | LogState, publishers: Sequence[str], incremental: bool, allow: Sequence[str] = DEFAULT_RIGHTS) -> DataFrame:
     """Pages with their registry fields, normalised text and ``verdict``. The registry is a few
     dozen rows by construction, so it goes to every task. Pages are read once and stored; of the open
-    ones each goes in, by publisher and seq, unless its text or its id has gone in before it."""
-    log = governance.attributed(log, publishers)
+    ones each goes in, by publisher and seq, unless its text or its id has gone in before it. ``log``
+    is the governance log, which is replayed, or the state that is kept of it."""
+    if isinstance(log, LogState):
+        skipped, seen = log.skip_set(incremental, allow), log.seen_hashes()
+    else:
+        named = governance.attributed(log, publishers)
+        skipped, seen = governance.skip_set(named, incremental, allow), governance.seen_hashes(log)
     own = pages.withColumnRenamed("rights_code", "own_rights") if "rights_code" in pages.columns else pages.withColumn("own_rights", F.lit(None).cast("string"))
     rows = own.join(F.broadcast(registry), "publisher_id").withColumn("episode_id", episode_id(F.col("publisher_id"), F.col("series_id"), F.col("slug")))
     rows = rows.withColumn("code", effective_rights(F.col("own_rights"), F.col("rights_code")))
-    skip = governance.skip_set(log, incremental, allow).select("episode_id", F.lit(True).alias("skip")).distinct()
+    skip = skipped.select("episode_id", F.lit(True).alias("skip")).distinct()
     rows = rows.join(skip, "episode_id", "left")
     gate = F.when(F.col("skip"), "skipped_incremental").when(~rights_allowed(F.col("code"), allow), "rejected_rights")
     rows = rows.withColumn("gate", gate)
@@ -47,7 +53,7 @@ def judged(pages: DataFrame, registry: DataFrame, log: DataFrame, publishers: Se
     rows = written(rows.withColumn("gate", gate).withColumn("row", F.monotonically_increasing_id()), "read")
     # only pages that are still open meet the log's hashes and one another
     opened = rows.where("gate is null").select("row", "key", "episode_id", "publisher_id", "seq", F.col("hash").alias("content_hash"))
-    fresh = opened.join(governance.seen_hashes(log), "content_hash", "left_anti").drop("content_hash")
+    fresh = opened.join(seen, "content_hash", "left_anti").drop("content_hash")
     none = fresh.limit(0).select("episode_id", "key")
     winners = admitted_in_order(fresh, none, "episode_id", "key", ["publisher_id", "seq", "row"]).select("row", F.lit(True).alias("wins"))
     judged = rows.where("gate is null").join(winners, "row", "left").withColumn("verdict", F.when(F.col("wins"), "admitted").otherwise("skipped_dedup")).drop("wins")
@@ -122,9 +128,9 @@ class Pipeline:
 
     def _land(self, pages: DataFrame, wanted: list[str], now: int) -> DataFrame:
         registry = registry_frame(self.spark, {p: self.sources[p] for p in wanted}).drop("episodes")
-        log = read_governance(self.spark, f"{self.root}/governance")
-        known = governance.attributed(log, list(self.sources))
-        governance.require_subset(governance.rejected_ids(known, self.allow), governance.known_ids(known, self.allow))
+        log = LogState(self.spark, f"{self.root}/log_state", list(self.sources))
+        log.follow(f"{self.root}/governance")
+        governance.require_subset(log.rejected_ids(self.allow), log.known_ids(self.allow))
         attempts = self.kept.read("dead_letters").groupBy("episode_id").agg(F.max("attempt").alias("tried"))
         pages = pages.drop("episode_id", "error", "attempt", "failed_at")
         rows = written(judged(pages, registry, log, list(self.sources), self.incremental, self.allow).join(attempts, "episode_id", "left"), "judged")

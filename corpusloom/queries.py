@@ -21,6 +21,7 @@ from corpusloom.schemas import EPISODE
 from corpusloom.sources import html, jsonl
 from corpusloom.sources.registry import load_registry, registry_frame
 from corpusloom.streaming import incremental
+from corpusloom.streaming.log_state import LogState
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -688,6 +689,44 @@ def seed_discovery_merge(spark, sf_dir):
     return e.select("user_id", ingest.merge_slugs(F.col("seeds"), F.col("found")).alias("slugs"))
 
 
+def _log_state(spark, sf_dir):
+    """The state of the log, taken in by eight batches, the last of which comes twice."""
+
+    def make():
+        state = LogState(spark, storage.shared_dir(spark), _PUBLISHERS)
+        log = storage.written(_log(spark, sf_dir).drop("publisher"), "log")
+        for k in (*range(8), 7):
+            state.add(log.where(F.pmod(F.xxhash64("event_id"), F.lit(8)) == k), "events", k)
+        return state
+
+    return once(spark, sf_dir, "log state", make)
+
+
+@query(ORACLE_SQL["governance_replay_known"])
+def log_state_known(spark, sf_dir):
+    return _log_state(spark, sf_dir).known_ids()
+
+
+@query(ORACLE_SQL["governance_replay_rejected"])
+def log_state_rejected(spark, sf_dir):
+    return _log_state(spark, sf_dir).rejected_ids()
+
+
+@query(ORACLE_SQL["governance_replay_hashes"])
+def log_state_hashes(spark, sf_dir):
+    return _log_state(spark, sf_dir).seen_hashes()
+
+
+@query(ORACLE_SQL["readmit_after_allowlist"])
+def log_state_readmit(spark, sf_dir):
+    return _log_state(spark, sf_dir).skip_set(incremental=False, allow=("cc_by", "unknown"))
+
+
+@query(f"WITH {LOG_SQL} SELECT publisher, episode_id, count(*) AS events FROM att GROUP BY ALL")
+def log_state_events(spark, sf_dir):
+    return _log_state(spark, sf_dir).episodes().select("publisher", "episode_id", "events")
+
+
 # -- chunking ------------------------------------------------------------------------------------
 
 _PLAIN_SQL = f"""WITH t AS (SELECT doc_id, source, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS s, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS w FROM documents),

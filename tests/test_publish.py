@@ -200,3 +200,29 @@ def test_landing_repeated_rows_and_dead_letters(spark, tmp_path):
     assert run.retry(now=8).count() == 0 and run.kept.read("dead_letters").count() == 3
     chunks = spark.read.json(f"{tmp_path}/root/chunks").collect()
     assert len({r.chunk_id for r in chunks}) == len(chunks) == 3 and all(re.fullmatch(r"frog_.*#\d{4}", r.chunk_id) for r in chunks)
+
+
+def test_log_state_equals_a_replay(spark, tmp_path):
+    import json
+
+    from corpusloom.schemas import GOVERNANCE
+    from corpusloom.sources.jsonl import read_governance
+    from corpusloom.streaming.log_state import LogState
+
+    rng, names = random.Random(8), ["ab", "ab_c", "q"]
+    (tmp_path / "log").mkdir()
+    state = LogState(spark, str(tmp_path / "state"), names)
+    state.follow(str(tmp_path / "nothing"))
+    assert state.known_ids().count() == 0
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    for k in range(6):
+        rows = [(rng.choice([None, "ab", "zz"]), f"{rng.choice(['ab', 'ab_c', 'q', 'x'])}_s_{rng.randrange(9)}", rng.choice(["cc_by", "Unknown", "paywalled"]), k, f"h{rng.randrange(30)}", rng.random() < 0.5) for _ in range(12)]
+        (tmp_path / f"log/{k}.json").write_text("not json\n" + "\n".join(json.dumps(dict(zip(GOVERNANCE.names, r, strict=True))) for r in rows))
+        state.follow(str(tmp_path / "log"))
+        if k in (0, 5):
+            log = governance.attributed(read_governance(spark, str(tmp_path / "log")), names)
+            for allow in (("cc_by",), ("cc_by", "unknown")):
+                assert same(state.known_ids(allow), governance.known_ids(log, allow)) and same(state.rejected_ids(allow), governance.rejected_ids(log, allow))
+            assert same(state.seen_hashes(), governance.seen_hashes(log))
+    state.follow(str(tmp_path / "log"))
+    assert sorted(f["level"] for f in state.folders("episodes")) == [0, 0, 1] and state.episodes().agg({"events": "sum"}).first()[0] == 72
