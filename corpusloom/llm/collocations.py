@@ -28,6 +28,8 @@ LEAST_BITS, MOST_BITS, BYTES_A_COUNTER = 16, 27, 16
 BLOCK = 1 << 18
 #: Words that are counted together in a task.
 BUFFER_WORDS = 1 << 19
+#: Bytes of text for a task, where that makes more tasks than there are cores.
+TASK_BYTES = 1 << 31
 #: What ends a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SALT = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -191,9 +193,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     counted, and at size 0 all words of each language. A row of the sketch has 2**``bits`` counters, by
     default as the size of all texts asks for."""
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    # a task for each core: each has one sketch, and sums up its own counts before they are shuffled
-    docs = docs.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
-    total = 0 if bits else docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # few tasks: each has one sketch, and sums up its own counts before they are shuffled
+    docs = docs.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism, total // TASK_BYTES))
     bits = bits or min(MOST_BITS, max(LEAST_BITS, (total // BYTES_A_COUNTER).bit_length()))
     sketch = Sketch(docs, bits, least)
     found = docs.mapInArrow(lambda batches: _survivors(batches, sketch), COUNT)
