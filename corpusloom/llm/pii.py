@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import math
 import re
 from bisect import bisect_left
@@ -20,6 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: The names of the months.
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+_MONTH = "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
 ROUNDS = 8
 
@@ -97,7 +101,7 @@ def _card(text: str, cipher: Feistel, back: bool) -> str | None:
 
 def _grouped(kind: str, text: str, keep: int, cipher: Feistel, back: bool) -> str:
     """Moves all digits but the first ``keep``; the first digit of an area or exchange code stays
-    within 2-9 or 0-1."""
+    within 2-9 or 0-1. A number of ten digits moves alike with +1 before it and without."""
     digits = re.sub(r"\D", "", text)
     head, tail = digits[:keep], digits[keep:]
     fixed = {0, 3} if kind == "phone" and len(tail) == 10 else set()
@@ -107,7 +111,7 @@ def _grouped(kind: str, text: str, keep: int, cipher: Feistel, back: bool) -> st
         lows.append(low)
         sizes.append((8 if low else 2) if k in fixed else 10)
         values.append(int(c) - low)
-    moved = _places(values, sizes, cipher, f"{kind}{head}{lows}", back)
+    moved = _places(values, sizes, cipher, f"{kind}{'' if head == '1' and len(tail) == 10 else head}{lows}", back)
     return _fill(text, head + "".join(str(v + low) for v, low in zip(moved, lows, strict=True)))
 
 
@@ -129,7 +133,24 @@ def _ssn(text: str, cipher: Feistel, back: bool) -> str | None:
     return f"{areas[a]:03d}-{g + 1:02d}-{s + 1:04d}"
 
 
+def _ip6(text: str, cipher: Feistel, back: bool) -> str | None:
+    """Each written group moves among those of as many hex digits; a double colon stays."""
+    groups = re.findall("[0-9A-Fa-f]+", text)
+    if len(groups) < 2 or len(groups) == 2 and len(groups[0]) < 4:
+        return None
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    moved = _places([int(g, 16) for g in groups], [16 ** len(g) for g in groups], cipher, f"ip6{[len(g) for g in groups]}{re.sub('[0-9A-Fa-f]', '', text)}", back)
+    upper = text != text.lower()
+    it = iter(f"{v:0{len(g)}{'X' if upper else 'x'}}" for v, g in zip(moved, groups, strict=True))
+    return re.sub("[0-9A-Fa-f]+", lambda _: next(it), text)
+
+
 def _ip(text: str, cipher: Feistel, back: bool) -> str | None:
+    if ":" in text:
+        return _ip6(text, cipher, back)
     parts = text.split(".")
     if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts):
         return None
@@ -162,7 +183,29 @@ def _calendar(year_digits: int, month_digits: int, day_digits: int, late: bool)
     return [d.toordinal() for d in days if d.month < 10**month_digits and d.day < 10**day_digits and (d.day > 12 or not late)]
 
 
+def _written_date(text: str, cipher: Feistel, back: bool) -> str | None:
+    """A date with the month's name is the day that it names, so it moves as 2024-01-02 does. The order
+    and the short or long name stay; the day has no leading zero."""
+    month, (day, year) = re.search("[A-Za-z]+", text)[0], re.findall(r"\d+", text)[:2]
+    name = next(n for n in MONTHS if n.lower().startswith(month.lower()[:3]))
+    try:
+        at = datetime.date(int(year), MONTHS.index(name) + 1, int(day)).toordinal()
+    except ValueError:
+        return None
+    days = _calendar(4, 2, 2, False)
+    if (k := bisect_left(days, at)) == len(days) or days[k] != at:
+        return None
+    moved = datetime.date.fromordinal(days[cipher.move(k, len(days), "date422False", back)])
+    new = MONTHS[moved.month - 1]
+    new = new if len(month) == len(name) else new[:3]
+    new = new.upper() if month.isupper() else new
+    numbers = iter((str(moved.day), f"{moved.year:04d}"))
+    return re.sub(r"[A-Za-z]+|\d+", lambda m: next(numbers) if m[0].isdigit() else new, text)
+
+
 def _date(text: str, cipher: Feistel, back: bool) -> str | None:
+    if any(c.isalpha() for c in text):
+        return _written_date(text, cipher, back)
     a, sep, b, _, c = re.split(r"([-/.])", text)
     year_first = len(a) == 4
     y, m, d = (a, b, c) if year_first else (c, b, a)
@@ -205,9 +248,12 @@ _FINDERS = {
     "iban": re.compile(r"(?a)(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "card": re.compile(r"(?a)(?<![\w.+-])[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])|(?<![\w.+-])3\d{3}[ -]?\d{6}[ -]?\d{5}(?![\w-])"),
     "ssn": re.compile(r"(?a)(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])"),
-    "phone": re.compile(r"(?a)(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])|(?<![\w(+])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])"),
-    "ip": re.compile(r"(?a)(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w-]|\.\d)"),
-    "date": re.compile(r"(?a)(?<![\w./-])(?:\d{4}-\d\d?-\d\d?|\d{4}/\d\d?/\d\d?|\d\d?-\d\d?-\d{4}|\d\d?/\d\d?/(?:\d{4}|\d\d)|\d\d?\.\d\d?\.(?:\d{4}|\d\d))(?:(?=T\d\d:?\d\d)|(?![\w/-]|\.\d))"),
+    "phone": re.compile(r"(?a)(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])|(?<![\w(+])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])|(?<![\w(+.-])(?<!\d )[2-9]\d\d [2-9]\d\d \d{4}(?![\w-]| \d)"),
+    "ip": re.compile(r"(?a)(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w-]|\.\d)|(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\w:])"),
+    "date": re.compile(
+        r"(?a)(?<![\w./-])(?:\d{4}-\d\d?-\d\d?|\d{4}/\d\d?/\d\d?|\d\d?-\d\d?-\d{4}|\d\d?/\d\d?/(?:\d{4}|\d\d)|\d\d?\.\d\d?\.(?:\d{4}|\d\d))(?:(?=T\d\d:?\d\d)|(?![\w/-]|\.\d))"
+        rf"|(?<!\w)(?i:{_MONTH})\.? [0-3]?\d,? \d{{4}}(?!\w)|(?<![\w.,/-])[0-3]?\d (?i:{_MONTH})\.?,? \d{{4}}(?!\w)"
+    ),
 }
 _MOVERS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date}
 _DIGIT = re.compile("[0-9]")
@@ -249,7 +295,11 @@ def pseudonymise_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     """``docs`` with ``text_col`` under pseudonyms, and a column n_<kind> for each kind of value.
 
     A null text stays null and counts as empty; other columns pass through, but for own columns
-    named n_<kind>, which these replace. Repeated rows get equal texts.
+    named n_<kind>, which these replace. Repeated rows get equal texts. Texts are read whole, of any
+    length; of values of one kind that overlap the one that begins first counts. A date is linked over
+    layouts that write two digits for day and month and four for the year, or the month's name; a
+    telephone number over its separators and with +1 or without. Left alone: dates without a year,
+    ordinals, names of months in other languages, addresses whose letters are not ASCII.
     """
     out = [c for c in docs.columns if c not in {f"n_{k}" for k in KINDS}]
     schema = StructType(list(docs.select(*out).schema.fields))

@@ -11,6 +11,7 @@ from corpusloom.llm.storage import load
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+#: The key of the PII pseudonyms where the session sets none under ``corpusloom.pii.key``.
 PII_KEY = "corpusloom-demonstration-key"
 
 
@@ -57,8 +58,12 @@ def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.imatch_edits(load(spark, sf_dir, "documents"))
 
 
+def pii_key(spark: SparkSession) -> str:
+    return spark.conf.get("corpusloom.pii.key", PII_KEY)
+
+
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise_pii(load(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return pii.pseudonymise_pii(load(spark, sf_dir, "documents").select("doc_id", "text"), pii_key(spark))
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
