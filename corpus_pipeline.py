@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontam, jaccard_join, pii, quality, spm_codec
-from corpusloom.llm.queries import PIECE_BPE, PII_KEY
+from corpusloom.llm.queries import PIECE_BPE, pii_key
 from corpusloom.llm.storage import discard, load, written
 
 
@@ -39,7 +39,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gets pseudonyms in its own format; n_chars follows the text where present. Null
     texts stay null, empty ones empty; repeated rows get equal texts."""
-    out = pii.pseudonymise_pii(docs, PII_KEY).select(docs.columns)
+    out = pii.pseudonymise_pii(docs, pii_key(spark)).select(docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
