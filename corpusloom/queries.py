@@ -167,10 +167,10 @@ def slugify_latin(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.slugify_native("text"), 256).alias("slug_sha"))
 
 
-@query(r"SELECT doc_id, sha256(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-')) AS slug_sha FROM documents WHERE regexp_full_match(strip_accents(text), '[\x00-\x7F]*')")
+@query(ORACLE_SQL["slugify_latin"])
 def slugify_ascii(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").where(F.regexp_like(text.fold_latin("text"), F.lit(r"\A[\x00-\x7F]*\z")))
-    return rows.select("doc_id", F.sha2(text.slugify("text"), 256).alias("slug_sha"))
+    """The Python function, over all texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.slugify("text"), 256).alias("slug_sha"))
 
 
 @query(r"SELECT doc_id, sha256(trim(regexp_replace(lower(strip_accents(text || ' ﬁn Ⅷ ½ Å ①') ), '[^\p{L}\p{N}]+', '-', 'g'), '-')) AS slug_sha FROM documents".replace("text || ' ﬁn Ⅷ ½ Å ①'", "text || ' fin VIII 1-2 A 1'"))
@@ -216,9 +216,9 @@ def split_names(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.split_names(F.replace("text", F.lit("\n"), F.lit(" "))).alias("names"))
 
 
-@query(r"SELECT doc_id, sha256(regexp_replace(text || ' (Transcript)', '\s*[(\[]?\s*[Tt]ranscript\s*[)\]]?\s*$', '')) AS title_sha FROM documents WHERE text = trim(text)")
+@query(r"SELECT doc_id, sha256(trim(regexp_replace(text || ' (Transcript)', '\s*[(\[]?\s*[Tt]ranscript\s*[)\]]?\s*$', ''))) AS title_sha FROM documents")
 def transcript_suffix(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where(F.col("text") == F.btrim("text"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", F.sha2(text.strip_transcript_suffix(F.concat("text", F.lit(" (Transcript)"))), 256).alias("title_sha"))
 
 
@@ -264,7 +264,8 @@ def content_dedup_first_wins(spark, sf_dir):
     return d.groupBy("text_sha").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
-_HELD = "doc_id % 7 = 0"
+#: What a store holds before: the documents of a language.
+_HELD = "lang = 'de'"
 
 
 @query(f"SELECT source || '_flagship_' || doc_id AS episode_id, source AS publisher FROM documents WHERE NOT {_HELD}")
@@ -300,9 +301,9 @@ _STATS_SQL = f"""
 e AS (SELECT *, source AS publisher, source || '_flagship_' || doc_id AS episode_id, {CODE_SQL} AS rights_code FROM documents),
 j AS (SELECT *, {ALLOW_SQL} AS ok, sha256({CANON_SQL.format('text')}) AS k FROM e),
 w AS (SELECT k, min(doc_id) AS doc_id FROM j WHERE ok GROUP BY k),
-s AS (SELECT publisher, count(*) AS seen, count(*) FILTER (WHERE ok AND NOT doc_id % 7 = 0) AS inserted, count(*) FILTER (WHERE ok AND doc_id % 7 = 0) AS existing, count(*) FILTER (WHERE NOT ok) AS rejected,
-  count(*) AS chunks_seen, count(*) FILTER (WHERE ok AND w.doc_id IS NOT NULL AND NOT j.k IN (SELECT k FROM j WHERE doc_id % 7 = 0)) AS chunks_inserted,
-  count(*) FILTER (WHERE ok AND NOT (w.doc_id IS NOT NULL AND NOT j.k IN (SELECT k FROM j WHERE doc_id % 7 = 0))) AS chunks_deduped, count(*) FILTER (WHERE NOT ok) AS chunks_rights_skipped
+s AS (SELECT publisher, count(*) AS seen, count(*) FILTER (WHERE ok AND NOT lang = 'de') AS inserted, count(*) FILTER (WHERE ok AND lang = 'de') AS existing, count(*) FILTER (WHERE NOT ok) AS rejected,
+  count(*) AS chunks_seen, count(*) FILTER (WHERE ok AND w.doc_id IS NOT NULL AND NOT j.k IN (SELECT k FROM j WHERE lang = 'de')) AS chunks_inserted,
+  count(*) FILTER (WHERE ok AND NOT (w.doc_id IS NOT NULL AND NOT j.k IN (SELECT k FROM j WHERE lang = 'de'))) AS chunks_deduped, count(*) FILTER (WHERE NOT ok) AS chunks_rights_skipped
   FROM j LEFT JOIN w USING (doc_id) GROUP BY publisher)"""
 
 
@@ -355,7 +356,7 @@ LOG_SQL = """log AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type
 
 def _episode_rows(spark, sf_dir):
     e, d = plain_episodes(spark, sf_dir), {}
-    values = {"series": F.lit("flagship"), "title": F.left("text", F.lit(30)), "host": F.array("lang"), "publication_date": F.lit("2024-01-02"), "country_region": F.array(F.lit("US")), "source_type": F.lit("podcast_transcript_html"), "language": F.col("lang"), "primary_url": F.concat(F.lit("https://example.com/"), F.col("doc_id").cast("string"))}
+    values = {"series": F.lit("flagship"), "title": F.sha2("text", 256), "host": F.array("lang"), "publication_date": F.lit("2024-01-02"), "country_region": F.array(F.lit("US")), "source_type": F.lit("podcast_transcript_html"), "language": F.col("lang"), "primary_url": F.concat(F.lit("https://example.com/"), F.col("doc_id").cast("string"))}
     for f in EPISODE.fields:
         held = values.get(f.name)
         d[f.name] = held if held is not None else F.col(f.name) if f.name in ("episode_id", "publisher", "rights_code") else F.lit(None).cast(f.dataType)
@@ -380,7 +381,7 @@ def _json_folder(spark, sf_dir):
     return once(spark, sf_dir, "json", make)
 
 
-@query(f"SELECT source || '_flagship_' || doc_id AS episode_id, source AS publisher, source AS stem, {CODE_SQL} AS rights_code, [lang] AS host, sha256(left(text, 30)) AS title_sha FROM documents")
+@query(f"SELECT source || '_flagship_' || doc_id AS episode_id, source AS publisher, source AS stem, {CODE_SQL} AS rights_code, [lang] AS host, sha256(sha256(text)) AS title_sha FROM documents")
 def jsonl_metadata_scan(spark, sf_dir):
     rows = jsonl.read_metadata(spark, _json_folder(spark, sf_dir))
     return rows.select("episode_id", "publisher", "stem", "rights_code", "host", F.sha2("title", 256).alias("title_sha"))
@@ -487,19 +488,19 @@ def _landed(spark, sf_dir):
 
     def make():
         d = plain_episodes(spark, sf_dir)
-        pages = d.select(F.when(F.col("doc_id") % 2 == 0, "frog").otherwise("ncsc").alias("publisher_id"), F.col("doc_id").cast("string").alias("slug"), F.lit("https://example.com/").alias("url"), F.lit(None).cast("string").alias("html"), F.col("text").alias("body"), "rights_code", F.col("doc_id").alias("seq"))
+        pages = d.select(F.when(F.col("doc_id") % 2 == 0, "frog").otherwise("ncsc").alias("publisher_id"), F.col("doc_id").cast("string").alias("slug"), F.lit("https://example.com/").alias("url"), F.lit(None).cast("string").alias("html"), F.col("text").alias("body"), "rights_code", F.col("doc_id").alias("seq"), "lang")
         sources = {k: v for k, v in load_registry().items() if k in ("frog", "ncsc")}
         name = text.episode_id(F.col("publisher_id"), F.when(F.col("publisher_id") == "frog", sources["frog"].series_id).otherwise(sources["ncsc"].series_id), F.col("slug"))
-        known = pages.where("seq % 5 = 0").select("publisher_id", name.alias("episode_id"), F.lit("cc_by").alias("rights_code"), F.lit(1).cast("long").alias("ingestion_date"), F.lit("").alias("content_hash"), F.lit(False).alias("deprecated"))
-        seen = pages.where("seq % 11 = 0").select(F.lit("elsewhere").alias("publisher_id"), F.lit("elsewhere_x").alias("episode_id"), F.lit("cc_by").alias("rights_code"), F.lit(1).cast("long").alias("ingestion_date"), hashing.content_hash(text.canonicalise("body")).alias("content_hash"), F.lit(False).alias("deprecated"))
+        known = pages.where("lang = 'es'").select("publisher_id", name.alias("episode_id"), F.lit("cc_by").alias("rights_code"), F.lit(1).cast("long").alias("ingestion_date"), F.lit("").alias("content_hash"), F.lit(False).alias("deprecated"))
+        seen = pages.where("lang = 'fr'").select(F.lit("elsewhere").alias("publisher_id"), F.lit("elsewhere_x").alias("episode_id"), F.lit("cc_by").alias("rights_code"), F.lit(1).cast("long").alias("ingestion_date"), hashing.content_hash(text.canonicalise("body")).alias("content_hash"), F.lit(False).alias("deprecated"))
         registry = registry_frame(spark, sources).drop("episodes")
         return storage.written(pipeline.judged(pages, registry, known.unionByName(seen), list(sources), incremental=True), "judged")
 
     return once(spark, sf_dir, "landed", make)
 
 
-_LANDED_SQL = f"""r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'frog' ELSE 'ncsc' END AS publisher_id, coalesce(nullif({CODE_SQL}, ''), '') AS rights_code, sha256({CANON_SQL.format('text')}) AS k FROM documents),
-g AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'skipped_incremental' WHEN NOT ({ALLOW_SQL}) THEN 'rejected_rights' END AS gate, k IN (SELECT k FROM r WHERE doc_id % 11 = 0) AS seen FROM r),
+_LANDED_SQL = f"""r AS (SELECT doc_id, lang, CASE WHEN doc_id % 2 = 0 THEN 'frog' ELSE 'ncsc' END AS publisher_id, coalesce(nullif({CODE_SQL}, ''), '') AS rights_code, sha256({CANON_SQL.format('text')}) AS k FROM documents),
+g AS (SELECT *, CASE WHEN lang = 'es' THEN 'skipped_incremental' WHEN NOT ({ALLOW_SQL}) THEN 'rejected_rights' END AS gate, k IN (SELECT k FROM r WHERE lang = 'fr') AS seen FROM r),
 v AS (SELECT *, coalesce(gate, CASE WHEN seen OR row_number() OVER (PARTITION BY k, gate IS NULL ORDER BY publisher_id, doc_id) > 1 THEN 'skipped_dedup' ELSE 'admitted' END) AS verdict FROM g)"""
 
 
