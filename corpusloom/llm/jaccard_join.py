@@ -15,7 +15,12 @@ and in large components each set beside its partners. N-grams with more sets, as
 have, only tie their sets together, since their pairs are too many to write down. Ties form blocks
 of sets that may be similar; a block is compared inside Python tasks in parts of bounded size, each
 of which returns a spanning forest of the links it finds, so a group of m near copies gives m - 1
-rows and not m * m.
+rows and not m * m. Where the number of links isn't asked for, each part of a block is compared with
+one part first, and then only those sets that this left outside the block's largest class, so a group of
+near copies costs a multiple of m.
+
+The sketch also shows the n-grams that very many sets may hold. Their rows are dealt to parts of a
+bounded size by set, each part ties its sets to its first one, and the firsts are tied to each other.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import connected_components, join_hot
@@ -38,6 +43,8 @@ MOST_MATCHES = 32
 PART_SETS, PART_GRAMS = 1024, 1_500_000
 #: Sets of a component of candidate pairs that are brought together to verify its pairs.
 GROUP_SETS = 64
+#: Of an n-gram whose slot stands out by more octaves than this, 2**17 sets, the rows are split by set.
+HOT_OCTAVE = 14
 #: Kinds of units in the place of a part's second side.
 BESIDE, TOGETHER = -1, -2
 
@@ -123,14 +130,15 @@ def _rarity(totals: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _prefixes(k: int, percent: int, shared):
-    """Second pass: (gram, sid, n, l, low) for the prefix of every set; equal sets of a task once.
-    low: no set similar to this one asks for fewer shared n-grams."""
+    """Second pass: (gram, part, sid, n, l, low) for the prefix of every set; equal sets of a task once.
+    part: 0, or from 1 on the part of a hot n-gram that the set is in. low: no set similar to this one
+    asks for fewer shared n-grams."""
 
     def run(batches):
         rank = shared.value
         seen: set[int] = set()
         for batch in batches:
-            tokens, owners, sizes, matches, lows, widths = [], [], [], [], [], []
+            tokens, parts, owners, sizes, matches, lows, widths = [], [], [], [], [], [], []
             for _, words, distinct, place in _sets_of(batch.column(1), k):
                 n = len(distinct)
                 if not n or (sid := set_id(distinct)) in seen:
@@ -148,7 +156,9 @@ def _prefixes(k: int, percent: int, shared):
                 cost = (np.left_shift(1, octave[order[: n - least + 1]].astype(np.int64)) - 1).sum()
                 ell = min(least, matches_by_size(n, percent) + int(cost > 64) + int(cost > 4096))
                 prefix = distinct[order[: n - least + ell]]
+                over = octave[order[: n - least + ell]].astype(np.int64) - HOT_OCTAVE
                 tokens.append(prefix)
+                parts.append(np.where(over > 0, 1 + ((sid >> 24) & (np.left_shift(1, np.maximum(over, 0)) - 1)), 0))
                 owners.append(sid)
                 sizes.append(n)
                 matches.append(ell)
@@ -156,7 +166,7 @@ def _prefixes(k: int, percent: int, shared):
                 widths.append(len(prefix))
             if tokens:
                 each = lambda x, kind: pa.array(np.repeat(np.array(x, kind), widths))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), each(owners, np.int64), each(sizes, np.int32), each(matches, np.int8), each(lows, np.int8)], ["gram", "sid", "n", "ell", "low"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(parts).astype(np.int32)), each(owners, np.int64), each(sizes, np.int32), each(matches, np.int8), each(lows, np.int8)], ["gram", "part", "sid", "n", "ell", "low"])
 
     return run
 
@@ -182,22 +192,28 @@ def _runs(batches, keys: int) -> Iterator[pa.Table]:
 
 
 def _candidates(percent: int):
-    """Pairs from grams with few sets, ties to the first set from those with more."""
+    """Pairs (kind 0) from grams with few sets, ties (1) to the first set from those with more and from
+    parts of hot ones, each of which also gives its gram and first set (2)."""
 
     def emit(a, b, ell, kind):
-        if not kind:
+        if kind == 0:
             a, b = np.minimum(a, b), np.maximum(a, b)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(ell.astype(np.int8)), pa.array(np.full(len(a), kind, np.int8))], ["a", "b", "ell", "kind"])
 
     def run(batches):
-        for table in _runs(batches, 1):
-            gram, sid, n, ell, low = (table.column(c).to_numpy() for c in range(5))
-            fresh = np.ones(len(gram), bool)
-            fresh[1:] = (gram[1:] != gram[:-1]) | (sid[1:] != sid[:-1])
-            gram, sid, n, ell, low = gram[fresh], sid[fresh], n[fresh], ell[fresh], low[fresh]
-            starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        for table in _runs(batches, 2):
+            gram, part, sid, n, ell, low = (table.column(c).to_numpy() for c in range(6))
+            begins = np.ones(len(gram), bool)
+            begins[1:] = (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])
+            fresh = begins.copy()
+            fresh[1:] |= sid[1:] != sid[:-1]
+            starts = np.flatnonzero(begins[fresh])
+            gram, part, sid, n, ell, low = gram[fresh], part[fresh], sid[fresh], n[fresh], ell[fresh], low[fresh]
             lengths = np.diff(np.append(starts, len(gram)))
-            heavy = lengths > LIGHT
+            hot = part[starts] > 0
+            heavy = hot | (lengths > LIGHT)
+            if hot.any():
+                yield emit(gram[starts[hot]], sid[starts[hot]], np.zeros(hot.sum()), 2)
             if heavy.any():
                 at = np.repeat(starts[heavy], lengths[heavy])
                 inner = np.arange(len(at)) - np.repeat(np.cumsum(lengths[heavy]) - lengths[heavy], lengths[heavy])
@@ -376,13 +392,63 @@ def _compare(percent: int):
     return run
 
 
-def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, n_links, component_id.
+def _unit(rows: DataFrame, kind: int, side: int) -> DataFrame:
+    return rows.select("unit", F.lit(0).alias("i"), F.lit(kind).alias("j"), F.lit(side).cast("byte").alias("side"), "sid", "partners")
+
+
+def _parts() -> Column:
+    """The number of parts of a group of sets."""
+    return F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n") / PART_GRAMS)).cast("int")
+
+
+def _part_of(parts: str, seed: int = 0) -> Column:
+    return F.pmod(F.xxhash64("sid", F.lit(seed)), F.col(parts)).cast("int")
+
+
+def _crossed(placed: DataFrame) -> DataFrame:
+    """Units of two parts each. ``placed`` has blk, sid, its part p, and the range (low, high) of the
+    parts that it is compared with."""
+    each = placed.where("low < high").select("blk", "p", "sid", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("q"))
+    return each.select(
+        F.col("blk").alias("unit"), F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), F.when(F.col("p") > F.col("q"), 1).otherwise(0).cast("byte").alias("side"), "sid",
+        F.lit(None).cast("array<bigint>").alias("partners"),
+    )
+
+
+def _beside_first(placed: DataFrame) -> DataFrame:
+    """Units of the first part and one other, with all pairs of both; of a block of one part that part."""
+    each = placed.select("blk", "sid", F.explode(F.when(F.col("p") > 0, F.array("p")).otherwise(F.sequence(F.least(F.lit(1), F.col("parts") - 1), F.col("parts") - 1))).alias("j"))
+    return each.select(F.col("blk").alias("unit"), F.lit(0).alias("i"), "j", F.lit(0).cast("byte").alias("side"), "sid", F.lit(None).cast("array<bigint>").alias("partners"))
+
+
+def _rest_of_blocks(placed: DataFrame, classed: DataFrame) -> DataFrame:
+    """Units for what ``_beside_first`` leaves in blocks of more than two parts: the sets outside the
+    block's largest class, against each other and against all but the first part, which has met all."""
+    rows = placed.where("parts > 2 and p > 0").select("blk", "sid", "n").join(classed.toDF("sid", "root"), "sid", "left")
+    rows = written(rows.withColumn("root", F.coalesce("root", "sid")), "rest")
+    largest = rows.groupBy("blk", "root").agg(F.count("*").alias("rows")).groupBy("blk").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.sum("rows").alias("rows"))
+    total = rows.count()
+    marked = join_hot(rows, largest, "blk", "rows", total).withColumn("rest", F.col("root") != F.col("main"))
+    sizes = marked.groupBy("blk", "rest").agg(_parts().alias("parts"), F.count("*").alias("rows")).groupBy("blk").agg(
+        F.coalesce(F.max(F.when(F.col("rest"), F.col("parts"))), F.lit(0)).alias("few"), F.coalesce(F.max(F.when(~F.col("rest"), F.col("parts"))), F.lit(0)).alias("many"), F.sum("rows").alias("rows")
+    )
+    dealt = join_hot(marked, sizes.where("few > 0"), "blk", "rows", total)
+    out = written(_crossed(dealt.select(
+        "blk", "sid", F.when(F.col("rest"), _part_of("few", 1)).otherwise(F.col("few") + _part_of("many", 1)).alias("p"),
+        F.lit(0).alias("low"), F.when(F.col("rest"), F.col("few") + F.col("many")).otherwise(F.col("few")).alias("high"),
+    )), "units")
+    discard(rows)
+    return out
+
+
+def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, n_links if ``links``, component_id.
 
     Two rows link when their sets of distinct word ``n``-grams (ASCII lower case, ASCII white
     space between words) have a Jaccard similarity of ``percent`` hundredths or more;
     component_id is the smallest id that links reach. n_links counts the other rows that a row is
-    linked with. A text of fewer words is one gram; a null, empty or blank text has no gram,
+    linked with; a group of m near copies costs m * m comparisons for it, and a multiple of m without.
+    A text of fewer words is one gram; a null, empty or blank text has no gram,
     links with nothing and is its own component. Repeated rows count as rows of their own with
     one id. A row without an id links like any other but lends no id: its component_id is the
     smallest id that its links reach, null if none. Other columns are ignored.
@@ -398,9 +464,9 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     rows = first.where("block is null").select("doc_id", "sid", "n")
     classes = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"))
 
-    index = docs.select("doc_id", "text").mapInArrow(_prefixes(n, percent, rank), "gram long, sid long, n int, ell byte, low byte")
+    index = docs.select("doc_id", "text").mapInArrow(_prefixes(n, percent, rank), "gram long, part int, sid long, n int, ell byte, low byte")
     found = written(
-        index.repartition("gram").sortWithinPartitions("gram", "sid").mapInArrow(_candidates(percent), "a long, b long, ell byte, kind byte")
+        index.repartition("gram", "part").sortWithinPartitions("gram", "part", "sid").mapInArrow(_candidates(percent), "a long, b long, ell byte, kind byte")
         .groupBy("a", "b", "kind").agg(F.count("*").alias("shared"), F.max("ell").alias("ell")), "candidates"
     )
     ties = found.where("kind = 1")
@@ -411,46 +477,55 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
         pairs.where("shared < ell").join(heavy.select(F.col("sid").alias("a"), F.col("heavy").alias("ha")), "a")
         .join(heavy.select(F.col("sid").alias("b"), F.col("heavy").alias("hb")), "b").where("shared + least(ha, hb) >= ell")
     )
-    blocks = written(connected_components(ties).join(classes, F.col("node") == F.col("sid")).select("sid", F.col("root").alias("blk"), "n"), "blocks")
+    hubs = found.where("kind = 2").select(F.col("a").alias("gram"), "b")
+    hubs = hubs.join(hubs.groupBy("gram").agg(F.min("b").alias("a")), "gram").select("a", "b")
+    blocks = written(connected_components(ties.select("a", "b").unionByName(hubs)).join(classes, F.col("node") == F.col("sid")).select("sid", F.col("root").alias("blk"), "n"), "blocks")
     block_of = blocks.select("sid", "blk")
     pairs = pairs.where("shared >= ell").select("a", "b").unionByName(few.select("a", "b"))
     pairs = pairs.join(block_of.toDF("a", "ba"), "a", "left").join(block_of.toDF("b", "bb"), "b", "left")
     pairs = written(pairs.where("ba is null or bb is null or ba <> bb").select("a", "b"), "pairs")
     none = F.lit(None).cast("array<bigint>")
-    parts = blocks.groupBy("blk").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n") / PART_GRAMS)).cast("int").alias("parts"), F.count("*").alias("rows"))
-    placed = join_hot(block_of, parts, "blk", "rows", blocks.count()).withColumn("p", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    placed = placed.select("blk", "p", "sid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(
-        F.col("blk").alias("unit"), F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), F.when(F.col("p") > F.col("q"), 1).otherwise(0).cast("byte").alias("side"), "sid", none.alias("partners")
-    )
+    parts = blocks.groupBy("blk").agg(_parts().alias("parts"), F.count("*").alias("rows"))
+    placed = join_hot(blocks, parts, "blk", "rows", blocks.count()).withColumn("p", _part_of("parts"))
+    tied = _crossed(placed.withColumns({"low": F.lit(0), "high": F.col("parts")})) if links else _beside_first(placed)
     everyone = written(connected_components(pairs), "members")
     sizes = everyone.groupBy("root").agg(F.count("*").alias("sets"), F.count("*").alias("rows"))
     members = join_hot(everyone, sizes, "root", "rows", everyone.count())
     small, large = members.where(F.col("sets") <= GROUP_SETS), members.where(F.col("sets") > GROUP_SETS)
     partners = pairs.join(small.select(F.col("node").alias("a")), "a", "left_semi").groupBy("a").agg(F.collect_list("b").alias("partners"))
     together = small.select(F.col("root").alias("unit"), F.col("node").alias("sid")).join(partners.withColumnRenamed("a", "sid"), "sid", "left")
-    unit = lambda rows, kind, side: rows.select("unit", F.lit(0).alias("i"), F.lit(kind).alias("j"), F.lit(side).cast("byte").alias("side"), "sid", "partners")
     far = pairs.join(large.select(F.col("node").alias("a")), "a", "left_semi").withColumn("partners", none)
-    beside = unit(far.select(F.col("a").alias("unit"), F.col("b").alias("sid"), "partners"), BESIDE, 1).unionByName(
-        unit(far.select(F.col("a").alias("unit"), F.col("a").alias("sid"), "partners"), BESIDE, 0).dropDuplicates(["unit"])
+    beside = _unit(far.select(F.col("a").alias("unit"), F.col("b").alias("sid"), "partners"), BESIDE, 1).unionByName(
+        _unit(far.select(F.col("a").alias("unit"), F.col("a").alias("sid"), "partners"), BESIDE, 0).dropDuplicates(["unit"])
     )
-    units = written(placed.unionByName(unit(together, TOGETHER, 0)).unionByName(beside), "units")
-    wanted_sets = written(units.select("sid").distinct().join(classes, "sid").select("sid", "rep", "copies"), "wanted")
-    wanted = spark.sparkContext.broadcast(IdBitmap.of(wanted_sets, "rep"))
-    sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
-    sets = sets.join(wanted_sets.select("sid", "copies"), "sid").dropDuplicates(["sid"])
-    compared = units.join(sets, "sid").select("unit", "i", "j", "side", "sid", "copies", "packed", "partners").repartition("unit", "i", "j")
-    links = written(compared.sortWithinPartitions("unit", "i", "j", "side", "sid").mapInArrow(_compare(percent), LINKS), "links")
-    classed = connected_components(links.select("a", "b"))
-    degree = links.groupBy(F.col("a").alias("sid")).agg(F.sum("links").alias("partners"))
+
+    def compared(units: DataFrame) -> DataFrame:
+        units = written(units, "units")
+        wanted_sets = written(units.select("sid").distinct().join(classes, "sid").select("sid", "rep", "copies"), "wanted")
+        wanted = spark.sparkContext.broadcast(IdBitmap.of(wanted_sets, "rep"))
+        sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
+        sets = sets.join(wanted_sets.select("sid", "copies"), "sid").dropDuplicates(["sid"])
+        rows = units.join(sets, "sid").select("unit", "i", "j", "side", "sid", "copies", "packed", "partners").repartition("unit", "i", "j")
+        out = written(rows.sortWithinPartitions("unit", "i", "j", "side", "sid").mapInArrow(_compare(percent), LINKS), "links")
+        discard(units, wanted_sets)
+        return out
+
+    linked = compared(tied.unionByName(_unit(together, TOGETHER, 0)).unionByName(beside))
+    classed = connected_components(linked.select("a", "b"))
+    if not links and parts.where("parts > 2").head(1):
+        rest = _rest_of_blocks(placed, classed)
+        if rest.head(1):
+            more = compared(rest)
+            classed = connected_components(classed.toDF("a", "b").unionByName(more.select("a", "b")))
+            discard(more)
+        discard(rest)
+    degree = linked.groupBy(F.col("a").alias("sid")).agg(F.sum("links").alias("partners"))
     labels = classes.join(classed.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     labels = written(labels.join(degree, "sid", "left").select("sid", "root", "rep", "copies", F.coalesce("partners", F.lit(0)).alias("partners")), "labels")
     least = labels.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("rows"))
-    discard(found, heavy, blocks, pairs, everyone, units, wanted_sets, links)
+    discard(found, heavy, blocks, pairs, everyone, linked)
     counts = labels.agg(F.count("*"), F.sum("copies")).first()
     labels = join_hot(labels, least, "root", "rows", counts[0]).select("sid", "component_id", "copies", F.col("copies").alias("rows"), "partners")
     out = join_hot(rows, labels, "sid", "rows", counts[1] or 0, "left")
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce(F.col("partners") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    )
+    found = [F.coalesce(F.col("partners") + F.col("copies") - 1, F.lit(0)).alias("n_links")] if links else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), *found, F.coalesce("component_id", "doc_id").alias("component_id"))
