@@ -24,7 +24,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at 0.8 or more over words by five, the one with the smallest id stays.
     Of rows with one id one stays; rows without an id all stay."""
-    classes = jaccard_join.ngram_jaccard_classes(docs, n=5, percent=80)
+    classes = jaccard_join.ngram_jaccard_classes(docs, n=5, percent=80, links=False)
     kept = classes.where("doc_id = component_id").select("doc_id")
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
