@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from corpusloom.llm.storage import discard, written
 
 #: Keys that a join sends to all tasks, at most.
 HOT_KEYS = 10_000
+#: Edges that are closed in one task, at most: 16 MB of ids.
+FEW_EDGES = 1_000_000
 
 
 def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, how: str = "inner") -> DataFrame:
@@ -46,16 +50,38 @@ def _unfinished(edges: DataFrame) -> bool:
     return bool(seen.where("ups > 1 or ups = 1 and least = 0").head(1))
 
 
+def _closed(batches):
+    """(node, root) of all edges of a task: roots hook on to smaller ones until none is left to."""
+    if not (batches := [b for b in batches if b.num_rows]):
+        return
+    table = pa.Table.from_batches(batches)
+    nodes, place = np.unique(np.concatenate([table.column(c).to_numpy() for c in ("a", "b")]), return_inverse=True)
+    x, y = place[: table.num_rows], place[table.num_rows :]
+    root = np.arange(len(nodes))
+    while len(x):
+        up, down = np.maximum(root[x], root[y]), np.minimum(root[x], root[y])
+        np.minimum.at(root, up, down)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "root"])
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with an edge; root is the smallest node that it reaches.
 
-    Each round halves the depth of the stars at least, and its edges are written to the shared
-    folder, so a lost executor costs one round; a round's table goes once the next is written, and no
-    round is needed for edges that are stars already.
+    Up to ``FEW_EDGES`` edges are closed in one task. More go by rounds, each of which halves the depth
+    of the stars at least; its edges are written to the shared folder, so a lost executor costs one round;
+    a round's table goes once the next is written, and no round is needed for edges that are stars already.
     Self-links and nulls are left out.
     """
     edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
     edges = written(edges, "edges")
+    if edges.count() <= FEW_EDGES:
+        found = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).repartition(1).mapInArrow(_closed, "node long, root long"), "closed")
+        discard(edges)
+        return found
     while _unfinished(edges):
         total = edges.count()
         larger = written(_large_star(edges, total).distinct(), "stars")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import connected_components, join_hot
-from corpusloom.llm.storage import discard, written
+from corpusloom.llm.storage import discard, release, written
 from corpusloom.llm.wordhash import U64, IdBitmap, SlotCounts, fmix, summed_blocks, words_of
 
 LIGHT = 32
@@ -231,8 +231,8 @@ def _candidates(percent: int):
 
 
 def _members(k: int, wanted):
-    """The sets themselves, as packed 64-bit values, of the ids that the bitmap holds and of rows
-    without an id."""
+    """Identities of sets and texts of the ids that the bitmap holds and of rows without an id. Texts
+    travel, since they pack to a third of their n-grams' hashes."""
 
     def run(batches):
         bitmap = wanted.value
@@ -241,8 +241,7 @@ def _members(k: int, wanted):
             batch = batch.filter(pa.array(bitmap.holds(ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)))
             for i, j in ((i, min(i + 512, batch.num_rows)) for i in range(0, batch.num_rows, 512)):
                 part = batch.slice(i, j - i)
-                rows = [(set_id(x), x) for _, _, x, _ in _sets_of(part.column(1), k)]
-                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int64()), pa.array([x.tobytes() for _, x in rows], pa.binary())], ["sid", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for _, _, x, _ in _sets_of(part.column(1), k)], pa.int64()), part.column(1)], ["sid", "text"])
 
     return run
 
@@ -321,8 +320,8 @@ class _Pairs:
     set (side 0) that stands before its partners, or the sets of a component, each with the ids of
     its partners."""
 
-    def __init__(self, percent: int):
-        self.percent, self.unit, self.mine, self.own = percent, None, None, 0
+    def __init__(self, k: int, percent: int):
+        self.k, self.percent, self.unit, self.mine, self.own = k, percent, None, None, 0
         self.group: dict[int, tuple[np.ndarray, int, list[int]]] = {}
         self.of = None
 
@@ -344,8 +343,7 @@ class _Pairs:
             self._finish(out)
             return _links(*out)
         columns = (batch.column(c).to_pylist() for c in ("unit", "j", "sid", "side", "copies", "partners"))
-        for unit, j, sid, side, copies, partners, packed in zip(*columns, batch.column("packed"), strict=True):
-            held = np.frombuffer(packed.as_buffer(), U64)
+        for unit, j, sid, side, copies, partners, (_, _, held, _) in zip(*columns, _sets_of(batch.column("text"), self.k), strict=True):
             if j == TOGETHER:
                 if unit != self.of:
                     self._finish(out)
@@ -358,11 +356,11 @@ class _Pairs:
         return _links(*out)
 
 
-def _compare(percent: int):
+def _compare(k: int, percent: int):
     """Links of the units: those of candidate pairs (j below 0), and parts of blocks."""
 
     def run(batches):
-        pairs, ready = _Pairs(percent), []
+        pairs, ready = _Pairs(k, percent), []
 
         def parts():
             for batch in batches:
@@ -376,10 +374,10 @@ def _compare(percent: int):
             breaks = np.ones(table.num_rows, bool)
             breaks[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
             starts = [*np.flatnonzero(breaks), table.num_rows]
-            sid, side, copies, packed = table.column("sid").to_numpy(), table.column("side").to_numpy(), table.column("copies").to_numpy(), table.column("packed").to_pylist()
+            sid, side, copies, text = table.column("sid").to_numpy(), table.column("side").to_numpy(), table.column("copies").to_numpy(), table.column("text").combine_chunks()
             a, b, d = [], [], []
             for s, e in zip(starts, starts[1:], strict=False):
-                for x, root, links in links_within([np.frombuffer(x, U64) for x in packed[s:e]], side[s:e], copies[s:e], percent) if e - s > 1 else ():
+                for x, root, links in links_within([x for _, _, x, _ in _sets_of(text.slice(s, e - s), k)], side[s:e], copies[s:e], percent) if e - s > 1 else ():
                     a.append(sid[s + x])
                     b.append(sid[s + root])
                     d.append(links)
@@ -469,6 +467,8 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
         index.repartition("gram", "part").sortWithinPartitions("gram", "part", "sid").mapInArrow(_candidates(percent), "a long, b long, ell byte, kind byte")
         .groupBy("a", "b", "kind").agg(F.count("*").alias("shared"), F.max("ell").alias("ell")), "candidates"
     )
+    rank.destroy()
+    release(spark)
     ties = found.where("kind = 1")
     heavy = written(ties.groupBy(F.col("b").alias("sid")).agg(F.sum("shared").alias("heavy"), F.min("ell").alias("low")), "heavy")
     ties = ties.join(heavy.where("heavy >= low").select(F.col("sid").alias("b")), "b", "left_semi")
@@ -503,11 +503,13 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
         units = written(units, "units")
         wanted_sets = written(units.select("sid").distinct().join(classes, "sid").select("sid", "rep", "copies"), "wanted")
         wanted = spark.sparkContext.broadcast(IdBitmap.of(wanted_sets, "rep"))
-        sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, packed binary")
+        sets = docs.select("doc_id", "text").mapInArrow(_members(n, wanted), "sid long, text string")
         sets = sets.join(wanted_sets.select("sid", "copies"), "sid").dropDuplicates(["sid"])
-        rows = units.join(sets, "sid").select("unit", "i", "j", "side", "sid", "copies", "packed", "partners").repartition("unit", "i", "j")
-        out = written(rows.sortWithinPartitions("unit", "i", "j", "side", "sid").mapInArrow(_compare(percent), LINKS), "links")
+        rows = units.join(sets, "sid").select("unit", "i", "j", "side", "sid", "copies", "text", "partners").repartition("unit", "i", "j")
+        out = written(rows.sortWithinPartitions("unit", "i", "j", "side", "sid").mapInArrow(_compare(n, percent), LINKS), "links")
         discard(units, wanted_sets)
+        wanted.destroy()
+        release(spark)
         return out
 
     linked = compared(tied.unionByName(_unit(together, TOGETHER, 0)).unionByName(beside))

@@ -131,8 +131,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, grades: DataFrame, n_grades: int = GRADES, most: int = TRAIN_ROWS, seed: int = 0) -> OrdinalModel:
-    """Fits on at most ``most`` rated documents; their number bounds what is broadcast and what
-    comes to the driver."""
+    """Fits on at most ``most`` rated documents, in one task; their number bounds what is broadcast
+    and what that task holds. Only the weights come to the driver."""
     sample = grades.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
 
@@ -141,10 +141,18 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int = GRADES, most: int
             rows = [f.astype(np.int32) for f in features(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "grade", "slots"])
 
-    found = texts.select("doc_id", "text", F.col("grade").cast("int")).mapInArrow(run, "doc_id long, grade int, slots array<int>").toArrow()
-    order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
-    slots = found.column("slots").combine_chunks()
-    return fit_ordinal([slots[int(k)].values.to_numpy().astype(np.int64) for k in order], found.column("grade").to_numpy()[order].astype(np.int64), n_grades)
+    def fit(batches):
+        if not (batches := [b for b in batches if b.num_rows]):
+            return
+        table = pa.Table.from_batches(batches)
+        order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
+        slots = table.column("slots").combine_chunks()
+        model = fit_ordinal([slots[int(k)].values.to_numpy() for k in order], table.column("grade").to_numpy()[order].astype(np.int64), n_grades)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (model.weights, model.thresholds)], ["weights", "thresholds"])
+
+    rows = texts.select("doc_id", "text", F.col("grade").cast("int")).mapInArrow(run, "doc_id long, grade int, slots array<int>")
+    found = rows.repartition(1).mapInArrow(fit, "weights binary, thresholds binary").first()
+    return OrdinalModel(*(np.frombuffer(bytes(x)) for x in found)) if found else fit_ordinal([], np.empty(0, np.int64), n_grades)
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:

@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.storage import discard, shared_dir, written
+from corpusloom.storage import discard, release, shared_dir, written
 
-__all__ = ["bucketed", "discard", "discard_bucketed", "load", "shared_dir", "written", "written_by"]
+__all__ = ["bucketed", "discard", "discard_bucketed", "load", "release", "shared_dir", "written", "written_by"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
