@@ -45,3 +45,44 @@ def test_runs_are_sorted_and_whole(monkeypatch):
     assert {(*r[:4], tuple(r[4])) for r in found} == wanted and len(found) == len(wanted)
     breaks = sum(a[:2] > b[:2] for a, b in zip(found, found[1:], strict=False))
     assert 0 < breaks < 8 and max(b.num_rows for b in out) <= 700
+
+
+@pytest.mark.parametrize("sent", [0, 50_000])
+def test_texts_are_not_sorted_to_admit_them(spark, monkeypatch, sent):
+    """Only keys, contents and the order are shuffled and stored; the rows are those that come first."""
+    stored = []
+    written = ingest.written
+    monkeypatch.setattr(ingest, "written", lambda df, name="table": stored.append(df.columns) or written(df, name))
+    monkeypatch.setattr(ingest, "SENT_ROWS", sent, raising=False)
+    rng = random.Random(4)
+    rows = [(k, f"c{rng.randrange(60)}", f"t{rng.randrange(60)}", f"text {k}", "out" if k % 7 == 3 else f"e{k % 3}") for k in range(400)]
+    df = spark.createDataFrame(rows, "seq long, chunk_id string, content_key string, chunk_text string, episode_id string").repartition(3)
+    held = spark.createDataFrame([("c1", "t2")], "chunk_id string, content_key string")
+    barred = spark.createDataFrame([("out",)], "episode_id string")
+    found = ingest.admitted_in_order(df, held, "chunk_id", "content_key", ["seq"], barred)
+    keys, contents, wanted = {"c1"}, {"t2"}, []
+    for r in rows:
+        if r[4] != "out" and r[1] not in keys and r[2] not in contents:
+            keys.add(r[1]), contents.add(r[2]), wanted.append(r)
+    assert sorted(map(tuple, found.collect())) == wanted
+    assert stored and not any("chunk_text" in c for c in stored)
+    once = ingest.admitted_in_order(df.dropDuplicates(["chunk_id", "content_key"]).dropDuplicates(["chunk_id"]), held, "chunk_id", "content_key", ["seq"])
+    last = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin" not in plan(once) and ("ShuffledHashJoin" if not sent else "BroadcastHashJoin") in plan(once) and "Join LeftSemi" in last
+
+
+def test_equal_rows_are_admitted_once(spark):
+    df = spark.createDataFrame([("e1", "k", "a"), ("e1", "k", "a"), ("e2", "l", "b")], "episode_id string, content_key string, text string")
+    found = ingest.admitted_in_order(df, df.limit(0), "episode_id", "content_key", ["episode_id"])
+    assert sorted(map(tuple, found.collect())) == [("e1", "k", "a"), ("e2", "l", "b")]
+
+
+def test_json_lines_by_publisher(spark, tmp_path):
+    """More publishers than files are kept open; the setting stays as it was."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    rows = spark.range(0, 1000, 1, 2).select(F.concat(F.lit("p/"), (F.col("id") % 150).cast("string")).alias("publisher"), "id")
+    jsonl.append_jsonl(rows, f"{tmp_path}/x", "publisher")
+    found = spark.read.json(f"{tmp_path}/x")
+    assert sorted((r.publisher, r.id) for r in found.collect()) == sorted((r.publisher, r.id) for r in rows.collect()) and spark.conf.get(name) == before
+    assert found.select("by").distinct().count() == 150 and jsonl.OPEN_FILES < 150
