@@ -101,3 +101,9 @@ def test_json_lines_by_publisher(spark, tmp_path):
     found = spark.read.json(f"{tmp_path}/x")
     assert sorted((r.publisher, r.id) for r in found.collect()) == sorted((r.publisher, r.id) for r in rows.collect()) and spark.conf.get(name) == before
     assert found.select("by").distinct().count() == 150 and jsonl.OPEN_FILES < 150
+
+
+def test_fourths_need_no_join(spark):
+    rows = queries._fourths(spark, SMALL)
+    assert "Exchange" not in plan(rows) and "Join" not in plan(rows)
+    assert rows.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
