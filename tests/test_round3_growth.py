@@ -92,6 +92,12 @@ def test_landed_texts_are_not_sorted(spark, monkeypatch, sent):
     assert verdicts == {0: "admitted", 1: "skipped_incremental", 2: "admitted", 3: "rejected_rights", 4: "admitted", 5: "admitted", 6: "skipped_dedup", 7: "admitted", 8: "skipped_dedup"}
 
 
+def test_the_log_is_scanned_without_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_json_folder", None)
+    monkeypatch.setattr(queries, "_made", {})
+    assert queries.QUERIES["jsonl_governance_scan"](spark, SMALL).agg(F.sum("n")).first()[0] == spark.read.parquet(f"{SMALL}/events.parquet").count()
+
+
 def test_json_lines_by_publisher(spark, tmp_path):
     """More publishers than files are kept open; the setting stays as it was."""
     name = "spark.sql.maxConcurrentOutputFileWriters"
