@@ -92,6 +92,12 @@ def test_landed_texts_are_not_sorted(spark, monkeypatch, sent):
     assert verdicts == {0: "admitted", 1: "skipped_incremental", 2: "admitted", 3: "rejected_rights", 4: "admitted", 5: "admitted", 6: "skipped_dedup", 7: "admitted", 8: "skipped_dedup"}
 
 
+@pytest.mark.parametrize("name", ["tag_only_recency", "semantic_topk", "semantic_with_tags", "search_by_vector_alone"])
+def test_tags_and_vectors_build_no_index(spark, monkeypatch, name):
+    monkeypatch.setattr(queries, "chunk_index", None)
+    assert queries.QUERIES[name](spark, SMALL).count() > 0
+
+
 def test_the_log_is_scanned_without_the_documents(spark, monkeypatch):
     monkeypatch.setattr(queries, "_json_folder", None)
     monkeypatch.setattr(queries, "_made", {})
