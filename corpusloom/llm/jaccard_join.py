@@ -19,6 +19,11 @@ rows and not m * m. Where the number of links isn't asked for, each part of a bl
 one part first, and then only those sets that this left outside the block's largest class, so a group of
 near copies costs a multiple of m.
 
+In a large corpus ties also chain sets that have a few common n-grams each and are not alike. So blocks
+of many parts are split before they are compared: a set's n-grams are dealt to as many bins that similar
+sets, which differ in d n-grams at most, have equal ones among those that every set gives as signatures,
+and sets with an equal signature form the new blocks.
+
 The sketch also shows the n-grams that very many sets may hold. Their rows are dealt to parts of a
 bounded size by set, each part ties its sets to its first one, and the firsts are tied to each other.
 """
@@ -41,6 +46,9 @@ WORD_SLOTS, GRAM_SLOTS = 1 << 18, 1 << 20
 MOST_MATCHES = 32
 #: Of a part of a block: sets and n-grams at most, from each side.
 PART_SETS, PART_GRAMS = 1024, 1_500_000
+#: Blocks of more parts are split by signatures; of how many bins more than it gives a set leaves out the
+#: smallest, as a share of those it gives.
+WHOLE_PARTS, SPARE = 2, 0.25
 #: Sets of a component of candidate pairs that are brought together to verify its pairs.
 GROUP_SETS = 64
 #: Of an n-gram whose slot stands out by more octaves than this, 2**17 sets, the rows are split by set.
@@ -230,18 +238,68 @@ def _candidates(percent: int):
     return run
 
 
+def _held(batches, bitmap: IdBitmap) -> Iterator[pa.Array]:
+    """Texts of the ids that the bitmap holds and of rows without an id, 512 at most at once."""
+    for batch in batches:
+        ids = batch.column(0)
+        batch = batch.filter(pa.array(bitmap.holds(ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)))
+        for i in range(0, batch.num_rows, 512):
+            yield batch.column(1).slice(i, 512)
+
+
 def _members(k: int, wanted):
-    """Identities of sets and texts of the ids that the bitmap holds and of rows without an id. Texts
-    travel, since they pack to a third of their n-grams' hashes."""
+    """Identities of sets and texts of the wanted rows. Texts travel, since they pack to a third of
+    their n-grams' hashes."""
 
     def run(batches):
-        bitmap = wanted.value
-        for batch in batches:
-            ids = batch.column(0)
-            batch = batch.filter(pa.array(bitmap.holds(ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)))
-            for i, j in ((i, min(i + 512, batch.num_rows)) for i in range(0, batch.num_rows, 512)):
-                part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for _, _, x, _ in _sets_of(part.column(1), k)], pa.int64()), part.column(1)], ["sid", "text"])
+        for texts in _held(batches, wanted.value):
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for _, _, x, _ in _sets_of(texts, k)], pa.int64()), texts], ["sid", "text"])
+
+    return run
+
+
+def size_classes(n: int, percent: int) -> tuple[int, int]:
+    """The largest sizes of the class of sizes that n is in and of the next one. A size links with none
+    beyond the class next to its own."""
+    high = 1
+    while high < n:
+        high = max(high + 1, (high + 1) * 100 // percent)
+    return high, max(high + 1, (high + 1) * 100 // percent)
+
+
+def signatures(distinct: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes of which two similar sets have one in common at least.
+
+    Similar sets of ``high`` n-grams at most differ in d at most. Dealt to d + 1 + e bins by hash, they have
+    e + 1 equal bins or more. Each leaves out its e smallest bins, equally large ones by number: the
+    last of the equal bins in this order is left out by neither, since the e others would be before it.
+    This is done for the size class of the set and the next one, where larger partners are."""
+    mixed = fmix(distinct ^ U64(0x2545F4914F6CDD1D))
+    out = []
+    for high in size_classes(len(distinct), percent):
+        apart = 2 * high * (100 - percent) // (100 + percent)
+        spare = int(SPARE * (apart + 1))
+        bins = apart + 1 + spare
+        at = ((mixed >> U64(32)) % U64(bins)).astype(np.int64)
+        sums = np.zeros(bins, U64)
+        np.add.at(sums, at, mixed)
+        given = np.argsort(np.bincount(at, minlength=bins), kind="stable")[spare:]
+        out.append(fmix(sums[given] + fmix(given.astype(U64) + (U64(high) << U64(32)))))
+    return np.concatenate(out)
+
+
+def _signed(k: int, percent: int, wanted):
+    """(signature, sid) of the wanted rows."""
+
+    def run(batches):
+        for texts in _held(batches, wanted.value):
+            sids, found = [], []
+            for _, _, distinct, _ in _sets_of(texts, k):
+                if len(distinct):
+                    sids.append(set_id(distinct))
+                    found.append(signatures(distinct, percent))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(sids, np.int64), [len(x) for x in found]))], ["signature", "sid"])
 
     return run
 
@@ -403,6 +461,23 @@ def _part_of(parts: str, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64("sid", F.lit(seed)), F.col(parts)).cast("int")
 
 
+def _split(large: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Blocks (sid, blk, n) of the sets of ``large`` that have a signature in common, directly or by way of
+    others; sets that share none with another are similar to none of them."""
+    spark = large.sparkSession
+    large = written(large.join(classes.select("sid", "rep"), "sid").select("sid", "n", "rep"), "large")
+    wanted = spark.sparkContext.broadcast(IdBitmap.of(large, "rep"))
+    signed = written(docs.select("doc_id", "text").mapInArrow(_signed(k, percent, wanted), "signature long, sid long"), "signed")
+    wanted.destroy()
+    least = signed.groupBy("signature").agg(F.min("sid").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    ties = join_hot(signed, least, "signature", "rows", signed.count()).select("sid", F.col("least"))
+    found = connected_components(ties, "sid", "least").toDF("sid", "blk")
+    out = written(found.join(large.select("sid", "n"), "sid").select("sid", "blk", "n"), "blocks")
+    discard(large, signed)
+    release(spark)
+    return out
+
+
 def _crossed(placed: DataFrame) -> DataFrame:
     """Units of two parts each. ``placed`` has blk, sid, its part p, and the range (low, high) of the
     parts that it is compared with."""
@@ -480,12 +555,20 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     hubs = found.where("kind = 2").select(F.col("a").alias("gram"), "b")
     hubs = hubs.join(hubs.groupBy("gram").agg(F.min("b").alias("a")), "gram").select("a", "b")
     blocks = written(connected_components(ties.select("a", "b").unionByName(hubs)).join(classes, F.col("node") == F.col("sid")).select("sid", F.col("root").alias("blk"), "n"), "blocks")
-    block_of = blocks.select("sid", "blk")
+    parts = blocks.groupBy("blk").agg(_parts().alias("parts"), F.count("*").alias("rows"))
+    block_of, whole = blocks.select("sid", "blk"), None
+    if (first_large := parts.where(F.col("parts") > WHOLE_PARTS).agg(F.min("blk")).first()[0]) is not None:
+        marked = join_hot(blocks, parts, "blk", "rows", blocks.count()).withColumn("large", F.col("parts") > WHOLE_PARTS)
+        # similar sets of large blocks stay in one block, so no pair of two of them is verified by itself
+        block_of = marked.select("sid", F.when(F.col("large"), F.lit(first_large)).otherwise(F.col("blk")).alias("blk"))
+        whole, split = blocks, _split(marked.where("large").select("sid", "n"), docs, classes, n, percent)
+        blocks = written(marked.where("not large").select("sid", "blk", "n").unionByName(split), "blocks")
+        discard(split)
+        parts = blocks.groupBy("blk").agg(_parts().alias("parts"), F.count("*").alias("rows"))
     pairs = pairs.where("shared >= ell").select("a", "b").unionByName(few.select("a", "b"))
     pairs = pairs.join(block_of.toDF("a", "ba"), "a", "left").join(block_of.toDF("b", "bb"), "b", "left")
     pairs = written(pairs.where("ba is null or bb is null or ba <> bb").select("a", "b"), "pairs")
     none = F.lit(None).cast("array<bigint>")
-    parts = blocks.groupBy("blk").agg(_parts().alias("parts"), F.count("*").alias("rows"))
     placed = join_hot(blocks, parts, "blk", "rows", blocks.count()).withColumn("p", _part_of("parts"))
     tied = _crossed(placed.withColumns({"low": F.lit(0), "high": F.col("parts")})) if links else _beside_first(placed)
     everyone = written(connected_components(pairs), "members")
@@ -525,7 +608,7 @@ def ngram_jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     labels = classes.join(classed.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     labels = written(labels.join(degree, "sid", "left").select("sid", "root", "rep", "copies", F.coalesce("partners", F.lit(0)).alias("partners")), "labels")
     least = labels.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("rows"))
-    discard(found, heavy, blocks, pairs, everyone, linked)
+    discard(found, heavy, blocks, pairs, everyone, linked, *([whole] if whole else []))
     counts = labels.agg(F.count("*"), F.sum("copies")).first()
     labels = join_hot(labels, least, "root", "rows", counts[0]).select("sid", "component_id", "copies", F.col("copies").alias("rows"), "partners")
     out = join_hot(rows, labels, "sid", "rows", counts[1] or 0, "left")
